@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash, tokens
+from . import bpe, langid, packing, simhash, tokens, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -28,11 +28,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and passages of every document."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     return packing.packed(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, from its text, declaration, address and host."""
+    return langid.page_languages(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document, as digests."""
     return bpe.encoded_digest(_table(spark, sf_dir, "documents"), _vocabulary())
@@ -45,7 +55,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
+    "op5_language": op5_language,
     "op6_bpe": op6_bpe,
     "op9_token_counts": op9_token_counts,
 }
