@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, simhash, tokens, toxicity
+from . import bpe, langid, packing, pii, simhash, tokens, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -48,6 +48,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digest(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the strict spans, and all spans."""
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return tokens.token_counts(_table(spark, sf_dir, "documents"), _vocabulary())
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_language": op5_language,
     "op6_bpe": op6_bpe,
+    "op8_pii": op8_pii,
     "op9_token_counts": op9_token_counts,
 }
 ORACLES: dict[str, str] = {}
