@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, pii, simhash, tokens, toxicity
+from . import bpe, fingerprint, langid, packing, pii, simhash, tokens, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -38,6 +38,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash fingerprints of every document and of its edited text."""
+    return fingerprint.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page, from its text, declaration, address and host."""
     return langid.page_languages(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
+    "op4_fingerprint": op4_fingerprint,
     "op5_language": op5_language,
     "op6_bpe": op6_bpe,
     "op8_pii": op8_pii,
