@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space at which a text may be cut: no tokenizer rule here spans it.
@@ -40,3 +40,23 @@ def folded(data: bytes) -> bytes:
     0xCC and 0xCD) may compose with one case of a letter only.
     """
     return data if b"<|" in data or b"\xcc" in data or b"\xcd" in data else data.lower()
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, or a like one that none of ``columns`` has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, rows: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows that ``rows`` names by ``key`` and _row.
+
+    Spark broadcasts ``rows`` only if it is a table known to be below its threshold.
+    """
+    mark = fresh(docs.columns, "_mark")
+    named = rows.select(F.col(key).alias(fresh(docs.columns, "_gone_key")), F.col("_row").alias(fresh(docs.columns, "_gone_row")))
+    marked = docs.withColumn(mark, row_key(text))
+    same = marked[key].eqNullSafe(named[named.columns[0]]) & (marked[mark] == named[named.columns[1]])
+    return marked.join(named, same, "left_anti").select(docs.columns)

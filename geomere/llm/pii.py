@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .arrow import fresh
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -234,13 +235,13 @@ def _accepted(model: Classifier, s: Column) -> Column:
     return s.base | F.array_contains(F.array(*(F.lit(x) for x in yes)).cast("array<int>"), s.kind * (1 << len(LABELERS)) + s.votes)
 
 
-def detected(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """The columns ``carry`` of every row and ``spans``: array of struct(start, kind, end, base) in order of place and kind."""
+def detected(docs: DataFrame, text: str = "text", carry: list[str] | None = None, name: str = "spans") -> DataFrame:
+    """The columns ``carry`` of every row and ``name``: array of struct(start, kind, end, base) in order of place and kind."""
     carried = docs.columns if carry is None else carry
-    found = written(docs.select(*carried, candidates(F.coalesce(F.col(text), F.lit(""))).alias("spans")), "spans")
-    model = train(found)
-    chosen = F.transform(F.filter("spans", lambda s: _accepted(model, s)), lambda s: F.struct(s.start.alias("start"), s.kind.alias("kind"), s.end.alias("end"), s.base.alias("base")))
-    return found.withColumn("spans", F.array_sort(chosen))
+    found = written(docs.select(*carried, candidates(F.coalesce(F.col(text), F.lit(""))).alias(name)), "spans")
+    model = train(found.select(F.col(name).alias("spans")))
+    chosen = F.transform(F.filter(name, lambda s: _accepted(model, s)), lambda s: F.struct(s.start.alias("start"), s.kind.alias("kind"), s.end.alias("end"), s.base.alias("base")))
+    return found.withColumn(name, F.array_sort(chosen))
 
 
 def listed(spans: Column) -> Column:
@@ -260,7 +261,8 @@ def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with each span of personal data replaced by its kind in brackets; overlapping spans go as one."""
-    found = detected(docs, text)
+    spans = fresh(docs.columns, "_spans")
+    found = detected(docs, text, name=spans)
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     body = F.col(text)
 
@@ -270,5 +272,5 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(F.greatest(state.at, s.end).alias("at"), F.when(fresh, F.concat(state.out, F.array(piece))).otherwise(state.out).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    joined = F.aggregate("spans", start, step, lambda s: F.concat(F.array_join(s.out, ""), F.substring(body, s.at + 1, F.length(body))))
-    return found.withColumn(text, F.when(F.size("spans") > 0, joined).otherwise(body)).select(docs.columns)
+    joined = F.aggregate(spans, start, step, lambda s: F.concat(F.array_join(s.out, ""), F.substring(body, s.at + 1, F.length(body))))
+    return found.withColumn(text, F.when(F.size(spans) > 0, joined).otherwise(body)).select(docs.columns)

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, langid, packing, pii, simhash, tokens, toxicity
+from . import bpe, chat, fingerprint, knn, langid, packing, pii, simhash, tokens, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
 
-def _vocabulary() -> str:
+def vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path(VOCABULARY)
@@ -35,7 +35,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
-    return packing.packed(_table(spark, sf_dir, "documents"), _vocabulary())
+    return packing.packed(_table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document, as digests."""
-    return bpe.encoded_digest(_table(spark, sf_dir, "documents"), _vocabulary())
+    return bpe.encoded_digest(_table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows for each query vector."""
+    return knn.top_k(_table(spark, sf_dir, "embeddings"), F.col("_id") % 100 == 0)
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +65,19 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
-    return tokens.token_counts(_table(spark, sf_dir, "documents"), _vocabulary())
+    return tokens.token_counts(_table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's calls linked to their results, ordered, checked and serialised."""
+    return chat.replies(_table(spark, sf_dir, "conversations"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -70,7 +87,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprint": op4_fingerprint,
     "op5_language": op5_language,
     "op6_bpe": op6_bpe,
+    "op7_top_k": op7_top_k,
     "op8_pii": op8_pii,
     "op9_token_counts": op9_token_counts,
+    "op10_chat": op10_chat,
+    "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_chat": chat.REPLIES_SQL}

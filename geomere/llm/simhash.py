@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .arrow import row_key, slices, text_bytes
+from .arrow import fresh, row_key, slices, text_bytes
 from .components import components
 
 #: Fingerprints in a tile, on average at most.
@@ -141,7 +141,8 @@ def kept_one(docs: DataFrame, radius: int = 3, text: str = "text", key: str = "d
     classes = near_duplicates(docs, radius, text, key)
     first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row")))
     keep = classes.groupBy("root").agg(first.alias("x")).select(F.col("x.key").alias("_key"), F.col("x.row").alias("_keep"))
-    keep = written(keep, "keep")
-    marked = docs.withColumn("_row", row_key(text))
-    found = marked.join(keep, marked[key].eqNullSafe(keep["_key"]) & (marked["_row"] == keep["_keep"]), "left_semi")
-    return found.dropDuplicates([key, "_row"]).select(docs.columns)
+    mark = fresh(docs.columns, "_mark")
+    keep = written(keep.toDF(fresh(docs.columns, "_key"), fresh(docs.columns, "_keep")), "keep")
+    marked = docs.withColumn(mark, row_key(text))
+    found = marked.join(keep, marked[key].eqNullSafe(keep[keep.columns[0]]) & (marked[mark] == keep[keep.columns[1]]), "left_semi")
+    return found.dropDuplicates([key, mark]).select(docs.columns)

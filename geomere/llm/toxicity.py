@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .arrow import fresh
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
 #: Tokens in the lexicon, at most; their least z-score and log-odds ratio.
@@ -226,26 +227,35 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     return _calibrate(dict(found), rows) if found else Model()
 
 
-PASSAGE = "first long, last long, score double, chance double"
+PASSAGES = "array<struct<first: long, last: long, score: double, chance: double>>"
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all, if none are named) of every row with score and passages (first and last token, score, expected chance hits)."""
+def scored(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, str, str]:
+    """The columns ``keep`` (all, if none are named) of every row, and two more, whose names follow: score and passages."""
     kept = docs.columns if keep is None else keep
+    extra = [fresh(docs.columns, n) for n in ("_score", "_passages")]
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    names = ("first", "last", "score", "chance")
     kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64()), ("chance", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [model.passages(x or "")[1] for x in b.column(b.num_columns - 1).to_pylist()]
             scores = [model.score(model.evidence(x)) for x in found]
-            rows = [[dict(zip(("first", "last", "score", "chance"), p, strict=True)) for p in x] for x in found]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64()), pa.array(rows, kind)], [*kept, "_score", "_passages"])
+            rows = [[dict(zip(names, p, strict=True)) for p in x] for x in found]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64()), pa.array(rows, kind)], [*kept, *extra])
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(run, f"{fields}, _score double, _passages array<struct<{', '.join(x.replace(' ', ': ') for x in PASSAGE.split(', '))}>>")
+    out = docs.select(*kept, F.col(text).alias(fresh(docs.columns, "_text"))).mapInArrow(run, f"{fields}, {extra[0]} double, {extra[1]} {PASSAGES}")
+    return out, *extra
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key``, held_out, score, predicted and passages of every row."""
-    out = scored(docs, fit(docs, labels, text, key), text, [key])
-    return out.select(key, held_out(key).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"), F.col("_passages").alias("passages"))
+    out, score, passages = scored(docs, fit(docs, labels, text, key), text, [key])
+    return out.select(key, held_out(key).alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.5).cast("int").alias("predicted"), F.col(passages).alias("passages"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows that are not predicted toxic, with all their columns."""
+    out, score, _ = scored(docs, fit(docs, labels, text, key), text)
+    return out.where(F.col(score) < 0.5).select(docs.columns)
