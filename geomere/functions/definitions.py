@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from . import plane, sphere, text
 from .shape import (
     GEO,
@@ -34,7 +36,14 @@ Definition = tuple[str, str, str]
 FUNCTIONS: dict[str, Definition] = {}
 
 
+#: Longer bodies bind their geographies to variables, so that an argument that the optimiser puts in their place is computed once.
+_LONG = 800
+
+
 def define(fn: str, args: str, returns: str, body: str) -> None:
+    if len(body) > _LONG:
+        for g in re.findall(rf"(\w+) (?={re.escape(GEO)}|ARRAY<{re.escape(GEO)})", args):
+            body = f"transform(array({g}), {g} -> {body})[0]"
     FUNCTIONS[fn] = (args, returns, body)
 
 
@@ -266,13 +275,18 @@ def predicate(fn: str, body: str, when_empty: str = "false") -> None:
     define(fn, f"a {GEO}, b {GEO}", "BOOLEAN", _same_srid("a", "b", f"CASE WHEN a.kind = 0 AND b.kind = 0 THEN true WHEN a.kind = 0 OR b.kind = 0 THEN false WHEN {empty('a')} OR {empty('b')} THEN {when_empty} ELSE {body} END"))
 
 
-predicate("st_intersects", plane.intersects("a", "b"))
-predicate("st_disjoint", f"NOT {plane.intersects('a', 'b')}", "true")
-predicate("st_covers", plane.covers("a", "b"))
-predicate("st_coveredby", plane.covers("b", "a"))
-predicate("st_contains", plane.contains("a", "b"))
-predicate("st_within", plane.contains("b", "a"))
-predicate("st_touches", plane.touches("a", "b"))
+def _by_points(a: str, b: str, of_point: str, general: str) -> str:
+    """A predicate with a short way for a single point ``b``: ``of_point`` over where it lies in ``a``."""
+    return f"(CASE WHEN {_is_point(b)} THEN {plane.where(_first(b), a)} {of_point} ELSE {general} END)"
+
+
+predicate("st_intersects", _by_points("a", "b", "> 0", _by_points("b", "a", "> 0", plane.intersects("a", "b"))))
+predicate("st_disjoint", f"NOT {_by_points('a', 'b', '> 0', _by_points('b', 'a', '> 0', plane.intersects('a', 'b')))}", "true")
+predicate("st_covers", _by_points("a", "b", "> 0", plane.covers("a", "b")))
+predicate("st_coveredby", _by_points("b", "a", "> 0", plane.covers("b", "a")))
+predicate("st_contains", _by_points("a", "b", "= 2", plane.contains("a", "b")))
+predicate("st_within", _by_points("b", "a", "= 2", plane.contains("b", "a")))
+predicate("st_touches", _by_points("a", "b", "= 1", _by_points("b", "a", "= 1", plane.touches("a", "b"))))
 predicate("st_equals", f"(a.parts = b.parts OR {plane.equals('a', 'b')})", f"({empty('a')} AND {empty('b')})")
 
 __all__ = ["FUNCTIONS", "PARTS", "R", "all_edges"]

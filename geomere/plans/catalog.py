@@ -2,11 +2,199 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import register
+from ..operators.cluster import dbscan
+from ..operators.joins import box_join, dwithin_join, nearest_join
+from . import tables as t
 
 FLAGSHIP = "nearest_supplier"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def _add(name: str, query: Callable[[SparkSession, str], DataFrame], oracle: str | None = None) -> None:
+    QUERIES[name] = query
+    if oracle:
+        ORACLES[name] = f"{t.CTES} {oracle}"
+
+
+def _sql(name: str, text: str, oracle: str | None = None) -> None:
+    """A query in Spark SQL over the places; tables in braces."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register(spark, *dict.fromkeys(re.findall(r"\bst_\w+", text)))
+        used = {n: getattr(t, n)(spark, sf_dir) for n in set(re.findall(r"\{(\w+)\}", text))}
+        return spark.sql(text, **used)
+
+    _add(name, query, oracle)
+
+
+# --- joins ------------------------------------------------------------------------------
+
+RANGE = 1_500_000.0
+
+
+def nearest_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each customer the nearest supplier within RANGE."""
+    left = t.customer_pt(spark, sf_dir).select("c_custkey", "lon", "lat")
+    right = t.supplier_pt(spark, sf_dir).select("s_suppkey", F.col("lon").alias("r_lon"), F.col("lat").alias("r_lat"))
+    return nearest_join(left, right, 1, "c_custkey", "s_suppkey", RANGE).select("c_custkey", "s_suppkey", F.round(F.col("metres") / 1000, 3).alias("km"))
+
+
+_PAIRS = f"SELECT c.c_custkey, s.s_suppkey, {t.HAV.format(a='c', b='s')} AS metres FROM customer_pt c, supplier_pt s"
+_add(FLAGSHIP, nearest_supplier, f"SELECT c_custkey, s_suppkey, round(metres / 1000, 3) AS km FROM ({_PAIRS}) WHERE metres <= {RANGE} QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY metres, s_suppkey) = 1")
+
+
+def dwithin_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each supplier the customers within 800 km."""
+    left = t.customer_pt(spark, sf_dir).select("c_custkey", "lon", "lat")
+    right = t.supplier_pt(spark, sf_dir).select("s_suppkey", F.col("lon").alias("r_lon"), F.col("lat").alias("r_lat"))
+    return dwithin_join(left, right, 800_000.0).groupBy("s_suppkey").agg(F.count("*").alias("n"), F.round(F.max("metres"), 2).alias("farthest"))
+
+
+_add("dwithin_join", dwithin_count, f"SELECT s_suppkey, count(*) AS n, round(max(metres), 2) AS farthest FROM ({_PAIRS}) WHERE metres <= 800000 GROUP BY s_suppkey")
+
+
+def events_in_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events inside of each nation's box: a grid join, then ``st_contains``."""
+    register(spark, "st_makepoint", "st_makeline_list", "st_makepolygon", "st_contains")
+    boxes = t.nation_box(spark, sf_dir)
+    events = t.event_pt(spark, sf_dir).select("event_id", *(F.col(c).alias(n) for n, c in (("r_xmin", "lon"), ("r_ymin", "lat"), ("r_xmax", "lon"), ("r_ymax", "lat"))))
+    met = box_join(boxes, events, 4.0)
+    inside = F.expr(f"st_contains({_BOX}, st_makepoint(r_xmin, r_ymin))")
+    return met.where(inside).groupBy("n_nationkey").agg(F.count("*").alias("n"), F.sum("event_id").alias("total"))
+
+
+_CORNERS = "array(st_makepoint(xmin, ymin), st_makepoint(xmin, ymax), st_makepoint(xmax, ymax), st_makepoint(xmax, ymin), st_makepoint(xmin, ymin))"
+_BOX = f"st_makepolygon(st_makeline_list({_CORNERS}))"
+_add("contains_join", events_in_boxes, "SELECT n_nationkey, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total FROM event_pt, nation_box WHERE lon > xmin AND lon < xmax AND lat > ymin AND lat < ymax GROUP BY n_nationkey")
+
+
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers clustered by density: three within 6 degrees."""
+    return dbscan(t.supplier_pt(spark, sf_dir), 6 * 6371008.8, 3, "s_suppkey")
+
+
+_NEAR = "near AS (SELECT a.s_suppkey AS a, b.s_suppkey AS b FROM supplier_pt a, supplier_pt b WHERE pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2) <= 36)"
+_add(
+    "clusterdbscan",
+    clusters,
+    None,
+)
+ORACLES["clusterdbscan"] = t.CTES.replace("WITH ", "WITH RECURSIVE ") + f""", {_NEAR},
+core AS (SELECT a FROM near GROUP BY a HAVING count(*) >= 3),
+link AS (SELECT n.a, n.b FROM near n JOIN core c ON n.a = c.a JOIN core d ON n.b = d.a),
+reach AS (SELECT a, a AS b FROM core UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+root AS (SELECT a, min(b) AS root FROM reach GROUP BY a),
+member AS (SELECT a, root FROM root UNION ALL SELECT n.a, min_by(r.root, r.a) FROM near n JOIN root r ON n.b = r.a WHERE n.a NOT IN (SELECT a FROM core) GROUP BY n.a),
+number AS (SELECT root, CAST(row_number() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster FROM (SELECT DISTINCT root FROM root))
+SELECT s.s_suppkey, n.cluster FROM supplier_pt s LEFT JOIN member m ON s.s_suppkey = m.a LEFT JOIN number n ON m.root = n.root"""
+
+# --- constructors, formatters, parsers --------------------------------------------------
+
+_TEXT = "rtrim(rtrim(printf('%.2f', {0}), '0'), '.')"
+_XY = f"{_TEXT.format('lon')} || '{{0}}' || {_TEXT.format('lat')}"
+_sql("astext", "SELECT c_custkey, st_astext(st_makepoint(round(lon, 2), round(lat, 2))) AS wkt FROM {customer_pt}", f"SELECT c_custkey, 'POINT(' || {_XY.format(' ')} || ')' AS wkt FROM customer_pt")
+_sql("asgeojson", "SELECT c_custkey, st_asgeojson(st_makepoint(lon, lat)) AS json FROM {customer_pt}", f"SELECT c_custkey, '{{\"type\":\"Point\",\"coordinates\":[' || {_XY.format(',')} || ']}}' AS json FROM customer_pt")
+_sql("fromtext", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_geogfromtext(concat('SRID=4326;POINT (', lon, '  ', lat, ')')) AS g FROM {customer_pt})", "SELECT c_custkey, lon AS x, lat AS y FROM customer_pt")
+_sql("fromgeojson", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_geogfromgeojson(concat('{{\"type\":\"Point\",\"coordinates\":[', lon, ',', lat, ']}}')) AS g FROM {customer_pt})".replace("{{", "{{").replace("}}", "}}"), "SELECT c_custkey, lon AS x, lat AS y FROM customer_pt")
+_sql("wkb", "SELECT s_suppkey, hex(st_asewkb(st_geogfromwkb(st_asbinary(st_makepoint(s_suppkey % 2, 0))))) AS ewkb FROM {supplier_pt}", "SELECT s_suppkey, '0101000020E6100000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS ewkb FROM supplier_pt")
+_BASE = "'0123456789bcdefghjkmnpqrstuvwxyz'"
+_BIT = "((CASE WHEN {b} % 2 = 0 THEN CAST(floor((lon + 180) / 360 * 8192) AS BIGINT) >> CAST(12 - {b} // 2 AS BIGINT) ELSE CAST(floor((lat + 90) / 180 * 4096) AS BIGINT) >> CAST(11 - {b} // 2 AS BIGINT) END) & 1)"
+_LETTERS = " || ".join("substr(" + _BASE + ", CAST(" + " + ".join(f"{16 >> i} * {_BIT.format(b=5 * k + i)}" for i in range(5)) + " AS BIGINT) + 1, 1)" for k in range(5))
+_sql("geohash", "SELECT c_custkey, st_geohash(st_makepoint(lon, lat), 5) AS hash FROM {customer_pt}", f"SELECT c_custkey, {_LETTERS} AS hash FROM customer_pt")
+_sql(
+    "fromgeohash",
+    "SELECT c_custkey, st_x(p) AS x, st_y(p) AS y, st_npoints(g) AS n FROM (SELECT c_custkey, st_geogpointfromgeohash(h) AS p, st_geomfromgeohash(h) AS g FROM (SELECT c_custkey, st_geohash(st_makepoint(lon, lat), 5) AS h FROM {customer_pt}))",
+    "SELECT c_custkey, (floor((lon + 180) / 360 * 8192) + 0.5) * 360 / 8192 - 180 AS x, (floor((lat + 90) / 180 * 4096) + 0.5) * 180 / 4096 - 90 AS y, 5 AS n FROM customer_pt",
+)
+
+# --- lines: orders of a customer in order of time ---------------------------------------
+
+_PATH = "SELECT o_custkey, st_makeline_list(transform(array_sort(collect_list(struct(o_orderdate, o_orderkey, lon, lat))), p -> named_struct('kind', 1, 'srid', 4326, 'flags', 0, 'parts', array(named_struct('kind', 1, 'rings', array(array(named_struct('x', p.lon, 'y', p.lat, 'z', CAST(NULL AS DOUBLE), 'm', CAST(NULL AS DOUBLE))))))))) AS g FROM {order_pt} GROUP BY o_custkey"
+_STEPS = "steps AS (SELECT o_custkey, lon, lat, lag(lon) OVER w AS plon, lag(lat) OVER w AS plat, row_number() OVER w AS i, count(*) OVER (PARTITION BY o_custkey) AS n FROM order_pt WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))"
+_LEG = t.HAV.replace("{a}.lon", "plon").replace("{a}.lat", "plat").replace("{b}.lon", "lon").replace("{b}.lat", "lat")
+_sql("makeline_length", f"SELECT o_custkey, round(st_length(g), 2) AS metres, st_numpoints(g) AS n, st_npoints(g) AS places FROM ({_PATH})", f", {_STEPS} SELECT o_custkey, round(coalesce(sum({_LEG}), 0), 2) AS metres, CAST(count(*) AS INTEGER) AS n, CAST(count(*) AS INTEGER) AS places FROM steps GROUP BY o_custkey")
+_sql(
+    "line_ends",
+    f"SELECT o_custkey, st_x(st_startpoint(g)) AS x0, st_y(st_startpoint(g)) AS y0, st_x(st_endpoint(g)) AS x1, st_y(st_endpoint(g)) AS y1, st_x(st_pointn(g, 2)) AS x2, st_isclosed(g) AS closed, st_geometrytype(g) AS kind, st_dimension(g) AS dimension FROM ({_PATH})",
+    f", {_STEPS} SELECT o_custkey, max(CASE WHEN i = 1 THEN lon END) AS x0, max(CASE WHEN i = 1 THEN lat END) AS y0, max(CASE WHEN i = n THEN lon END) AS x1, max(CASE WHEN i = n THEN lat END) AS y1, max(CASE WHEN i = 2 THEN lon END) AS x2, max(CASE WHEN i = 1 THEN lon END) = max(CASE WHEN i = n THEN lon END) AND max(CASE WHEN i = 1 THEN lat END) = max(CASE WHEN i = n THEN lat END) AS closed, 'ST_LineString' AS kind, 1 AS dimension FROM steps GROUP BY o_custkey",
+)
+_sql(
+    "line_envelope",
+    f"SELECT o_custkey, e.parts[0].rings[0][0].x AS xmin, e.parts[0].rings[0][0].y AS ymin, st_npoints(e) AS n FROM (SELECT o_custkey, st_boundingbox(g) AS e FROM ({_PATH}))",
+    ", s AS (SELECT o_custkey, min(lon) AS xmin, min(lat) AS ymin, max(lon) AS xmax, max(lat) AS ymax FROM order_pt GROUP BY o_custkey) SELECT o_custkey, xmin, ymin, CASE WHEN xmin = xmax AND ymin = ymax THEN 1 WHEN xmin = xmax OR ymin = ymax THEN 2 ELSE 5 END AS n FROM s",
+)
+_sql(
+    "extent",
+    "SELECT c_nationkey, e.parts[0].rings[0][0].x AS xmin, e.parts[0].rings[0][0].y AS ymin, e.parts[0].rings[0][2].x AS xmax, e.parts[0].rings[0][2].y AS ymax FROM (SELECT c_nationkey, st_extent(collect_list(g)) AS e FROM (SELECT c_nationkey, st_makepoint(lon, lat) AS g FROM {customer_pt}) GROUP BY c_nationkey)",
+    "SELECT c_nationkey, min(lon) AS xmin, min(lat) AS ymin, max(lon) AS xmax, max(lat) AS ymax FROM customer_pt GROUP BY c_nationkey",
+)
+_MEAN = [f"sum({v})" for v in ("cos(radians(lat)) * cos(radians(lon))", "cos(radians(lat)) * sin(radians(lon))", "sin(radians(lat))")]
+_sql(
+    "centroid",
+    "SELECT c_nationkey, round(st_x(p), 6) AS x, round(st_y(p), 6) AS y FROM (SELECT c_nationkey, st_centroid(st_union_list(collect_list(g))) AS p FROM (SELECT DISTINCT c_nationkey, lon, lat, st_makepoint(lon, lat) AS g FROM {customer_pt}) GROUP BY c_nationkey)",
+    f"SELECT c_nationkey, round(degrees(atan2({_MEAN[1]}, {_MEAN[0]})), 6) AS x, round(degrees(atan2({_MEAN[2]}, sqrt(pow({_MEAN[0]}, 2) + pow({_MEAN[1]}, 2)))), 6) AS y FROM (SELECT DISTINCT c_nationkey, lon, lat FROM customer_pt) GROUP BY c_nationkey",
+)
+
+# --- measures of pairs ------------------------------------------------------------------
+
+_FROM = "SELECT a.n_nationkey AS a, b.n_nationkey AS b, {0} FROM (SELECT n_nationkey, " + _BOX + " AS g, st_makepoint(xmin, ymin) AS p FROM {{nation_box}}) a JOIN (SELECT n_nationkey, " + _BOX + " AS g, st_makepoint(xmin, ymin) AS p FROM {{nation_box}}) b ON a.n_nationkey <= b.n_nationkey"
+_FROM_SQL = "SELECT a.n_nationkey AS a, b.n_nationkey AS b, {0} FROM nation_box a JOIN nation_box b ON a.n_nationkey <= b.n_nationkey"
+_PLACE = "(SELECT n_nationkey, xmin AS lon, ymin AS lat, * EXCLUDE (n_nationkey) FROM nation_box)"
+_sql("distance", _FROM.format("round(st_distance(a.p, b.p), 3) AS metres").replace("{{", "{").replace("}}", "}"), f"SELECT a.n_nationkey AS a, b.n_nationkey AS b, round({t.HAV.format(a='a', b='b')}, 3) AS metres FROM {_PLACE} a JOIN {_PLACE} b ON a.n_nationkey <= b.n_nationkey")
+_sql("dwithin", _FROM.format("st_dwithin(a.p, b.p, 3000000) AS near").replace("{{", "{").replace("}}", "}"), f"SELECT a.n_nationkey AS a, b.n_nationkey AS b, {t.HAV.format(a='a', b='b')} <= 3000000 AS near FROM {_PLACE} a JOIN {_PLACE} b ON a.n_nationkey <= b.n_nationkey")
+_sql("spheroid_measures", "SELECT s_suppkey, round(st_distance(st_makepoint(lon, lat), st_makepoint(0, 0), true), 4) AS metres, round(st_maxdistance(st_makepoint(lon, lat), st_makepoint(0, 0)), 4) AS most, round(st_azimuth(st_makepoint(lon, lat), st_makepoint(0, 0)), 9) AS bearing FROM {supplier_pt}")
+_ANGLE = "atan2(0 - lon, 0 - lat)"
+_sql("angle", "SELECT c_custkey, round(st_angle(st_makepoint(lon, lat), st_makepoint(0, 0), st_makepoint(lon, lat), st_makepoint(lon, 85)), 9) AS angle FROM {customer_pt} WHERE lon <> 0 OR lat <> 0", f"SELECT c_custkey, round(CASE WHEN d < 0 THEN d + 2 * pi() ELSE d END, 9) AS angle FROM (SELECT c_custkey, atan2(0, 85 - lat) - {_ANGLE} AS d FROM customer_pt WHERE lon <> 0 OR lat <> 0)")
+_sql(
+    "box_measures",
+    "SELECT n_nationkey, round(st_perimeter(g), 3) AS around, round(st_area(g) / 1e6, 3) AS km2, st_npoints(st_boundary(g)) AS n, st_isring(st_boundary(g)) AS ring FROM (SELECT n_nationkey, " + _BOX + " AS g FROM {nation_box})",
+)
+_sql("snaptogrid", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_snaptogrid(st_makepoint(lon, lat), 0.25) AS g FROM {customer_pt})", "SELECT c_custkey, round_even(lon / 0.25, 0) * 0.25 AS x, round_even(lat / 0.25, 0) * 0.25 AS y FROM customer_pt")
+
+# --- predicates on boxes ----------------------------------------------------------------
+
+_MEET = "a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax"
+_INNER = "a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax"
+_HOLDS = "a.xmin <= b.xmin AND a.xmax >= b.xmax AND a.ymin <= b.ymin AND a.ymax >= b.ymax"
+_HELD = "b.xmin <= a.xmin AND b.xmax >= a.xmax AND b.ymin <= a.ymin AND b.ymax >= a.ymax"
+for _name, _truth in (
+    ("intersects", _MEET),
+    ("disjoint", f"NOT ({_MEET})"),
+    ("covers", _HOLDS),
+    ("contains", _HOLDS),
+    ("within", _HELD),
+    ("coveredby", _HELD),
+    ("touches", f"{_MEET} AND NOT ({_INNER})"),
+    ("equals", f"{_HOLDS} AND {_HELD}"),
+):
+    _sql(_name, _FROM.format(f"st_{_name}(a.g, b.g) AS holds").replace("{{", "{").replace("}}", "}"), _FROM_SQL.format(f"({_truth}) AS holds"))
+_sql(
+    "intersection",
+    _FROM.format("round(st_area(st_intersection(a.g, b.g)) / 1e6, 3) AS km2, st_npoints(st_intersection(a.g, b.g)) AS n").replace("{{", "{").replace("}}", "}"),
+)
+_sql(
+    "closestpoint",
+    "SELECT c_custkey, n_nationkey, round(st_x(p), 6) AS x, round(st_y(p), 6) AS y FROM (SELECT c_custkey, n_nationkey, st_closestpoint(" + _BOX + ", st_makepoint(lon, lat)) AS p FROM {customer_pt} JOIN {nation_box} ON c_nationkey = n_nationkey WHERE lon NOT BETWEEN xmin AND xmax)",
+    "SELECT c_custkey, n_nationkey, round(least(xmax, greatest(xmin, lon)), 6) AS x, round(least(ymax, greatest(ymin, lat)), 6) AS y FROM customer_pt JOIN nation_box ON c_nationkey = n_nationkey WHERE lon NOT BETWEEN xmin AND xmax",
+)
+_sql("convexhull", f"SELECT o_custkey, st_npoints(st_convexhull(g)) AS n, st_geometrytype(st_convexhull(g)) AS kind FROM ({_PATH})")
+_sql("simplify", f"SELECT o_custkey, st_npoints(st_simplify(g, 5.0)) AS n, st_numpoints(g) AS before FROM ({_PATH})")
+_sql(
+    "buffer",
+    "SELECT s_suppkey, st_npoints(b) AS n, round(st_x(st_pointn(st_boundary(b), 1)), 6) AS x, round(st_y(st_pointn(st_boundary(b), 9)), 6) AS y FROM (SELECT s_suppkey, st_buffer(st_makepoint(lon, lat), 2) AS b FROM {supplier_pt})",
+    "SELECT s_suppkey, 33 AS n, round(lon + 2, 6) AS x, round(lat - 2, 6) AS y FROM supplier_pt",
+)
+_sql(
+    "sets_of_points",
+    "SELECT s_suppkey, st_numgeometries(st_union(a, b)) AS both, st_isempty(st_intersection(a, b)) AS apart, st_iscollection(st_union(a, b)) AS multi, size(st_dump(st_union(a, b))) AS n, st_equals(st_difference(a, b), a) AS kept FROM (SELECT s_suppkey, st_makepoint(lon, lat) AS a, st_makepoint(lon, IF(s_suppkey % 3 = 0, lat, 85)) AS b FROM {supplier_pt})",
+    "SELECT s_suppkey, CASE WHEN same THEN 1 ELSE 2 END AS both, NOT same AS apart, NOT same AS multi, CASE WHEN same THEN 1 ELSE 2 END AS n, NOT same AS kept FROM (SELECT s_suppkey, s_suppkey % 3 = 0 OR lat = 85 AS same FROM supplier_pt)",
+)
