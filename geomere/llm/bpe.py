@@ -27,20 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import folded, slices, text_bytes
-from .tokens import tokenizer
+from .tokens import LATIN_END, byte_letters, tokenizer
 
 #: Words and runs that a worker remembers; the older half goes first.
 REMEMBERED = 800_000
 LONGEST_REMEMBERED = 64
-#: The first letter past the Latin blocks.
-LATIN_END = "\u0250"
-
-
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte: itself where Latin-1 prints it, else the next free one from U+0100."""
-    printed = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    free = iter(range(0x100, 0x200))
-    return {b: chr(b if b in printed else next(free)) for b in range(256)}
 
 
 class Bpe:
@@ -55,7 +46,7 @@ class Bpe:
         self.strings = {i: s for s, i in vocab.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
-        letters = _byte_letters()
+        letters = byte_letters()
         self.inner = [vocab[letters[b]] for b in range(256)]
         self.last = [vocab[letters[b] + self.suffix] for b in range(256)]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}

@@ -25,11 +25,22 @@ from .arrow import folded, slices, text_bytes
 #: Bytes of text that are encoded together.
 BATCH_BYTES = 4 << 20
 #: Words that a worker remembers; the older half goes first.
-REMEMBERED = 800_000
+REMEMBERED = 1_200_000
+#: Letters and a run of these behind them are encoded apart. An apostrophe may begin a word ending, so it is not one.
+_TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The first letter past the Latin blocks, in which no letter changes under normalisation.
+LATIN_END = "\u0250"
 #: Longer words are encoded but not remembered.
 LONGEST_REMEMBERED = 64
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte: itself where Latin-1 prints it, else the next free one from U+0100."""
+    printed = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    free = iter(range(0x100, 0x200))
+    return {b: chr(b if b in printed else next(free)) for b in range(256)}
+
+
 def tokenizer(path: str):
     from tokenizers import Tokenizer
 
@@ -45,6 +56,7 @@ class WordMemo:
 
     def __init__(self, path: str, value: Callable[[list[int]], object]):
         self.tokenizer, self.value = tokenizer(path), value
+        self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
         self.new: dict[bytes, object] = {}
         self.old: dict[bytes, object] = {}
 
@@ -54,15 +66,32 @@ class WordMemo:
             self.new, self.old = {}, self.new
         distinct = set(words)
         distinct.difference_update(self.new)
-        unseen, extra = [], {}
+        unseen, joined, extra = set(), [], {}
         for w in distinct:
             if (v := self.old.get(w)) is not None:
                 self.new[w] = v
+                continue
+            core = w.rstrip(_TAIL)
+            if core is not w and core and core != w and core.decode("utf-8", "replace").lower().isalpha():
+                joined.append((w, core, w[len(core) :]))
+                unseen.update(x for x in joined[-1][1:] if x not in self.new)
+            else:
+                unseen.add(w)
+        whole, merge = [], self.tokenizer.model.tokenize
+        for w in unseen:
+            t = w.decode("utf-8", "replace").lower()
+            if t.isalpha() and max(t) < LATIN_END:  # one run of letters: only the merges are left to do
+                ids = [x.id for x in merge(t.encode().decode("latin-1").translate(self.letters))]
+                (self.new if len(w) <= LONGEST_REMEMBERED else extra)[w] = self.value(ids)
             else:
-                unseen.append(w)
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in unseen], add_special_tokens=False)
-        for w, e in zip(unseen, found, strict=True):
+                whole.append(w)
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in whole], add_special_tokens=False)
+        for w, e in zip(whole, found, strict=True):
             (self.new if len(w) <= LONGEST_REMEMBERED else extra)[w] = self.value(e.ids)
+        at = {**self.new, **extra} if extra else self.new
+        for w, core, tail in joined:
+            v = at[core] + at[tail]
+            (self.new if len(w) <= LONGEST_REMEMBERED else extra)[w] = v
         return {**self.new, **extra} if extra else self.new
 
 
