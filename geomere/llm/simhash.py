@@ -26,9 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from ..session import written
 from .arrow import fresh, row_key, slices, text_bytes
-from .components import components
 
 #: Fingerprints in a tile, on average at most.
 TILE = 1024
