@@ -42,6 +42,23 @@ def folded(data: bytes) -> bytes:
     return data if b"<|" in data or b"\xcc" in data or b"\xcd" in data else data.lower()
 
 
+def keyed(docs: DataFrame, key: str) -> tuple[Column, Column]:
+    """A key column without nulls, and whether it was null: to be joined and grouped by like any other."""
+    kind = docs.schema[key].dataType
+    return F.coalesce(F.col(key), F.lit("" if kind.simpleString() == "string" else 0).cast(kind)), F.col(key).isNull()
+
+
+def least_hashed(rows: DataFrame, column: str, bound: int) -> DataFrame:
+    """The at most ``bound`` rows with the least values of a hash column, of which the last ones may be missing.
+
+    A first bound on the hash, from the number of rows, leaves few more than that to be sorted in one place.
+    """
+    share = 1.25 * bound / max(rows.count(), 1)
+    if share < 1:
+        rows = rows.where(F.col(column) < int(-(2**63) + share * 2**64))
+    return rows.orderBy(column).limit(bound)
+
+
 def fresh(columns: list[str], name: str) -> str:
     """``name``, or a like one that none of ``columns`` has."""
     taken = {c.lower() for c in columns}

@@ -25,13 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .arrow import row_key
+from .arrow import keyed, row_key
 from .pii import let
 
 #: Words in a k-mer, bins, and elements kept for a bin before the two least are taken.
 K, BINS, PER_BIN = 3, 64, 6
 #: Bits of a packed long that hold a place in the text; the others hold the k-mer's hash.
 _PLACE = 24
+#: Bits of a mark that hold a hash; the others hold its bin.
+_HASHED = 32 - (BINS - 1).bit_length()
 
 
 def _shingled(words: Column) -> Column:
@@ -78,33 +80,33 @@ def _elements(kmers: Column) -> Column:
 
 
 def _marks(elements: Column) -> Column:
-    """The marks of the bins that have elements: bin in the upper half of a long, 32 bits of hash in the lower."""
+    """The marks of the bins that have elements: the bin in the upper bits of an int, a hash in the others."""
 
     def mark(e: Column, a: Column) -> Column:
         first, second = F.get(e, a), F.get(e, a + 1)
         pair = F.when(first.place < second.place, F.xxhash64(first.hash, second.hash)).otherwise(F.xxhash64(second.hash, first.hash))
         h = F.when(second.bin == first.bin, pair).otherwise(F.xxhash64(first.hash))
-        return F.shiftleft(first.bin, 32).bitwiseOR(F.shiftrightunsigned(h, 32))
+        return F.shiftleft(first.bin.cast("int"), _HASHED).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASHED).cast("int"))
 
     return let(elements, lambda e: F.transform(_begins(e, lambda x: x.bin), lambda a: mark(e, a)))
 
 
 def fingerprint(text: Column) -> Column:
-    """The marks of a text (not null): array<bigint>, sorted by bin."""
+    """The marks of a text (not null): array<int>, in the order of bins."""
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     return let(words, lambda w: let(_shingled(w), lambda k: _marks(_elements(k))))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """The share of bins with equal marks among those that either fills."""
-    bins = lambda m: F.transform(m, lambda x: F.shiftright(x, 32))
+    bins = lambda m: F.transform(m, lambda x: F.shiftrightunsigned(x, _HASHED))
     either = F.size(F.array_union(bins(a), bins(b)))
     return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
 
 
 def shown(marks: Column) -> Column:
-    """A fingerprint as a string: two hex digits for each filled bin and eight for its mark."""
-    return F.array_join(F.transform(marks, lambda x: F.lpad(F.lower(F.hex(x)), 10, "0")), "")
+    """A fingerprint as a string: eight hex digits for each filled bin."""
+    return F.array_join(F.transform(marks, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def ranked(keys: DataFrame, order: list[Column]) -> tuple[DataFrame, int]:
@@ -129,26 +131,27 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     ``key``) in place of its own last half. Texts are shuffled once by their row, and
     only the halves that are passed on a second time.
     """
-    rows = docs.select(F.col(key).alias("id"), row_key(text).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    made = rows.select("id", "row", F.length("text").cast("long").alias("n"), fingerprint(F.col("text")).alias("marks"))
-    marks = written(written(made, "marks").dropDuplicates(["id", "row"]), "marks")
-    order, count = ranked(marks, [F.col("id").desc_nulls_last(), F.col("row")])
-    after = order.select(F.pmod(F.col("rank") - 1, F.lit(max(count, 1))).alias("rank"), F.col("id").alias("next_id"), F.col("row").alias("next_row"), F.col("marks").alias("next_marks"))
+    known, none = keyed(docs, key)
+    rows = docs.select(known.alias("id"), none.alias("none"), row_key(text).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    names = ["id", "none", "row"]
+    renamed = lambda prefix: [F.col(c).alias(f"{prefix}_{c}") for c in names]
+    made = written(rows.select(*names, F.length("text").alias("n"), fingerprint(F.col("text")).alias("marks")), "marks")
+    order, count = ranked(made.select(*names, "n").distinct(), [F.col("none"), F.col("id").desc(), F.col("row")])
+    after = order.select(F.pmod(F.col("rank") - 1, F.lit(max(count, 1))).alias("rank"), *renamed("next"))
     plan = written(order.join(after, "rank").drop("rank"), "plan")
+    marks = made.select(*names, "marks").dropDuplicates(names)
 
     half = F.floor(F.col("n") / 2).cast("int")
-    passed = plan.select(F.col("id").alias("to_id"), F.col("row").alias("to_row"), "n", F.col("next_id"), F.col("next_row"))
-    passed = rows.join(passed, rows["id"].eqNullSafe(passed["next_id"]) & (rows["row"] == passed["next_row"]))
-    passed = passed.select("to_id", "to_row", F.left("text", half).alias("tail")).dropDuplicates(["to_id", "to_row"])
-    own = plan.select(F.col("id").alias("own_id"), F.col("row").alias("own_row"), "n", "marks", "next_marks")
-    own = rows.join(own, rows["id"].eqNullSafe(own["own_id"]) & (rows["row"] == own["own_row"]))
-    own = own.select("id", "row", "n", "marks", "next_marks", F.left("text", F.col("n").cast("int") - half).alias("head"))
-    met = own.join(passed, own["id"].eqNullSafe(passed["to_id"]) & (own["row"] == passed["to_row"]))
+    passed = plan.select(*renamed("to"), "n", *(F.col(f"next_{c}").alias(c) for c in names))
+    passed = rows.join(marks, names).join(passed, names)
+    passed = passed.select(*(F.col(f"to_{c}").alias(c) for c in names), F.left("text", half).alias("tail"), F.col("marks").alias("next_marks")).dropDuplicates(names)
+    own = rows.join(marks, names).join(plan.select(*names, "n"), names)
+    met = own.select(*names, "n", "marks", F.left("text", F.col("n") - half).alias("head")).join(passed, names)
     edited = met.withColumn("edited", F.concat("head", "tail"))
-    edited = edited.select("id", "n", "marks", "next_marks", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("edited_marks"))
+    edited = edited.select("id", "none", "n", "marks", "next_marks", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("edited_marks"))
     return edited.select(
-        F.col("id").alias(key),
-        F.col("n").alias("n_chars"),
+        F.when(~F.col("none"), F.col("id")).alias(key),
+        F.col("n").cast("long").alias("n_chars"),
         "edited_sha256",
         shown(F.col("marks")).alias("fingerprint"),
         shown(F.col("edited_marks")).alias("edited_fingerprint"),
