@@ -7,16 +7,13 @@ from pyspark.sql import functions as F
 
 from .definitions import FUNCTIONS
 from .shape import GEO
-from .wkb import decoder, encoder
+from .wkb import decoder
 
-#: The functions that need Python, for the bytes of doubles.
-BINARY = {
-    "st_geogfromwkb": decoder,
-    "st_geomfromwkb": decoder,
-    "st_asewkb": encoder,
-    "st_asbinary": lambda: encoder(extended=False),
-    "st_asbinary_xdr": lambda: encoder(big=True, extended=False),
-}
+#: The functions that need Python: reading the bytes of doubles.
+BINARY = {"st_geogfromwkb": decoder, "st_geomfromwkb": decoder}
+
+#: Spark has a function of its own by this name that a SQL function can't replace.
+ALIASES = {"st_asbinary": "st_aswkb"}
 
 
 def register(spark: SparkSession, *names: str) -> None:
@@ -35,7 +32,7 @@ def register(spark: SparkSession, *names: str) -> None:
 
 def call(name: str, *args) -> Column:
     """A function over columns, registered if it is not yet; a text argument is a literal geography, other values are literals."""
-    spark = SparkSession.active()
+    spark, name = SparkSession.active(), ALIASES.get(name, name)
     register(spark, name, *(("st_geogfromtext", "st_geogfromgeojson", "st_geogfromwkb") if any(isinstance(a, str) for a in args) else ()))
     return F.call_function(name, *(geography(a) if isinstance(a, str) else a if isinstance(a, Column) else F.lit(a) for a in args))
 

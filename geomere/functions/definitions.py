@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from . import plane, sphere, text
+from . import binary, plane, sphere, text
 from .shape import (
     GEO,
     NONE,
@@ -40,8 +40,12 @@ FUNCTIONS: dict[str, Definition] = {}
 _LONG = 800
 
 
+#: Bound to variables, the predicate gives wrong answers in Spark 4.1, though each of its parts gives right ones.
+_UNBOUND = {"st_touches"}
+
+
 def define(fn: str, args: str, returns: str, body: str) -> None:
-    if len(body) > _LONG:
+    if len(body) > _LONG and fn not in _UNBOUND:
         for g in re.findall(rf"(\w+) (?={re.escape(GEO)}|ARRAY<{re.escape(GEO)})", args):
             body = f"transform(array({g}), {g} -> {body})[0]"
     FUNCTIONS[fn] = (args, returns, body)
@@ -57,9 +61,8 @@ _xy = lambda p: point(f"{p}.x", f"{p}.y")
 
 # --- constructors -----------------------------------------------------------------------
 
-define("st_makepoint", "x DOUBLE, y DOUBLE", GEO, f"CASE WHEN x IS NULL OR y IS NULL THEN NULL WHEN abs(x) <= 180.0000000001D AND abs(y) <= 90.0000000001D THEN {_dot(point('greatest(-180D, least(180D, x))', 'greatest(-90D, least(90D, y))'))} ELSE {error('Coordinate values were coerced into range')} END")
-define("st_makepointz", "x DOUBLE, y DOUBLE, z DOUBLE", GEO, f"CASE WHEN x IS NULL OR y IS NULL OR z IS NULL THEN NULL WHEN abs(x) <= 180.0000000001D AND abs(y) <= 90.0000000001D THEN {_dot(point('greatest(-180D, least(180D, x))', 'greatest(-90D, least(90D, y))', 'z'), flags='1')} ELSE {error('Coordinate values were coerced into range')} END")
-define("st_geogpoint", "x DOUBLE, y DOUBLE", GEO, FUNCTIONS["st_makepoint"][2])
+define("st_makepoint", "x DOUBLE, y DOUBLE, z DOUBLE DEFAULT NULL", GEO, f"CASE WHEN x IS NULL OR y IS NULL THEN NULL WHEN abs(x) <= 180.0000000001D AND abs(y) <= 90.0000000001D THEN {_dot(point('greatest(-180D, least(180D, x))', 'greatest(-90D, least(90D, y))', 'z'), flags='IF(z IS NULL, 0, 1)')} ELSE {error('Coordinate values were coerced into range')} END")
+define("st_geogpoint", "x DOUBLE, y DOUBLE, z DOUBLE DEFAULT NULL", GEO, FUNCTIONS["st_makepoint"][2])
 
 
 def _line_of(gs: str) -> str:
@@ -82,16 +85,16 @@ define("st_makepolygon", f"shell {GEO}, holes ARRAY<{GEO}> DEFAULT array()", GEO
 
 # --- formatters and parsers -------------------------------------------------------------
 
+define("st_asewkb", f"g {GEO}", "BINARY", binary.as_binary("g", True))
+define("st_aswkb", f"g {GEO}, form STRING DEFAULT 'ndr'", "BINARY", f"CASE WHEN g IS NULL OR form IS NULL THEN NULL WHEN form = '' THEN {binary.as_binary('g', True)} ELSE {binary.as_binary('g', False, "lower(form) LIKE 'xdr%'")} END")
 define("st_astext", f"g {GEO}, digits INT DEFAULT 15", "STRING", f"CASE WHEN g IS NULL THEN NULL ELSE {text.as_text('g', 'digits')} END")
-define("st_asgeojson", f"g {GEO}, digits INT DEFAULT 9", "STRING", f"CASE WHEN g IS NULL THEN NULL ELSE {text.as_json('g', 'digits')} END")
+define("st_asgeojson", f"g {GEO}, digits INT DEFAULT 15", "STRING", f"CASE WHEN g IS NULL THEN NULL ELSE {text.as_json('g', 'digits')} END")
 
 
 def _hash(g: str, precision: str) -> str:
     def of(b: str) -> str:
         x, y = f"(({b}.xmin + {b}.xmax) / 2)", f"(({b}.ymin + {b}.ymax) / 2)"
-        # the most letters whose cell still holds the whole box
-        bits = lambda span, size: f"IF({span} = 0, 60, greatest(0, CAST(floor(log2({size} / {span})) AS INT)))"
-        letters = f"CASE WHEN {b}.xmin = {b}.xmax AND {b}.ymin = {b}.ymax THEN 20 ELSE CAST(floor((least({bits(f'({b}.xmax - {b}.xmin)', '360D')}, {bits(f'({b}.ymax - {b}.ymin)', '180D')} ) * 2) / 5) AS INT) END"
+        letters = f"CASE WHEN {b}.xmin = {b}.xmax AND {b}.ymin = {b}.ymax THEN 20 ELSE {text.shared_letters(b)} END"
         return let(f"named_struct('n', IF({precision} <= 0, {letters}, {precision}), 'x', {x}, 'y', {y})", lambda k: text.geohash(f"{k}.x", f"{k}.y", f"{k}.n"))
 
     return f"CASE WHEN {g} IS NULL THEN NULL WHEN {empty(g)} THEN '' ELSE {let(box(g), of)} END"
@@ -153,8 +156,9 @@ define("st_maxdistance", f"a {GEO}, b {GEO}, use_spheroid BOOLEAN DEFAULT true",
 _lines = lambda g, on, kinds: total(keep(f"{g}.parts", lambda p: f"{p}.kind IN ({kinds})"), lambda p: total(f"{p}.rings", lambda r: sphere.line_length(r, on, f"{g}.flags")))
 define("st_length", f"g {GEO}, use_spheroid BOOLEAN DEFAULT false", "DOUBLE", f"CASE WHEN g IS NULL THEN NULL WHEN g.kind IN (2, 5) THEN {_lines('g', 'use_spheroid', '2')} WHEN g.kind = 7 THEN {_lines('g', 'use_spheroid', '2, 3')} ELSE 0D END")
 define("st_perimeter", f"g {GEO}, use_spheroid BOOLEAN DEFAULT false", "DOUBLE", f"CASE WHEN g IS NULL THEN NULL WHEN g.kind IN (3, 6, 7) THEN {_lines('g', 'use_spheroid', '2, 3')} ELSE 0D END")
-_areas = total(keep("g.parts", lambda p: f"{p}.kind = 3"), lambda p: let(f"{p}.rings", lambda rs: f"{let(f'{rs}[0]', sphere.ring_area)} - {total(f'slice({rs}, 2, greatest(size({rs}) - 1, 0))', sphere.ring_area)}"))
-define("st_area", f"g {GEO}", "DOUBLE", f"CASE WHEN g IS NULL THEN NULL ELSE {_areas} END")
+_ring_sum = lambda p, area: let(f"{p}.rings", lambda rs: f"{let(f'{rs}[0]', area)} - {total(f'slice({rs}, 2, greatest(size({rs}) - 1, 0))', area)}")
+_areas = lambda area: total(keep("g.parts", lambda p: f"{p}.kind = 3"), lambda p: _ring_sum(p, area))
+define("st_area", f"g {GEO}, use_spheroid BOOLEAN DEFAULT false", "DOUBLE", f"CASE WHEN g IS NULL THEN NULL WHEN use_spheroid THEN {_areas(sphere.authalic_area)} ELSE {_areas(sphere.ring_area)} END")
 define("st_azimuth", f"a {GEO}, b {GEO}", "DOUBLE", _same_srid("a", "b", f"CASE WHEN a.kind = 0 OR b.kind = 0 THEN 0D WHEN {_is_point('a')} AND {_is_point('b')} THEN {sphere.azimuth(_first('a'), _first('b'))} END"))
 _bearing = lambda p, q: f"atan2({q}.x - {p}.x, {q}.y - {p}.y)"
 _turn = lambda u, v: let(f"{v} - {u}", lambda d: f"pmod({d}, 2 * pi())")
@@ -265,7 +269,7 @@ def _union(gs: str) -> str:
     return let(f"array_distinct(flatten({each(gs, lambda g: f'{g}.parts')}))", lambda ps: geo(kind(ps), ps, f"{gs}[0].srid"))
 
 
-define("st_union", f"a {GEO}, b {GEO}", GEO, _same_srid("a", "b", f"CASE WHEN a.kind = 0 THEN b WHEN b.kind = 0 THEN a WHEN {empty('a')} THEN b WHEN {empty('b')} THEN a WHEN {plane.only_points('a')} AND {plane.only_points('b')} OR NOT {plane.intersects('a', 'b')} THEN {let('array(a, b)', _union)} WHEN {plane.covers('a', 'b')} THEN a WHEN {plane.covers('b', 'a')} THEN b ELSE {_open} END"))
+define("st_union", f"a {GEO}, b {GEO}", GEO, _same_srid("a", "b", f"CASE WHEN a.kind = 0 OR b.kind = 0 THEN {_NOTHING} WHEN {empty('a')} THEN b WHEN {empty('b')} THEN a WHEN {plane.only_points('a')} AND {plane.only_points('b')} OR NOT {plane.intersects('a', 'b')} THEN {let('array(a, b)', _union)} WHEN {plane.covers('a', 'b')} THEN a WHEN {plane.covers('b', 'a')} THEN b ELSE {_open} END"))
 define("st_union_list", f"gs ARRAY<{GEO}>", GEO, f"CASE WHEN gs IS NULL THEN NULL ELSE {let(keep('gs', lambda g: f'{g} IS NOT NULL AND {g}.kind > 0'), lambda u: f'CASE size({u}) WHEN 0 THEN {_NOTHING} WHEN 1 THEN {u}[0] ELSE IF({every(u, plane.only_points)}, {_union(u)}, {_open}) END')} END")
 
 # --- predicates -------------------------------------------------------------------------

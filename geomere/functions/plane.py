@@ -26,9 +26,13 @@ def where(p: str, g: str, exact: bool = True) -> str:
     on = on_edge if exact else _near_edge
     ray = lambda e: f"(({e}.a.y > {p}.y) <> ({e}.b.y > {p}.y) AND {p}.x < ({e}.b.x - {e}.a.x) * ({p}.y - {e}.a.y) / ({e}.b.y - {e}.a.y) + {e}.a.x)"
 
+    inside = lambda es: f"size({keep(es, ray)}) % 2 = 1"
+    touched = lambda es: some(es, lambda e: on(p, e))
+
     def solid(q: str) -> str:
-        own = f"flatten({each(f'{q}.rings', edges)})"
-        return let(own, lambda es: f"CASE WHEN {some(es, lambda e: on(p, e))} THEN {BORDER} WHEN size({keep(es, ray)}) % 2 = 1 THEN {INSIDE} ELSE {OUTSIDE} END")
+        holes = f"slice({q}.rings, 2, greatest(size({q}.rings) - 1, 0))"
+        in_hole = each(holes, lambda r: let(edges(r), lambda es: f"CASE WHEN {touched(es)} THEN {BORDER} WHEN {inside(es)} THEN {OUTSIDE} ELSE {INSIDE} END"))
+        return let(edges(f"{q}.rings[0]"), lambda es: f"CASE WHEN {touched(es)} THEN {BORDER} WHEN NOT {inside(es)} THEN {OUTSIDE} WHEN size({q}.rings) = 1 THEN {INSIDE} ELSE array_min({in_hole}) END")
 
     close = (lambda a: f"({a}.x = {p}.x AND {a}.y = {p}.y)") if exact else (lambda a: f"(abs({a}.x - {p}.x) <= 1e-12D AND abs({a}.y - {p}.y) <= 1e-12D)")
     dot = (lambda q: f"IF({close(f'{q}.rings[0][0]')}, {INSIDE}, {OUTSIDE})") if exact else (lambda q: str(OUTSIDE))
@@ -113,15 +117,22 @@ def covers(a: str, b: str) -> str:
 
 def insides_meet(a: str, b: str) -> str:
     """Whether the insides of two geographies share a point."""
-    dots = f"({some(keep(f'{a}.parts', lambda p: f'{p}.kind = 1'), lambda p: f'{where(f'{p}.rings[0][0]', b)} = 2')} OR {some(keep(f'{b}.parts', lambda p: f'{p}.kind = 1'), lambda p: f'{where(f'{p}.rings[0][0]', a)} = 2')})"
-    runs = f"({some(pieces(a, b), lambda s: f'{s}.w = 2')} OR {some(pieces(b, a), lambda s: f'{s}.w = 2')})"
-    # edges cross at a point inside of both; only lines need it, as crossing borders of areas leave pieces inside
-    both = lambda m: f"{where(m, a, exact=False)} = 2 AND {where(m, b, exact=False)} = 2"
-    at_cut = f"(NOT {solid(a)} AND NOT {solid(b)} AND {some(pieces(a, b), lambda s: f'({both(f"{s}.p")}) OR ({both(f"{s}.q")})')})"
-    same = f"({solid(a)} AND {solid(b)} AND {every(pieces(a, b), lambda s: f'{s}.w = 1')} AND {every(pieces(b, a), lambda s: f'{s}.w = 1')})"
-    area_border = f"({solid(a)} OR {solid(b)})"
-    lines_on_area = runs  # a piece inside of an area, or along the inside of a line
-    return f"({dots} OR (({area_border} OR NOT {only_points(a)}) AND {lines_on_area}) OR {at_cut} OR {same})"
+    dots = lambda g, h: some(keep(f"{g}.parts", lambda p: f"{p}.kind = 1"), lambda p: f"{where(f'{p}.rings[0][0]', h)} = 2")
+
+    def by_pieces(ps: str, qs: str) -> str:
+        # a piece inside of an area, or along the inside of a line
+        runs = f"({some(ps, lambda s: f'{s}.w = 2')} OR {some(qs, lambda s: f'{s}.w = 2')})"
+        # lines that cross have no piece in common; areas that do leave pieces inside of each other
+        both = lambda m: f"{where(m, a, exact=False)} = 2 AND {where(m, b, exact=False)} = 2"
+        at_cut = f"(NOT {solid(a)} AND NOT {solid(b)} AND {some(ps, lambda s: some(f'array({s}.p, {s}.q)', both))})"
+        # borders that run together have the insides on one side of them or on both: a place beside a piece tells
+        beside = lambda s, k: f"named_struct('x', ({s}.p.x + {s}.q.x) / 2 + {k} * ({s}.q.y - {s}.p.y), 'y', ({s}.p.y + {s}.q.y) / 2 - {k} * ({s}.q.x - {s}.p.x))"
+        both_at = lambda m: f"({where(m, a)} = 2 AND {where(m, b)} = 2)"
+        same = f"({solid(a)} AND {solid(b)} AND {some(ps, lambda s: f'{s}.w = 1 AND {some(f"array({beside(s, '1e-6D')}, {beside(s, '-1e-6D')})", both_at)}')})"
+        return f"({runs} OR {at_cut} OR {same})"
+
+    met = let(pieces(a, b), lambda ps: let(pieces(b, a), lambda qs: by_pieces(ps, qs)))
+    return f"({dots(a, b)} OR {dots(b, a)} OR {met})"
 
 
 def contains(a: str, b: str) -> str:

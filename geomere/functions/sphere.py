@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from .shape import A, B, F_, R, all_edges, each, edges, empty, every, keep, let, name, points, rings, same_point, segments, some, total
 
 
@@ -149,6 +151,23 @@ def ring_area(ring: str, radius: str = repr(R)) -> str:
     return f"(abs({let(vectors, lambda vs: total(legs(vs), triangle))}) * {radius}D * {radius}D)"
 
 
+_E2 = (A * A - B * B) / (A * A)
+_E = math.sqrt(_E2)
+_q = lambda s: (1 - _E2) * (s / (1 - _E2 * s * s) - math.log((1 - _E * s) / (1 + _E * s)) / (2 * _E))
+_QP = _q(1.0)
+
+
+def authalic_area(ring: str) -> str:
+    """Area on the spheroid: that of the ring on the sphere of the same surface, each latitude moved to where it bounds the same area."""
+
+    def moved(p: str) -> str:
+        s = f"sin(radians({p}.y))"
+        q = let(s, lambda v: f"({1 - _E2!r}D * ({v} / (1 - {_E2!r}D * {v} * {v}) - ln((1 - {_E!r}D * {v}) / (1 + {_E!r}D * {v})) / {2 * _E!r}D))")
+        return f"named_struct('x', {p}.x, 'y', degrees(asin(greatest(-1D, least(1D, {q} / {_QP!r}D)))))"
+
+    return let(each(ring, moved), lambda r: ring_area(r, repr(A * math.sqrt(_QP / 2))))
+
+
 def centroid(g: str) -> str:
     """The unit vectors' mean: points alike, edges by length, polygons by the area of triangles from their first point."""
     scaled = lambda v, w: f"named_struct('x', {v}.x * {w}, 'y', {v}.y * {w}, 'z', {v}.z * {w})"

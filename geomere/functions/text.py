@@ -155,6 +155,20 @@ def geohash(x: str, y: str, precision: str) -> str:
     return f"CASE WHEN {precision} <= 0 THEN '' ELSE {let(_bisect(f'({precision}) * 5', x, y), letters)} END"
 
 
+def shared_letters(b: str) -> str:
+    """How many letters of a geohash hold a whole box (xmin, ymin, xmax, ymax)."""
+    s, i, mid = name(), name(), name()
+
+    def halve(lo: str, hi: str, least: str, most: str) -> str:
+        new = lambda **at: "named_struct(" + ", ".join(f"'{k}', {at.get(k, f'{s}.{k}')}" for k in ("a", "b", "c", "d", "n", "done")) + ")"
+        n = f"{s}.n + 1"
+        return f"transform(array(({s}.{lo} + {s}.{hi}) / 2), {mid} -> CASE WHEN {least} > {mid} THEN {new(**{lo: mid, 'n': n})} WHEN {most} < {mid} THEN {new(**{hi: mid, 'n': n})} ELSE {new(done='true')} END)[0]"
+
+    start = "named_struct('a', -180D, 'b', 180D, 'c', -90D, 'd', 90D, 'n', 0, 'done', false)"
+    step = f"CASE WHEN {s}.done THEN {s} WHEN {i} % 2 = 0 THEN {halve('a', 'b', f'{b}.xmin', f'{b}.xmax')} ELSE {halve('c', 'd', f'{b}.ymin', f'{b}.ymax')} END"
+    return f"CAST(floor(aggregate(sequence(0, 99), {start}, ({s}, {i}) -> {step}).n / 5) AS INT)"
+
+
 def geohash_box(h: str, precision: str) -> str:
     """The cell (a, b, c, d: longitudes and latitudes) of a geohash; an unknown letter is an error."""
     n = f"CASE WHEN {precision} < 0 OR {precision} > length({h}) THEN length({h}) ELSE {precision} END"

@@ -1,10 +1,9 @@
-"""Well-known binary, the one form that SQL has no words for: doubles as bytes. Small Arrow helpers."""
+"""Reading well-known binary, a small Arrow helper: its layout depends on what was read before."""
 
 from __future__ import annotations
 
 import math
 import struct
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -61,45 +60,6 @@ def _read(data: bytes, at: int, flags: int, srid: int) -> tuple[int, dict]:
     return at, {"kind": kind, "srid": srid if srid > 0 else 4326, "flags": flags, "parts": parts}
 
 
-def _write(g: dict, big: bool, extended: bool) -> bytes:
-    order, mark = (">", b"\0") if big else ("<", b"\1")
-    flags = g["flags"]
-
-    def head(kind: int, outer: bool) -> bytes:
-        if not extended:
-            return mark + struct.pack(f"{order}I", kind + 1000 * flags)
-        code = kind | (_Z if flags & 1 else 0) | (_M if flags & 2 else 0)
-        return mark + (struct.pack(f"{order}Ii", code | _SRID, g["srid"]) if outer else struct.pack(f"{order}I", code))
-
-    def place(p: dict) -> bytes:
-        values = [p["x"], p["y"], *([p["z"]] if flags & 1 else []), *([p["m"]] if flags & 2 else [])]
-        return struct.pack(f"{order}{len(values)}d", *values)
-
-    def line(r: list) -> bytes:
-        return struct.pack(f"{order}I", len(r)) + b"".join(map(place, r))
-
-    def body(p: dict) -> bytes:
-        rings = p["rings"]
-        if p["kind"] == 1:
-            return place(rings[0][0])
-        return line(rings[0]) if p["kind"] == 2 else struct.pack(f"{order}I", len(rings)) + b"".join(map(line, rings))
-
-    kind, parts = g["kind"], g["parts"]
-    if kind == 0:
-        return b""
-    if kind > 3:
-        return head(kind, True) + struct.pack(f"{order}I", len(parts)) + b"".join(head(p["kind"], False) + body(p) for p in parts)
-    if not parts:
-        nothing = struct.pack(f"{order}{2 + (flags & 1) + (flags >> 1)}d", *[math.nan] * (2 + (flags & 1) + (flags >> 1)))
-        return head(kind, True) + (nothing if kind == 1 else struct.pack(f"{order}I", 0))
-    return head(kind, True) + body(parts[0])
-
-
-def _rows(frame: pd.DataFrame) -> Iterator[dict | None]:
-    for kind, srid, flags, parts in zip(frame["kind"], frame["srid"], frame["flags"], frame["parts"], strict=True):
-        yield None if parts is None else {"kind": int(kind), "srid": int(srid), "flags": int(flags), "parts": parts}
-
-
 def decoder():
     """binary -> geography; bytes of length zero are the nothing of kind 0."""
 
@@ -109,12 +69,3 @@ def decoder():
         return pd.DataFrame(out, columns=["kind", "srid", "flags", "parts"])
 
     return F.pandas_udf(decode, GEO)
-
-
-def encoder(big: bool = False, extended: bool = True):
-    """geography -> (E)WKB."""
-
-    def encode(values: pd.DataFrame) -> pd.Series:
-        return pd.Series([None if g is None else _write(g, big, extended) for g in _rows(values)], dtype=object)
-
-    return F.pandas_udf(encode, "binary")

@@ -105,7 +105,7 @@ _sql("astext", "SELECT c_custkey, st_astext(st_makepoint(round(lon, 2), round(la
 _sql("asgeojson", "SELECT c_custkey, st_asgeojson(st_makepoint(lon, lat)) AS json FROM {customer_pt}", f"SELECT c_custkey, '{{\"type\":\"Point\",\"coordinates\":[' || {_XY.format(',')} || ']}}' AS json FROM customer_pt")
 _sql("fromtext", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_geogfromtext(concat('SRID=4326;POINT (', lon, '  ', lat, ')')) AS g FROM {customer_pt})", "SELECT c_custkey, lon AS x, lat AS y FROM customer_pt")
 _sql("fromgeojson", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_geogfromgeojson(concat('{{\"type\":\"Point\",\"coordinates\":[', lon, ',', lat, ']}}')) AS g FROM {customer_pt})".replace("{{", "{{").replace("}}", "}}"), "SELECT c_custkey, lon AS x, lat AS y FROM customer_pt")
-_sql("wkb", "SELECT s_suppkey, hex(st_asewkb(st_geogfromwkb(st_asbinary(st_makepoint(s_suppkey % 2, 0))))) AS ewkb FROM {supplier_pt}", "SELECT s_suppkey, '0101000020E6100000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS ewkb FROM supplier_pt")
+_sql("wkb", "SELECT s_suppkey, hex(st_asewkb(st_geogfromwkb(unhex(concat('0101000000', IF(s_suppkey % 2 = 1, '000000000000F03F', '0000000000000000'), '0000000000000000'))))) AS ewkb, hex(st_aswkb(st_makepoint(s_suppkey % 2, 0))) AS wkb FROM {supplier_pt}", "SELECT s_suppkey, '0101000020E6100000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS ewkb, '0101000000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS wkb FROM supplier_pt")
 _BASE = "'0123456789bcdefghjkmnpqrstuvwxyz'"
 _BIT = "((CASE WHEN {b} % 2 = 0 THEN CAST(floor((lon + 180) / 360 * 8192) AS BIGINT) >> CAST(12 - {b} // 2 AS BIGINT) ELSE CAST(floor((lat + 90) / 180 * 4096) AS BIGINT) >> CAST(11 - {b} // 2 AS BIGINT) END) & 1)"
 _LETTERS = " || ".join("substr(" + _BASE + ", CAST(" + " + ".join(f"{16 >> i} * {_BIT.format(b=5 * k + i)}" for i in range(5)) + " AS BIGINT) + 1, 1)" for k in range(5))
