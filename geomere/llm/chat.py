@@ -2,7 +2,7 @@
 
 Calls and results are joined by identifier; of several with one identifier the first
 (by conversation, turn and content) counts. Calls are put in topological order of what they
-depend on, level by level, with a join and a grouped count for each level. A call's
+depend on: chains by doubling pointers, the rest level by level, with joins and grouped counts. A call's
 arguments are checked against its tool's schema, and the linked pair is written as
 canonical JSON: keys sorted, no spaces, the shortest numbers, only what must be escaped
 escaped.
@@ -78,24 +78,47 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
     return out
 
 
+def _chains(single: DataFrame) -> DataFrame:
+    """head and distance of every call with one dependency. ``single``: call_id, head (what it depends on).
+
+    A chain's head is its first call that is not in ``single``. Pointers double their reach with each join, so a
+    chain of any length takes as many joins as its length has bits. What has no head then runs in circles.
+    """
+    reach = written(single.withColumn("distance", F.lit(1)), "chains")
+    for _ in range(max(reach.count(), 1).bit_length()):
+        further = reach.select(F.col("call_id").alias("head"), F.col("head").alias("_head"), F.col("distance").alias("_distance"))
+        met = written(reach.join(further, "head", "left"), "chains")
+        if met.where("_head is not null").isEmpty():
+            break
+        reach = met.select("call_id", F.coalesce("_head", "head").alias("head"), (F.col("distance") + F.coalesce("_distance", F.lit(0))).alias("distance"))
+    return reach.join(single.select(F.col("call_id").alias("head")), "head", "left_anti").select("call_id", "head", "distance")
+
+
 def levels(calls: DataFrame) -> DataFrame:
-    """call_id and level of every call whose dependencies can be met. ``calls``: call_id (unique), after (array of call_id)."""
+    """call_id and level of every call whose dependencies can be met. ``calls``: call_id (unique), after (array of call_id).
+
+    Calls with one dependency are followed along their chains at once; rounds are only
+    needed for calls with several.
+    """
     needs = calls.select("call_id", F.explode("after").alias("need")).where("need is not null").distinct()
-    known_ids = calls.select(F.col("call_id").alias("need"))
-    needs = written(needs.join(known_ids, "need", "left_semi"), "needs")
-    done = written(calls.select("call_id").join(needs, "call_id", "left_anti").withColumn("level", F.lit(0)), "levels")
-    parts = [done]
-    known = done
-    while True:
-        met = needs.join(known.select(F.col("call_id").alias("need"), "level"), "need", "left")
+    needs = written(needs.join(calls.select(F.col("call_id").alias("need")), "need", "left_semi"), "needs")
+    counted = written(needs.groupBy("call_id").agg(F.count("*").alias("n"), F.min("need").alias("head")), "counted")
+    free = calls.select("call_id").join(counted, "call_id", "left_anti")
+    many = counted.where("n > 1").select("call_id")
+    chained = _chains(counted.where("n = 1").select("call_id", "head"))
+    placed = written(free.unionByName(many).select("call_id", F.col("call_id").alias("head"), F.lit(0).alias("distance")).unionByName(chained), "placed")
+    open_ = needs.join(many, "call_id", "left_semi").join(placed.select(F.col("call_id").alias("need"), "head", "distance"), "need", "left")
+    open_ = written(open_.select("call_id", "head", "distance"), "open")
+    known = written(free.select(F.col("call_id").alias("head"), F.lit(0).alias("level")), "levels")
+    while not open_.isEmpty():
+        met = open_.join(known, "head", "left").withColumn("level", F.col("level") + F.col("distance"))
         ready = met.groupBy("call_id").agg(F.count("*").alias("n"), F.count("level").alias("met"), F.max("level").alias("top")).where("n = met")
-        ready = written(ready.select("call_id", (F.col("top") + 1).alias("level")), "levels")
+        ready = written(ready.select(F.col("call_id").alias("head"), (F.col("top") + 1).alias("level")), "levels")
         if ready.isEmpty():
             break
-        parts.append(ready)
-        known = known.unionByName(ready)
-        needs = written(needs.join(ready, "call_id", "left_anti"), "needs")
-    return known
+        known = written(known.unionByName(ready), "levels")
+        open_ = written(open_.join(ready.select(F.col("head").alias("call_id")), "call_id", "left_anti"), "open")
+    return placed.join(known, "head").select("call_id", (F.col("level") + F.col("distance")).alias("level"))
 
 
 def _first(rows: DataFrame, content: str) -> DataFrame:

@@ -74,3 +74,10 @@ def test_linking_ordering_and_states(spark):
     assert out[1, 0, "a"].json == '{"arguments":{"n":1},"id":"a","name":"t","result":"ok"}'
     empty = chat.linked(c.limit(0), r.limit(0), {})
     assert empty.count() == 0
+
+
+def test_levels_of_long_chains_and_branches(spark):
+    calls = [(f"a{i}", [f"a{i - 1}"] if i else []) for i in range(150)]
+    calls += [("m", ["a149", "b1", "a3"]), ("b0", []), ("b1", ["b0"]), ("n", ["m"]), ("o", ["n", "m"]), ("x", ["y"]), ("y", ["z"]), ("z", ["x"]), ("w", ["x"]), ("v", ["w", "b0"])]
+    found = {r.call_id: r.level for r in chat.levels(spark.createDataFrame(calls, "call_id string, after array<string>")).collect()}
+    assert found == {f"a{i}": i for i in range(150)} | {"m": 150, "b0": 0, "b1": 1, "n": 151, "o": 152}
