@@ -6,7 +6,7 @@ language. Address suffix and host: priors smoothed from all rows to the suffix t
 host, by grouped sums of the text's own posteriors, each row's own share taken out. Their
 logarithms add up to the posterior.
 
-The trigram model is fitted on at most ``SAMPLE`` labelled documents, those with the least hash;
+The trigram model is fitted on at most ``SAMPLE`` labelled documents, those with the least hash, each text once;
 every count of declarations, suffixes and hosts covers all rows.
 
 Defined results: a null text counts as an empty one; a row without letters has lang 'und'
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .arrow import row_key, slices
+from .arrow import least_hashed, row_key, slices
 
 #: Labelled documents that the trigram model is fitted on, at most, and languages.
 SAMPLE, LANGUAGES = 5_000, 63
@@ -70,8 +70,9 @@ class TextModel:
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> TextModel:
     """The trigram model of the languages that ``label`` names."""
-    sample = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("lang"), F.col(text).alias("text")).withColumn("_row", row_key("text"))
-    sample = sample.orderBy("_row", "lang").limit(SAMPLE)
+    rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("lang"), F.col(text).alias("text"), row_key(text).alias("_row"))
+    names = least_hashed(rows.select("_row"), "_row", SAMPLE).distinct()  # at most SAMPLE hashes, so they are broadcast
+    sample = rows.join(F.broadcast(names), "_row").groupBy("_row").agg(F.min("lang").alias("lang"), F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -82,7 +83,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> TextModel:
                 at = np.nonzero(n)[0]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], ["lang", "bucket", "n"])
 
-    counted = sample.select("lang", "text").repartition(16, "text").mapInArrow(count, "lang string, bucket int, n long")
+    counted = sample.select("lang", "text").mapInArrow(count, "lang string, bucket int, n long")
     found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"), F.sum("n").alias("all"))
     rows = sorted(found.orderBy(F.desc("all"), "lang").limit(LANGUAGES).collect(), key=lambda r: r["lang"])
     logs = np.zeros((len(rows) + 1, BUCKETS))

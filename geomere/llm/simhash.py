@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from ..session import written
-from .arrow import fresh, row_key, slices, text_bytes
+from .arrow import fresh, keyed, row_key, slices, text_bytes
 
 #: Fingerprints in a tile, on average at most.
 TILE = 1024
@@ -141,8 +141,8 @@ def kept_one(docs: DataFrame, radius: int = 3, text: str = "text", key: str = "d
     classes = near_duplicates(docs, radius, text, key)
     first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row")))
     keep = classes.groupBy("root").agg(first.alias("x")).select(F.col("x.key").alias("_key"), F.col("x.row").alias("_keep"))
-    mark = fresh(docs.columns, "_mark")
-    keep = written(keep.toDF(fresh(docs.columns, "_key"), fresh(docs.columns, "_keep")), "keep")
-    marked = docs.withColumn(mark, row_key(text))
-    found = marked.join(keep, marked[key].eqNullSafe(keep[keep.columns[0]]) & (marked[mark] == keep[keep.columns[1]]), "left_semi")
-    return found.dropDuplicates([key, mark]).select(docs.columns)
+    names = [fresh(docs.columns, n) for n in ("_key", "_none", "_mark")]
+    known = dict(zip(names, (*keyed(docs, key), row_key(text)), strict=True))
+    keep = written(keep.select(*(c.alias(n) for n, c in zip(names, (*keyed(keep, "_key"), F.col("_keep")), strict=True))), "keep")
+    # the rows stay where the join has put them
+    return docs.withColumns(known).join(keep, names, "left_semi").dropDuplicates(names).select(docs.columns)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .arrow import fresh
+from .arrow import fresh, least_hashed
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
 #: Tokens in the lexicon, at most; their least z-score and log-odds ratio.
@@ -217,7 +217,8 @@ def held_out(key: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> Model:
     """A model from the labelled rows that are not held out."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.max("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
-    sample = usable.orderBy(F.xxhash64(key), key).limit(SAMPLE)  # so at most SAMPLE pairs of numbers are broadcast
+    usable = written(usable.withColumn("_hash", F.xxhash64(key)), "usable")
+    sample = least_hashed(usable, "_hash", SAMPLE).drop("_hash")  # so at most SAMPLE pairs of numbers are broadcast
     rows = docs.select(key, F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(sample), key)
     rows = rows.select("text", "toxic").mapInArrow(_sketched, "text string, toxic int, s0 long, s1 long")
     for mark in ("s0", "s1"):  # near copies of one document say a thing once: they mostly share a least shingle
