@@ -108,9 +108,16 @@ def intersects(a: str, b: str) -> str:
     return f"(NOT {empty(a)} AND NOT {empty(b)} AND {boxes_meet(a, b)} AND {met})"
 
 
+def _beside(s: str) -> str:
+    """Two places beside the middle of a piece, one on either side."""
+    place = lambda k: f"named_struct('x', ({s}.p.x + {s}.q.x) / 2 + {k} * ({s}.q.y - {s}.p.y), 'y', ({s}.p.y + {s}.q.y) / 2 - {k} * ({s}.q.x - {s}.p.x))"
+    return f"array({place('1e-6D')}, {place('-1e-6D')})"
+
+
 def covers(a: str, b: str) -> str:
-    """Whether no point of b is outside of a."""
-    all_in = f"({every(points(b), lambda p: f'{where(p, a)} > 0')} AND {every(pieces(b, a), lambda s: f'{s}.w > 0')})"
+    """Whether no point of b is outside of a. Where an area's border runs along that of a, its inside has to be on the same side."""
+    along = lambda s: f"({s}.w = 2 OR NOT {some(_beside(s), lambda m: f'{where(m, b)} = 2 AND {where(m, a)} = 0')})"
+    all_in = f"({every(points(b), lambda p: f'{where(p, a)} > 0')} AND {every(pieces(b, a), lambda s: f'{s}.w > 0 AND {along(s)}')})"
     area = f"(NOT {solid(b)} OR ({solid(a)} AND NOT {some(pieces(a, b), lambda s: f'{s}.w = 2')}))"
     return f"(NOT {empty(a)} AND NOT {empty(b)} AND {boxes_meet(a, b)} AND {all_in} AND {area})"
 
@@ -120,15 +127,14 @@ def insides_meet(a: str, b: str) -> str:
     dots = lambda g, h: some(keep(f"{g}.parts", lambda p: f"{p}.kind = 1"), lambda p: f"{where(f'{p}.rings[0][0]', h)} = 2")
 
     def by_pieces(ps: str, qs: str) -> str:
-        # a piece inside of an area, or along the inside of a line
-        runs = f"({some(ps, lambda s: f'{s}.w = 2')} OR {some(qs, lambda s: f'{s}.w = 2')})"
+        # a line's piece inside of an area or along the inside of a line, or an area's border inside of an area
+        runs = f"(((NOT {solid(a)} OR {solid(b)}) AND {some(ps, lambda s: f'{s}.w = 2')}) OR ((NOT {solid(b)} OR {solid(a)}) AND {some(qs, lambda s: f'{s}.w = 2')}))"
         # lines that cross have no piece in common; areas that do leave pieces inside of each other
         both = lambda m: f"{where(m, a, exact=False)} = 2 AND {where(m, b, exact=False)} = 2"
         at_cut = f"(NOT {solid(a)} AND NOT {solid(b)} AND {some(ps, lambda s: some(f'array({s}.p, {s}.q)', both))})"
         # borders that run together have the insides on one side of them or on both: a place beside a piece tells
-        beside = lambda s, k: f"named_struct('x', ({s}.p.x + {s}.q.x) / 2 + {k} * ({s}.q.y - {s}.p.y), 'y', ({s}.p.y + {s}.q.y) / 2 - {k} * ({s}.q.x - {s}.p.x))"
         both_at = lambda m: f"({where(m, a)} = 2 AND {where(m, b)} = 2)"
-        same = f"({solid(a)} AND {solid(b)} AND {some(ps, lambda s: f'{s}.w = 1 AND {some(f"array({beside(s, '1e-6D')}, {beside(s, '-1e-6D')})", both_at)}')})"
+        same = f"({solid(a)} AND {solid(b)} AND {some(ps, lambda s: f'{s}.w = 1 AND {some(_beside(s), both_at)}')})"
         return f"({runs} OR {at_cut} OR {same})"
 
     met = let(pieces(a, b), lambda ps: let(pieces(b, a), lambda qs: by_pieces(ps, qs)))
