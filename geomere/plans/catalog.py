@@ -102,7 +102,7 @@ SELECT s.s_suppkey, n.cluster FROM supplier_pt s LEFT JOIN member m ON s.s_suppk
 _TEXT = "rtrim(rtrim(printf('%.2f', {0}), '0'), '.')"
 _XY = f"{_TEXT.format('lon')} || '{{0}}' || {_TEXT.format('lat')}"
 _sql("astext", "SELECT c_custkey, st_astext(st_makepoint(round(lon, 2), round(lat, 2))) AS wkt FROM {customer_pt}", f"SELECT c_custkey, 'POINT(' || {_XY.format(' ')} || ')' AS wkt FROM customer_pt")
-_sql("asgeojson", "SELECT c_custkey, st_asgeojson(st_makepoint(lon, lat)) AS json FROM {customer_pt}", f"SELECT c_custkey, '{{\"type\":\"Point\",\"coordinates\":[' || {_XY.format(',')} || ']}}' AS json FROM customer_pt")
+_sql("asgeojson", "SELECT c_custkey, st_asgeojson(st_makepoint(round(lon, 2), round(lat, 2))) AS json FROM {customer_pt}", f"SELECT c_custkey, '{{\"type\":\"Point\",\"coordinates\":[' || {_XY.format(',')} || ']}}' AS json FROM customer_pt")
 _sql("fromtext", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_geogfromtext(concat('SRID=4326;POINT (', lon, '  ', lat, ')')) AS g FROM {customer_pt})", "SELECT c_custkey, lon AS x, lat AS y FROM customer_pt")
 _sql("fromgeojson", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_geogfromgeojson(concat('{{\"type\":\"Point\",\"coordinates\":[', lon, ',', lat, ']}}')) AS g FROM {customer_pt})".replace("{{", "{{").replace("}}", "}}"), "SELECT c_custkey, lon AS x, lat AS y FROM customer_pt")
 _sql("wkb", "SELECT s_suppkey, hex(st_asewkb(st_geogfromwkb(unhex(concat('0101000000', IF(s_suppkey % 2 = 1, '000000000000F03F', '0000000000000000'), '0000000000000000'))))) AS ewkb, hex(st_aswkb(st_makepoint(s_suppkey % 2, 0))) AS wkb FROM {supplier_pt}", "SELECT s_suppkey, '0101000020E6100000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS ewkb, '0101000000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS wkb FROM supplier_pt")
