@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,13 @@ def folded(data: bytes) -> bytes:
     return data if b"<|" in data or b"\xcc" in data or b"\xcd" in data else data.lower()
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that few rows at a time are Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def keyed(docs: DataFrame, key: str) -> tuple[Column, Column]:
     """A key column without nulls, and whether it was null: to be joined and grouped by like any other."""
     kind = docs.schema[key].dataType

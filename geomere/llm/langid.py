@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .arrow import least_hashed, row_key, slices
+from .arrow import least_hashed, row_key, slices, small
 
 #: Labelled documents that the trigram model is fitted on, at most, and languages.
 SAMPLE, LANGUAGES = 5_000, 63
@@ -75,7 +75,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> TextModel:
     sample = rows.join(F.broadcast(names), "_row").groupBy("_row").agg(F.min("lang").alias("lang"), F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             by: dict[str, np.ndarray] = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 by[lang] = by.get(lang, 0) + trigrams(text.encode())
@@ -129,7 +129,7 @@ def identified(rows: DataFrame, model: TextModel, key: str, text: str, declared:
     kind = rows.schema[key].dataType.simpleString()
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             n, logs, said = [], [], []
             for x, d in zip(b.column(5).to_pylist(), b.column(2).to_pylist(), strict=True):
                 body, own = parse(x) if parse else (x, None)

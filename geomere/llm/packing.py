@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .arrow import text_bytes
+from .arrow import small, text_bytes
 from .tokens import id_bytes, memo
 
 #: Pieces that one task packs together, on average.
@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text: str = "
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = memo(path, "ids")
         end = end_id.to_bytes(4, "little")
-        for b in batches:
+        for b in small(batches, 2000):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(id_bytes(b.column(1).to_pylist(), words)):
                 ids += end

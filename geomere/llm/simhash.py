@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from ..session import written
-from .arrow import fresh, keyed, row_key, slices, text_bytes
+from .arrow import fresh, keyed, row_key, slices, small, text_bytes
 
 #: Fingerprints in a tile, on average at most.
 TILE = 1024
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", width
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             fp = np.array([fingerprint(x, width) for x in b.column(2).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp, pa.int64())], [key, "_row", "fp"])
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import folded, slices, text_bytes
+from .arrow import folded, slices, small, text_bytes
 
 #: Bytes of text that are encoded together.
 BATCH_BYTES = 4 << 20
@@ -162,7 +162,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, text: str = "tex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = memo(path, "length")
-        for b in batches:
+        for b in small(batches, 2000):
             texts = b.column(1).to_pylist()
             n = lengths(texts, words)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, texts), pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], [key, "n_bytes", "n_tokens", "over_limit"])

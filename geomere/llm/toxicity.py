@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .arrow import fresh, least_hashed
+from .arrow import fresh, least_hashed, small
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
 #: Tokens in the lexicon, at most; their least z-score and log-odds ratio.
@@ -162,7 +162,7 @@ def _calibrate(scores: dict[str, float], rows: DataFrame) -> Model:
     heads = heads_of(scores)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             n, found, single = [], [], []
             for text in b.column(0).to_pylist():
                 tokens = [t.lower() for t in _TOKEN.findall(text)]
@@ -199,7 +199,7 @@ def _calibrate(scores: dict[str, float], rows: DataFrame) -> Model:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """text and toxic with two independent least hashes of the text's five-word shingles."""
-    for b in batches:
+    for b in small(batches):
         marks = []
         for text in b.column(0).to_pylist():
             words = text.encode().lower().split()
@@ -240,7 +240,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64()), ("chance", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             found = [model.passages(x or "")[1] for x in b.column(b.num_columns - 1).to_pylist()]
             scores = [model.score(model.evidence(x)) for x in found]
             rows = [[dict(zip(names, p, strict=True)) for p in x] for x in found]
