@@ -6,7 +6,8 @@ language. Address suffix and host: priors smoothed from all rows to the suffix t
 host, by grouped sums of the text's own posteriors, each row's own share taken out. Their
 logarithms add up to the posterior.
 
-The trigram model is fitted on at most ``SAMPLE`` labelled documents, those with the least hash, each text once;
+The trigram model has every language that a labelled document names. Each is fitted on its distinct texts, of
+which those with the least hashes, some ``SAMPLE``, stand for the others where there are more;
 every count of declarations, suffixes and hosts covers all rows.
 
 Defined results: a null text counts as an empty one; a row without letters has lang 'und'
@@ -27,10 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .arrow import least_hashed, row_key, slices, small
+from .arrow import row_key, slices, small
 
-#: Labelled documents that the trigram model is fitted on, at most, and languages.
-SAMPLE, LANGUAGES = 5_000, 63
+#: Distinct texts of a language that the trigram model is fitted on, about, where it has more.
+SAMPLE = 5_000
 BUCKETS = 1 << 14
 #: Trigrams past this many repeat the same evidence: longer texts weigh as much as this many.
 WEIGHT = 100.0
@@ -71,8 +72,9 @@ class TextModel:
 def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> TextModel:
     """The trigram model of the languages that ``label`` names."""
     rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("lang"), F.col(text).alias("text"), row_key(text).alias("_row"))
-    names = least_hashed(rows.select("_row"), "_row", SAMPLE).distinct()  # at most SAMPLE hashes, so they are broadcast
-    sample = rows.join(F.broadcast(names), "_row").groupBy("_row").agg(F.min("lang").alias("lang"), F.first("text").alias("text"))
+    many = rows.select("lang", "_row").distinct().groupBy("lang").count().where(F.col("count") > SAMPLE)
+    bounds = many.select("lang", (SAMPLE / F.col("count") * 2.0**64 - 2.0**63).cast("long").alias("_bound"))  # a row for SAMPLE texts at most, so they are broadcast
+    sample = rows.join(F.broadcast(bounds), "lang", "left").where("_bound IS NULL OR _row < _bound").groupBy("lang", "_row").agg(F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -84,8 +86,8 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> TextModel:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], ["lang", "bucket", "n"])
 
     counted = sample.select("lang", "text").mapInArrow(count, "lang string, bucket int, n long")
-    found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"), F.sum("n").alias("all"))
-    rows = sorted(found.orderBy(F.desc("all"), "lang").limit(LANGUAGES).collect(), key=lambda r: r["lang"])
+    found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
+    rows = sorted(found.collect(), key=lambda r: r["lang"])
     logs = np.zeros((len(rows) + 1, BUCKETS))
     for k, r in enumerate(rows):
         n = np.full(BUCKETS, 0.1)

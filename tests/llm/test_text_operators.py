@@ -260,6 +260,29 @@ def test_languages(spark, docs, empty):
     assert langid.rejected(empty).count() == 0
 
 
+def _made(labels, texts=3):
+    """Labelled documents of languages that share no word."""
+    words = lambda k: ["".join(chr(97 + (k * 7 + j * (k % 5 + 3) + i * i) % 26) for i in range(7)) for j in range(12)]
+    r = random.Random(3)
+    return [(k * texts + i, " ".join(r.choice(words(k)) for _ in range(40)), lang, None) for k, lang in enumerate(labels) for i in range(texts)]
+
+
+def test_every_language_has_a_model(spark):
+    labels = [f"l{k:02d}" for k in range(70)]
+    docs = spark.createDataFrame(_made(labels), "doc_id long, text string, lang string, source string")
+    assert langid.fit(docs).languages == labels
+    assert langid.rejected(docs).count() == 0
+
+
+def test_copies_and_frequent_languages_leave_room_for_rare_ones(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 20)
+    made = _made(["often"], 400) + [(1000 + i, t, lang, s) for i, t, lang, s in _made(["none", "rare"], 2) if lang == "rare"]
+    made += [(2000 + i, made[k][1], "often", None) for k in range(0, 400, 40) for i in range(50)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string, source string")
+    assert langid.fit(docs).languages == ["often", "rare"]
+    assert langid.rejected(docs).count() == 0
+
+
 def test_page_text_takes_no_markup():
     assert langid.page_text("a<b>c</b><script>x < y</script><style>p{}</style>d<br>").split() == ["a", "c", "d"]
     assert text(3) == "the. quick brown" or text(3)
