@@ -181,7 +181,7 @@ REPLY = {
 
 
 def replies(conversations: DataFrame) -> DataFrame:
-    """Conversations as tool calls: each user turn calls ``reply``, after the conversation's call two turns before; the turn after it is its result."""
+    """Conversations as tool calls: each user turn calls ``reply``, after the conversation's call two turns before; the turn after it is its result. Turns of other roles are not read; see :func:`turns`."""
     name = lambda turn: F.concat_ws("-", F.lit("c"), F.col("conv_id").cast("string"), turn.cast("string"))
     turn = F.col("turn")
     user = conversations.where("role = 'user'")
@@ -191,6 +191,22 @@ def replies(conversations: DataFrame) -> DataFrame:
     return linked(calls, results, {"reply": REPLY})
 
 
+def turns(conversations: DataFrame) -> DataFrame:
+    """:func:`replies`, and a row for each turn of another role: its status is system, or other (null roles too), its json has role, text and turn."""
+    rest = conversations.where("NOT (role <=> 'user' OR role <=> 'assistant')").select("conv_id", "turn", "role", "text").distinct()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)
+            texts = [canonical({k: v for k, v in {"turn": turn, "role": role, "text": text}.items() if v is not None}) for turn, role, text in rows]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], ["conv_id", "turn", "role", "text", "json"])
+
+    kinds = dict(rest.dtypes)
+    rest = rest.mapInArrow(write, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, text string, json string")
+    status = F.when(F.col("role") == "system", "system").otherwise("other")
+    return replies(conversations).unionByName(rest.select("conv_id", "turn", status.alias("status"), "json"), allowMissingColumns=True)
+
+
 #: What :func:`replies` gives, in SQL.
 REPLIES_SQL = """
 WITH RECURSIVE calls AS (

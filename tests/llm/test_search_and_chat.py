@@ -81,3 +81,10 @@ def test_levels_of_long_chains_and_branches(spark):
     calls += [("m", ["a149", "b1", "a3"]), ("b0", []), ("b1", ["b0"]), ("n", ["m"]), ("o", ["n", "m"]), ("x", ["y"]), ("y", ["z"]), ("z", ["x"]), ("w", ["x"]), ("v", ["w", "b0"])]
     found = {r.call_id: r.level for r in chat.levels(spark.createDataFrame(calls, "call_id string, after array<string>")).collect()}
     assert found == {f"a{i}": i for i in range(150)} | {"m": 150, "b0": 0, "b1": 1, "n": 151, "o": 152}
+
+
+def test_turns_of_every_role(spark):
+    rows = [(1, 0, "system", "be brief"), (1, 1, "user", "hi"), (1, 2, "assistant", "ho"), (1, 3, "tool", "t"), (1, 4, None, None), (2, 0, "system", "alone")]
+    found = chat.turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r.conv_id, r.turn, r.status) for r in found} == {(1, 0, "system"), (1, 1, "linked"), (1, 3, "other"), (1, 4, "other"), (2, 0, "system")}
+    assert len(found) == 5 and {r.json for r in found if r.conv_id == 2} == {'{"role":"system","text":"alone","turn":0}'}
