@@ -200,7 +200,16 @@ def _boundary(g: str) -> str:
 
 define("st_boundary", f"g {GEO}", GEO, _boundary("g"))
 define("st_centroid", f"g {GEO}, use_spheroid BOOLEAN DEFAULT true", GEO, f"CASE WHEN g IS NULL THEN NULL WHEN g.kind = 0 THEN {_NOTHING} WHEN {empty('g')} THEN {geo('7', NONE)} WHEN g.kind = 7 THEN {error('centroid of a collection')} WHEN g.kind = 1 THEN g ELSE {let(sphere.centroid('g'), lambda c: _dot(_xy(c), 'g.srid'))} END")
-define("st_closestpoint", f"a {GEO}, b {GEO}", GEO, _same_srid("a", "b", f"CASE WHEN a.kind = 0 OR b.kind = 0 THEN {_NOTHING} WHEN {empty('a')} OR {empty('b')} THEN NULL ELSE {let(plane.closest('a', 'b', segments('a'), segments('b')), lambda k: _dot(_xy(f'{k}.p'), 'a.srid'))} END"))
+
+
+def _closest(a: str, b: str) -> str:
+    """The first point of a part of one in the area of the other, which is common to both; else the nearest point of a's edges."""
+    firsts = lambda g, area: f"IF({plane.solid(area)}, {keep(each(f'{g}.parts', lambda p: f'{p}.rings[0][0]'), lambda p: f'{plane.where(p, area)} > 0')}, CAST(array() AS ARRAY<{POINT}>))"
+    nearest = let(plane.closest(a, b, segments(a), segments(b)), lambda k: _dot(_xy(f"{k}.p"), f"{a}.srid"))
+    return let(f"concat({firsts(a, b)}, {firsts(b, a)})", lambda c: f"CASE WHEN size({c}) > 0 THEN {_dot(_xy(f'{c}[0]'), f'{a}.srid')} ELSE {nearest} END")
+
+
+define("st_closestpoint", f"a {GEO}, b {GEO}", GEO, _same_srid("a", "b", f"CASE WHEN a.kind = 0 OR b.kind = 0 THEN {_NOTHING} WHEN {empty('a')} OR {empty('b')} THEN NULL ELSE {_closest('a', 'b')} END"))
 define("st_convexhull", f"g {GEO}", GEO, f"CASE WHEN g IS NULL THEN NULL WHEN {empty('g')} THEN {_NOTHING} ELSE {let(plane.hull(points('g')), lambda h: let(each(h, _xy), lambda ps: f'CASE size({ps}) WHEN 1 THEN {_dot(f"{ps}[0]", "g.srid")} WHEN 2 THEN {_one_line(ps, "g.srid")} ELSE {geo("3", f"array({part('3', f'array({ps})')})", "g.srid")} END'))} END")
 _thin = lambda p, r: let(plane.simplified(r, "tolerance"), lambda s: s)
 _simple_part = lambda p: part(f"{p}.kind", f"CASE {p}.kind WHEN 1 THEN {p}.rings WHEN 2 THEN {each(f'{p}.rings', lambda r: _thin(p, r))} ELSE {keep(each(f'{p}.rings', lambda r: _thin(p, r)), lambda r: f'size({r}) >= 4')} END")

@@ -102,6 +102,13 @@ def test_transformations(value):
     assert value.text("st_makeline", "LINESTRING(0 0,1 1)", "POINT(1 1)") == "LINESTRING(0 0,1 1)"
 
 
+def test_closest_point_inside_of_an_area(value):
+    assert value.text("st_closestpoint", SQUARE, "POINT(4 5)") == "POINT(4 5)" and value.text("st_closestpoint", "POINT(4 5)", SQUARE) == "POINT(4 5)"
+    assert value.text("st_closestpoint", SQUARE, "LINESTRING(4 5,30 5)") == "POINT(4 5)"
+    assert value.text("st_closestpoint", SQUARE, "POLYGON((2 2,2 4,4 4,4 2,2 2))") == "POINT(2 2)" and value.text("st_closestpoint", "POLYGON((2 2,2 4,4 4,4 2,2 2))", SQUARE) == "POINT(2 2)"
+    assert value.text("st_closestpoint", "POLYGON((0 0,0 10,10 10,10 0,0 0),(2 2,8 2,8 8,2 8,2 2))", "POINT(3 5)") == "POINT(2 5)"
+
+
 PAIRS = [
     (SQUARE, "POINT(5 5)", "contains covers intersects"),
     (SQUARE, "POINT(0 5)", "covers intersects touches"),
