@@ -1,22 +1,23 @@
 """Order MinHash fingerprints of documents, in DataFrame functions only.
 
-The k-mers of a text are its runs of ``K`` words, each numbered by its occurrence: the second
-time a k-mer comes, it is another element. A hash of k-mer and number deals the
-elements into bins; in each bin the two with the least hashes are taken in the order in which
-the text has them, and their hashes together make the bin's mark. Two texts are as alike as
-the share of bins, among those that either fills, that have equal marks. As marks depend on
-order, moving passages changes them, as it changes the edit distance.
-
-Only elements whose hash is below a bound (some six for a bin, by the text's length) are
-sorted into bins. The bound depends on nothing but the number of k-mers, so equal texts
-have equal fingerprints.
+The tokens of a text are its words; of a word over ``LONGEST`` code points, pieces of that many, and in scripts
+without spaces single code points. The k-mers are its runs of ``K`` tokens, each numbered by its
+occurrence: the second time a k-mer comes, it is another element. Elements have hashes, which lie on
+a circle. Each of the ``ENTRIES`` entries of a fingerprint orders the elements by how far they
+lie behind its own point of the circle; it takes the two least in the order in
+which the text has them, and hashes their hashes together. Two texts are as alike as the share of
+their entries that are equal. As entries depend on order, moving passages changes them, as it
+changes the edit distance, in short texts too: an entry is a pair wherever the text has two k-mers.
+
+One sorted array of a text's elements serves all entries, so its cost is that of one sort. Places are held beside hashes, whole,
+so no length of a text is special; a text has to fit the memory of a task several times over.
 
 Defined results: a null text counts as an empty one, whose fingerprint is empty; a text
-of fewer than ``K`` words is one k-mer; two empty fingerprints have likeness 1; rows equal in id and
+of fewer than ``K`` tokens is one k-mer; two empty fingerprints have likeness 1, an empty and another one 0; rows equal in id and
 text count as one document in the order of documents and are each returned; rows
 equal in id only are ordered by a hash of their text; a null id comes last in
 descending order; the next document of the only one is itself; a table without rows gives none;
-other columns are not read.
+other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,86 +27,82 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .arrow import keyed, row_key
-from .pii import let
-
-#: Words in a k-mer, bins, and elements kept for a bin before the two least are taken.
-K, BINS, PER_BIN = 3, 64, 6
-#: Bits of a packed long that hold a place in the text; the others hold the k-mer's hash.
-_PLACE = 24
-#: Bits of a mark that hold a hash; the others hold its bin.
-_HASHED = 32 - (BINS - 1).bit_length()
-
-
-def _shingled(words: Column) -> Column:
-    """The hashes of a text's k-mers, in order."""
-    n = F.size(words)
-    runs = let(
-        F.transform(words, lambda w: F.xxhash64(w)),
-        lambda h: F.transform(F.sequence(F.lit(0), n - K), lambda i: F.xxhash64(*(F.get(h, i + j) for j in range(K)))),
-    )
-    whole = F.array(F.xxhash64(F.array_join(words, " ")))
-    return F.when(n >= K, runs).when(n > 0, whole).otherwise(F.array().cast("array<bigint>"))
-
 
-def _places(size: Column) -> Column:
-    return F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+#: Tokens in a k-mer, entries of a fingerprint (a power of two), and code points of a token at most.
+K, ENTRIES, LONGEST = 3, 64, 16
+_BITS = (ENTRIES - 1).bit_length()
+#: Bits of a mark that hold a hash; the others hold the number of its entry.
+_HASHED = 32 - _BITS
+#: Scripts that are written without spaces: Thai to Tibetan, Myanmar, Khmer, kana and ideographs.
+_UNSPACED = r"\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+TOKEN = rf"[^\x20\x09-\x0D{_UNSPACED}]{{1,{LONGEST}}}|[{_UNSPACED}]"
 
 
 def _begins(a: Column, part) -> Column:
     """The places in a sorted array at which ``part`` of the elements changes."""
-    return F.filter(_places(F.size(a)), lambda j: (j == 0) | (part(F.get(a, j)) != part(F.get(a, j - 1))))
+    places = F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(places, lambda j: (j == 0) | (part(F.get(a, j)) != part(F.get(a, j - 1))))
 
 
-def _elements(kmers: Column) -> Column:
-    """struct(bin, hash, place) of the elements below the bound, sorted."""
-    mask = (1 << _PLACE) - 1
-    sorted_ = F.sort_array(F.transform(kmers, lambda h, i: F.shiftleft(h, _PLACE).bitwiseOR(i.cast("long").bitwiseAND(F.lit(mask)))))
+def _kmers(hashes: Column) -> Column:
+    """The hashes of a text's k-mers, in order, from those of its tokens."""
+    n = F.size(hashes)
+    runs = F.transform(hashes, lambda h, i: F.xxhash64(h, *(F.get(hashes, i + j) for j in range(1, K))))
+    return F.when(n >= K, F.slice(runs, F.lit(1), n - (K - 1))).when(n > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<bigint>"))
 
-    def numbered(s: Column) -> Column:
-        n = F.size(s)
-        bound = F.least(F.lit(1.0), F.lit(float(BINS * PER_BIN)) / n) - 0.5
-        kmer = lambda x: F.shiftright(x, _PLACE)
 
-        def runs(begin: Column) -> Column:
-            def run(a: Column, r: Column) -> Column:
-                end = F.coalesce(F.get(begin, r + 1), n)
-                return F.transform(F.sequence(a, end - 1), lambda j: F.struct(F.xxhash64(kmer(F.get(s, j)), j - a).alias("hash"), F.get(s, j).bitwiseAND(F.lit(mask)).alias("place")))
+def _numbered(s: Column, begins: Column) -> Column:
+    """Sorted struct(hash, place) of k-mers as those of elements: a k-mer's hash at first, another one each time that it comes again."""
 
-            return F.flatten(F.transform(begin, run))
+    def run(a: Column, r: Column) -> Column:
+        end = F.coalesce(F.get(begins, r + 1), F.size(s))
+        again = lambda j: F.struct(F.when(j == a, F.get(s, j).hash).otherwise(F.xxhash64(F.get(s, j).hash, j - a)).alias("hash"), F.get(s, j).place.alias("place"))
+        return F.transform(F.sequence(a, end - 1), again)
 
-        low = F.filter(let(_begins(s, kmer), runs), lambda e: e.hash / F.lit(2.0**64) < bound)
-        return F.array_sort(F.transform(low, lambda e: F.struct(e.hash.bitwiseAND(F.lit(BINS - 1)).alias("bin"), e.hash.alias("hash"), e.place.alias("place"))))
+    return F.sort_array(F.flatten(F.transform(begins, run)))
 
-    return let(sorted_, numbered)
 
+def _arc(e: Column) -> Column:
+    """The number of the arc between two entries' points that an element lies in; rises with its hash."""
+    return F.shiftright(e.hash, 64 - _BITS).cast("int") + ENTRIES // 2
 
-def _marks(elements: Column) -> Column:
-    """The marks of the bins that have elements: the bin in the upper bits of an int, a hash in the others."""
 
-    def mark(e: Column, a: Column) -> Column:
-        first, second = F.get(e, a), F.get(e, a + 1)
-        pair = F.when(first.place < second.place, F.xxhash64(first.hash, second.hash)).otherwise(F.xxhash64(second.hash, first.hash))
-        h = F.when(second.bin == first.bin, pair).otherwise(F.xxhash64(first.hash))
-        return F.shiftleft(first.bin.cast("int"), _HASHED).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASHED).cast("int"))
+def _firsts(s: Column, begins: Column) -> Column:
+    """For each entry the place in the sorted elements of the first one behind its point; past the last one comes the first."""
+    before = lambda r: F.when(r > 0, _arc(F.get(s, F.get(begins, r - 1)))).otherwise(-1)
+    reached = F.flatten(F.transform(begins, lambda a, r: F.array_repeat(a, _arc(F.get(s, a)) - before(r))))
+    return F.when(F.size(s) > 0, F.concat(reached, F.array_repeat(F.lit(0), ENTRIES - 1 - _arc(F.get(s, F.size(s) - 1))))).otherwise(F.array().cast("array<int>"))
 
-    return let(elements, lambda e: F.transform(_begins(e, lambda x: x.bin), lambda a: mark(e, a)))
 
+def _mark(s: Column, at: Column, entry: Column) -> Column:
+    """The entry's number in the upper bits of an int, the hash of its pair in the others."""
+    e, f = F.get(s, at), F.get(s, (at + 1) % F.size(s))
+    h = F.when(e.place == f.place, F.xxhash64(e.hash)).when(e.place < f.place, F.xxhash64(e.hash, f.hash)).otherwise(F.xxhash64(f.hash, e.hash))
+    return F.shiftleft(entry, _HASHED).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASHED).cast("int"))
 
-def fingerprint(text: Column) -> Column:
-    """The marks of a text (not null): array<int>, in the order of bins."""
-    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    return let(words, lambda w: let(_shingled(w), lambda k: _marks(_elements(k))))
+
+def with_marks(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """The rows with ``name``: the marks (array<int>, in the order of entries) of a text that is not null.
+
+    Each step is a column that the next one reads more than once, so Spark computes it once for a row.
+    """
+    h, k, s, b = (f"{name}_{x}" for x in ("hashes", "kmers", "sorted", "begins"))
+    c = F.col
+    rows = rows.withColumn(h, F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda w: F.xxhash64(w)))
+    rows = rows.withColumn(k, _kmers(c(h))).withColumn(s, F.sort_array(F.transform(k, lambda x, i: F.struct(x.alias("hash"), i.alias("place")))))
+    again = F.size(F.array_distinct(k)) < F.size(k)
+    rows = rows.withColumn(b, F.when(again, _begins(c(s), lambda e: e.hash))).withColumn(s, F.when(c(b).isNotNull(), _numbered(c(s), c(b))).otherwise(c(s)))
+    rows = rows.withColumn(b, _begins(c(s), _arc)).withColumn(b, _firsts(c(s), c(b)))
+    return rows.withColumn(name, F.transform(b, lambda a, i: _mark(c(s), a, i))).drop(h, k, s, b)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of bins with equal marks among those that either fills."""
-    bins = lambda m: F.transform(m, lambda x: F.shiftrightunsigned(x, _HASHED))
-    either = F.size(F.array_union(bins(a), bins(b)))
-    return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
+    """The share of equal entries."""
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / ENTRIES)
 
 
 def shown(marks: Column) -> Column:
-    """A fingerprint as a string: eight hex digits for each filled bin."""
+    """A fingerprint as a string: eight hex digits for each entry."""
     return F.array_join(F.transform(marks, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
@@ -135,7 +132,7 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     rows = docs.select(known.alias("id"), none.alias("none"), row_key(text).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     names = ["id", "none", "row"]
     renamed = lambda prefix: [F.col(c).alias(f"{prefix}_{c}") for c in names]
-    made = written(rows.select(*names, F.length("text").alias("n"), fingerprint(F.col("text")).alias("marks")), "marks")
+    made = written(with_marks(rows, "text", "marks").select(*names, F.length("text").alias("n"), "marks"), "marks")
     order, count = ranked(made.select(*names, "n").distinct(), [F.col("none"), F.col("id").desc(), F.col("row")])
     after = order.select(F.pmod(F.col("rank") - 1, F.lit(max(count, 1))).alias("rank"), *renamed("next"))
     plan = written(order.join(after, "rank").drop("rank"), "plan")
@@ -148,7 +145,7 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     own = rows.join(marks, names).join(plan.select(*names, "n"), names)
     met = own.select(*names, "n", "marks", F.left("text", F.col("n") - half).alias("head")).join(passed, names)
     edited = met.withColumn("edited", F.concat("head", "tail"))
-    edited = edited.select("id", "none", "n", "marks", "next_marks", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("edited_marks"))
+    edited = with_marks(edited, "edited", "edited_marks").select("id", "none", "n", "marks", "next_marks", F.sha2("edited", 256).alias("edited_sha256"), "edited_marks")
     return edited.select(
         F.when(~F.col("none"), F.col("id")).alias(key),
         F.col("n").cast("long").alias("n_chars"),

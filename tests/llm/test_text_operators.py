@@ -163,15 +163,74 @@ def test_a_fingerprint_sees_order_and_repeats(spark):
     words = [f"w{i}" for i in range(400)]
     swapped = words[200:] + words[:200]
     given = [(0, " ".join(words)), (1, " ".join(swapped)), (2, " ".join(words + words)), (3, " ".join(words[:380]))]
-    df = spark.createDataFrame(given, "i int, t string").select("i", fingerprint.fingerprint(F.col("t")).alias("m"))
+    df = fingerprint.with_marks(spark.createDataFrame(given, "i int, t string"), "t", "m").select("i", "m")
     pairs = df.alias("a").join(df.alias("b"), F.col("a.i") == 0).select("b.i", fingerprint.likeness(F.col("a.m"), F.col("b.m")).alias("x"))
     near = {r.i: r.x for r in pairs.collect()}
     assert near[0] == 1.0 and near[3] > 0.7 and near[1] < 0.85 and near[2] < 0.9
-    # a brute-force fingerprint: the two least numbered k-mers of each bin, in the order of the text
+    # one mark for each entry
     assert all(len(set(x >> 26 & 63 for x in r.m)) == len(r.m) for r in df.collect())
 
 
 PARTS = ["+1 (132) 555-1352 ", "4111111111111111", " ", "a@b.co", "1.2.3.4", "é", "😀", ".", "-", "+49 30 1234567 89", "256.1.1.1", "0", "12", "x_y@z.com_w@v.org", "@", "(", "+", "5", "\n", "name (at) host.com", "555-123-4567", "4539 1488 0343 6467"]
+def _xx(seed, *parts):
+    """Spark's hash of longs and ints (as (value, bytes) or long), one after the other."""
+    for x in parts:
+        value, n = x if isinstance(x, tuple) else (x, 8)
+        seed = xxhash.xxh64_intdigest((value % 256**n).to_bytes(n, "little"), seed)
+    return seed
+
+
+def _brute_marks(t):
+    """Every entry's two least elements by their distance behind its point, over all elements."""
+    unspaced = "\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\U00020000-\U0003FFFF"
+    tokens = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(rf"[^\x20\x09-\x0D{unspaced}]{{1,16}}|[{unspaced}]", t)]
+    kmers = [_xx(42, *tokens[i : i + 3]) for i in range(len(tokens) - 2)] if len(tokens) >= 3 else [_xx(42, *tokens)] if tokens else []
+    elements, seen = [], {}
+    for place, k in enumerate(kmers):
+        n = seen[k] = seen.get(k, -1) + 1
+        elements.append((_xx(42, k, (n, 4)) if n else k, place))
+    out = []
+    for entry in range(64 if elements else 0):
+        start = (entry - 32) * 2**58
+        least = sorted(elements, key=lambda e: (e[0] - start) % 2**64)[:2]
+        out.append(entry << 26 | _xx(42, *(h for h, _ in sorted(least, key=lambda e: e[1]))) >> 38)
+    return out
+
+
+def test_marks_are_brute_force(spark):
+    r = random.Random(5)
+    texts = ["", " ", "one", "two words", "a b c", "a b c d", "x" * 500, "漢字かな交じり文です" * 5, "a b c " * 40, "ไทย text 漢 mixed"]
+    texts += [" ".join(r.choice(WORDS[: r.randrange(2, 20)]) for _ in range(r.randrange(1, 900))) for _ in range(60)]
+    found = fingerprint.with_marks(spark.createDataFrame(list(enumerate(texts)), "i long, t string"), "t", "m").collect()
+    for x in found:
+        assert [m % 2**32 for m in x.m] == _brute_marks(x.t), x.t
+
+
+def test_likeness_and_the_next_document_are_brute_force(docs):
+    """near_edited and near_next of the odd rows, from fingerprints made anew in Python."""
+    given = {(r.doc_id, r.text or "") for r in docs.collect() if r.doc_id is not None}
+    ids = sorted({i for i, _ in given}, reverse=True)
+    by_id = {i: [t for j, t in given if j == i] for i in ids}
+    like = lambda a, b: 1.0 if not a and not b else sum(x == y for x, y in zip(a, b)) / 64
+    found = {(r.doc_id, r.n_chars): r for r in fingerprint.edited_fingerprints(docs).collect()}
+    for here, after in zip(ids, ids[1:]):
+        if len(by_id[here]) == len(by_id[after]) == 1:
+            (t,), (u,) = by_id[here], by_id[after]
+            half = len(t) // 2
+            row, own = found[here, len(t)], _brute_marks(t)
+            assert row.near_edited == like(own, _brute_marks(t[: len(t) - half] + u[:half])) and row.near_next == like(own, _brute_marks(u))
+            assert row.fingerprint == "".join(f"{m:08x}" for m in own)
+
+
+@pytest.mark.parametrize("n", [30, 60, 100, 400])
+def test_swapped_halves_of_short_texts_are_half_as_like(spark, n):
+    words = [[f"w{k}x{i}" for i in range(n)] for k in range(40)]
+    pairs = [(" ".join(w), " ".join(w[n // 2 :] + w[: n // 2])) for w in words]
+    df = fingerprint.with_marks(fingerprint.with_marks(spark.createDataFrame(pairs, "t string, u string"), "t", "m"), "u", "o")
+    assert 0.35 < df.agg(F.avg(fingerprint.likeness(F.col("m"), F.col("o")))).first()[0] < 0.6
+
+
+
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
 
 
