@@ -22,7 +22,9 @@ def _brute(vectors, k):
 
 def _check(spark, rows, k=10):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, v string")
-    good = {i: [int(np.floor(1024 * float(np.float32(c)))) for c in v] for i, v, _ in rows if i is not None and v is not None and len(v) == 8 and all(c is not None and np.isfinite(c) for c in v)}
+    good = {i: [int(np.floor(1024 * float(np.float32(c)))) for c in v] for i, v, _ in rows if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)}
+    widest = max(map(len, good.values()))
+    good = {i: v + [0] * (widest - len(v)) for i, v in good.items()}
     found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in knn.top_k(df, F.col("_id") % 100 == 0, k).collect()}
     assert found == _brute(good, k)
 
@@ -41,6 +43,24 @@ def test_top_k_of_few_and_large(spark):
     assert knn.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("_id") % 100 == 0).count() == 0
 
 
+def test_bounds_spare_cells_of_clustered_vectors(spark, monkeypatch):
+    r = random.Random(2)
+    centres = [[r.gauss(0, 3) for _ in range(16)] for _ in range(30)]
+    rows = [(i, [c + r.gauss(0, 0.05) for c in centres[i % 30]], "x") for i in range(3000)]
+    made = {}
+    real = knn.written
+    monkeypatch.setattr(knn, "written", lambda df, name: made.setdefault(name, real(df, name)))
+    _check(spark, rows)
+    assert made["necessary"].count() < 0.5 * 30 * made["cells"].select("cell").distinct().count()
+
+
+def test_a_hot_cell_is_solved_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK", 50)
+    monkeypatch.setattr(knn, "QUERIES", 3)
+    r = random.Random(3)
+    _check(spark, [(i * 10, [r.gauss(0, 1) if i % 3 else 2.0 + r.gauss(0, 1e-3) for _ in range(4)], "x") for i in range(900)], k=4)
+
+
 def test_canonical_json():
     assert chat.canonical({"b": [1.0, 2.5, True, None], "a": "é\n\"", "c": {"z": 1e21, "y": 1e-7, "x": 0.000001}}) == '{"a":"é\\n\\"","b":[1,2.5,true,null],"c":{"x":0.000001,"y":1e-7,"z":1e+21}}'
     assert json.loads(chat.canonical({"k": -0.5, "x": 123456789012})) == {"k": -0.5, "x": 123456789012}
