@@ -1,8 +1,8 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens.
 
 Each document becomes one piece, or full pieces and a rest where it is longer than a
-sequence. Full pieces are sequences of their own. The others are dealt at random into
-groups of some thousand pieces; a task packs its group best fit first, the longest
+sequence. Full pieces are sequences of their own. The others are dealt by a hash of their place in
+the table of pieces into groups of some thousand, so repeated rows are spread like any others; a task packs its group best fit first, the longest
 piece first, and then improves the packing by local search: between the emptiest bin
 and the other underfull bins it moves a piece, or exchanges one for one, two for one or one
 for two, whenever that raises the sum of squared fill, until bins fall empty. What is
@@ -12,8 +12,9 @@ does not grow with the number of groups.
 Only lengths and checksums travel; token ids stay in the task that made them.
 
 Defined results: a null text counts as an empty one and an empty text is one piece of the
-end token; equal lengths are taken in a fixed order of their keys; repeated rows are packed each; a
-table without rows gives no sequences; other columns are not read.
+end token; a long text's pieces are made from slices, so only its ids are held whole; equal lengths are taken in a
+fixed order of their keys; repeated rows are packed each; a table without rows gives no sequences; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,15 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .arrow import small, text_bytes
-from .tokens import id_bytes, memo
+from .arrow import text_bytes
+from .tokens import balanced, id_bytes, memo
 
 #: Pieces that one task packs together, on average.
 GROUP = 4096
 #: Bins filled less than this take part in the second round.
 UNDERFULL = 0.97
-#: Without success the local search gives a bin up after so many partners.
-PARTNERS = 400
 
 
 def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -47,7 +46,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text: str = "
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = memo(path, "ids")
         end = end_id.to_bytes(4, "little")
-        for b in small(batches, 2000):
+        for b in balanced(batches, 1):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(id_bytes(b.column(1).to_pylist(), words)):
                 ids += end
@@ -138,18 +137,14 @@ class _Bins:
         for at, bin_ in enumerate(open_):
             if left <= fewest:
                 break
-            failed = 0
-            while self.fill[bin_] and failed < PARTNERS:
+            moved = True
+            while self.fill[bin_] and moved:  # until no partner is left that can take anything
                 moved = False
                 for other in reversed(open_[at + 1 :]):
-                    if self.fill[other] < self.capacity and self.fill[other] >= self.fill[bin_] and self.improve(other, bin_):
-                        moved, failed = True, 0
+                    if self.fill[bin_] <= self.fill[other] < self.capacity and self.improve(other, bin_):
+                        moved = True
                         if not self.fill[bin_]:
                             break
-                    elif (failed := failed + 1) >= PARTNERS:
-                        break
-                if not moved:
-                    break
             left -= not self.fill[bin_]
 
 
@@ -181,9 +176,8 @@ def _dealt(items: DataFrame, key: str, capacity: int, round_: int) -> DataFrame:
         pdf["_fill"] = pd.Series([fill[b] for b in bin_of], dtype="int64")
         return pdf.drop(columns="_group")
 
-    dealt = items.withColumn("_group", F.pmod(F.xxhash64(F.col(key), "piece", "ids_crc32", F.lit(round_)), F.lit(groups)))
-    if groups == 1 or n == 0:
-        dealt = items.withColumn("_group", F.lit(0).cast("long"))
+    # by the row's place in its table: equal rows are dealt apart, so no group is larger than the others
+    dealt = items.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(round_)), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(pack, f"{schema}, sequence_id long, offset long, _fill long")
 
 

@@ -2,9 +2,11 @@
 
 Written for tokenizers that lower-case and drop white space. A text is cut at ASCII white space, which the tokenizer only drops: neither
 normalisation, nor pre-tokenisation, nor a merge, nor a special string reaches across
-it. So the ids of a text are those of its words in a row, and each distinct word of a
-batch is encoded once. Batches are filled by bytes, not rows, and texts over
-a slice's size are taken in slices, so memory stays bounded for any text.
+it. So the ids of a text are those of its words in a row. Rows are taken from Arrow in batches that are balanced by
+bytes; a longer text is a batch of its own and is taken in slices of a megabyte. The distinct words of a batch
+that the worker doesn't remember are encoded together by the library's batch encoding, of which a count
+keeps the lengths only. So what a task holds beside an Arrow batch is bounded by one batch of bytes; only a text's own ids, where
+they are asked for, and a single word without any white space, are as long as they are.
 
 Defined results: a null text counts as an empty one; an empty text has no tokens;
 repeated rows give repeated results; a table without rows gives none; other columns of the
@@ -16,11 +18,13 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import folded, slices, small, text_bytes
+from .arrow import folded, slices, text_bytes
 
 #: Bytes of text that are encoded together.
 BATCH_BYTES = 4 << 20
@@ -56,6 +60,7 @@ class WordMemo:
 
     def __init__(self, path: str, value: Callable[[list[int]], object]):
         self.tokenizer, self.value = tokenizer(path), value
+        self.direct = value is not len  # ids: words of letters go to the merges at once, without the library's other steps
         self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
         self.new: dict[bytes, object] = {}
         self.old: dict[bytes, object] = {}
@@ -80,7 +85,7 @@ class WordMemo:
         whole, merge = [], self.tokenizer.model.tokenize
         for w in unseen:
             t = w.decode("utf-8", "replace").lower()
-            if t.isalpha() and max(t) < LATIN_END:  # one run of letters: only the merges are left to do
+            if self.direct and t.isalpha() and max(t) < LATIN_END:  # one run of letters: only the merges are left to do
                 ids = [x.id for x in merge(t.encode().decode("latin-1").translate(self.letters))]
                 (self.new if len(w) <= LONGEST_REMEMBERED else extra)[w] = self.value(ids)
             else:
@@ -111,49 +116,45 @@ def memo(path: str, kind: str) -> WordMemo:
     return _MEMOS[path, kind]
 
 
-def _length_groups(texts: list[bytes], limit: int) -> Iterator[list[int]]:
-    """Row numbers in groups of about ``limit`` bytes."""
-    group, held = [], 0
-    for i, x in enumerate(texts):
-        group.append(i)
-        held += len(x)
-        if held >= limit:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
+def balanced(batches: Iterator[pa.RecordBatch], column: int, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``limit`` bytes of a binary column; a longer value is a slice of its own."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < b.num_rows:
+            held = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, held + limit, "right")))
+            yield b.slice(at, to - at)
+            at = to
 
 
-def lengths(texts: list[bytes], words: WordMemo, limit: int = BATCH_BYTES) -> list[int]:
-    """The number of tokens of each text."""
+def _split(texts: list[bytes]) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """The words of some texts, with the number of each text: of all at once, or of one long one slice by slice."""
+    if len(texts) > 1:
+        yield [(i, folded(x).split()) for i, x in enumerate(texts)]
+    else:
+        for x in texts:
+            yield from ([(0, folded(part).split())] for part in slices(x))
+
+
+def lengths(texts: list[bytes], words: WordMemo) -> list[int]:
+    """The number of tokens of each of the texts of a balanced batch."""
     out = [0] * len(texts)
-    for group in _length_groups(texts, limit):
-        if len(group) == 1:
-            for part in slices(texts[group[0]]):
-                found = folded(part).split()
-                out[group[0]] += sum(map(words.of(found).__getitem__, found))
-            continue
-        split = [folded(texts[i]).split() for i in group]
-        known = words.of([w for x in split for w in x])
-        for i, x in zip(group, split, strict=True):
-            out[i] = sum(map(known.__getitem__, x))
+    for split in _split(texts):
+        known = words.of([w for _, x in split for w in x])
+        for i, x in split:
+            out[i] += sum(map(known.__getitem__, x))
     return out
 
 
-def id_bytes(texts: list[bytes], words: WordMemo, limit: int = BATCH_BYTES) -> Iterator[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit integers."""
-    for group in _length_groups(texts, limit):
-        if len(group) == 1:
-            parts = []
-            for part in slices(texts[group[0]]):
-                found = folded(part).split()
-                parts.append(b"".join(map(words.of(found).__getitem__, found)))
-            yield b"".join(parts)
-            continue
-        split = [folded(texts[i]).split() for i in group]
-        known = words.of([w for x in split for w in x])
-        for x in split:
-            yield b"".join(map(known.__getitem__, x))
+def id_bytes(texts: list[bytes], words: WordMemo) -> list[bytes]:
+    """The ids of each of the texts of a balanced batch as little-endian unsigned 32-bit integers."""
+    out: list[list[bytes]] = [[] for _ in texts]
+    for split in _split(texts):
+        known = words.of([w for _, x in split for w in x])
+        for i, x in split:
+            out[i].append(b"".join(map(known.__getitem__, x)))
+    return [x[0] if len(x) == 1 else b"".join(x) for x in out]
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -162,9 +163,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, text: str = "tex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = memo(path, "length")
-        for b in small(batches, 2000):
-            texts = b.column(1).to_pylist()
-            n = lengths(texts, words)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, texts), pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], [key, "n_bytes", "n_tokens", "over_limit"])
+        for b in balanced(batches, 1):
+            n = lengths(b.column(1).to_pylist(), words)
+            yield pa.RecordBatch.from_arrays([b.column(0), pc.binary_length(b.column(1)).cast(pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], [key, "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select(F.col(key), text_bytes(text).alias("_text")).mapInArrow(count, f"{key} {kind.simpleString()}, n_bytes long, n_tokens long, over_limit boolean")

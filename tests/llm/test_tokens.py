@@ -6,7 +6,9 @@ import random
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from geomere.llm import bpe, packing, tokens
 
@@ -31,7 +33,11 @@ def _noise():
 def test_ids_of_odd_texts_are_the_librarys(library, vocabulary):
     own, words = bpe.model(vocabulary), tokens.WordMemo(vocabulary, tokens._as_bytes)
     texts = [*_noise(), "a" * 5000, "ab " * 400_000]
-    for text, split in zip(texts, tokens.id_bytes([t.encode() for t in texts], words, 1000), strict=True):
+    batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts])], ["t"])
+    parts = list(tokens.balanced(iter([batch.slice(3), batch.slice(0, 3)]), 0, 1000))
+    assert all(p.num_rows == 1 or sum(map(len, p.column(0).to_pylist())) <= 1000 for p in parts)
+    ids = [x for p in parts for x in tokens.id_bytes(p.column(0).to_pylist(), words)]
+    for text, split in zip(texts[3:] + texts[:3], ids, strict=True):
         want = array.array("I", _ids(library, text)).tobytes()
         assert split == want, text[:80]
         assert own.encode(text.encode()) == want, text[:80]
@@ -54,6 +60,20 @@ def test_digests_and_real_outputs_agree(docs, empty, library, vocabulary):
     assert bpe.encoded_digest(empty, vocabulary).count() == 0
 
 
+def test_a_very_long_text_beside_short_ones(spark, vocabulary):
+    given = spark.range(3).select(F.col("id").alias("doc_id"), F.expr("IF(id = 1, repeat('old towers ', 6000000), 'old towers')").alias("text")).coalesce(1)
+    assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in tokens.token_counts(given, vocabulary).collect()} == {0: (10, 2), 1: (66_000_000, 12_000_000), 2: (10, 2)}
+
+
+def test_a_third_of_all_rows_alike_is_dealt_apart(spark, vocabulary):
+    given = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("old towers near cold rivers").alias("text"))
+    found = packing.packed(given, vocabulary)
+    assert found.agg(F.count("*"), F.sum("length")).first() == (100_000, 600_000)
+    assert found.select("sequence_id").distinct().count() <= 600_000 // 4096 * 1.01 + 2
+    cut = packing.pieces(given, vocabulary, 4096, 1).withColumn("ids_crc32", F.lit(1).cast("long"))
+    assert packing._dealt(cut, "doc_id", 4096, 0).groupBy(F.shiftright("sequence_id", 33)).count().agg(F.max("count")).first()[0] < 2 * packing.GROUP
+
+
 @pytest.mark.parametrize("capacity", [64, 4096])
 def test_packing_holds_every_piece_once(docs, empty, library, vocabulary, capacity):
     found = packing.packed(docs, vocabulary, capacity).collect()
