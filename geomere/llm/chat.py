@@ -1,29 +1,36 @@
 """Tool-call linking for chat data.
 
-Calls and results are joined by identifier; of several with one identifier the first
-(by conversation, turn and content) counts. Calls are put in topological order of what they
-depend on: chains by doubling pointers, the rest level by level, with joins and grouped counts. A call's
-arguments are checked against its tool's schema, and the linked pair is written as
+Calls and results are joined by conversation and identifier, as identifiers are used anew in other conversations; of
+several with one identifier the first (by turn and content) counts. Calls are put in topological order of what they
+depend on. The calls of a conversation with at most ``IN_TASK`` calls and dependencies are ordered in one task; those of
+larger ones by Spark jobs, chains by doubling pointers, the rest level by level, with joins and grouped counts, to the same
+result. A call's arguments are checked against its tool's schema, and the linked pair is written as
 canonical JSON: keys sorted, no spaces, the shortest numbers, only what must be escaped
 escaped.
 
 Defined results: a null or empty arguments text is not valid JSON; an unknown tool is not valid;
 dependencies on identifiers without a call are met; calls in a cycle, or behind one, have no
-level; a null identifier links to nothing; rows repeated in full count once; a table
-without rows gives none; other columns are not read.
+level; a null identifier links to nothing, a null conversation is one like any other; rows repeated in full count
+once; long texts are read some hundred rows at a time; a table without rows gives none; other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .arrow import small
+
+#: Calls and dependencies of a conversation that are ordered in one task; more of them take Spark jobs.
+IN_TASK = 10_000
 
 _KINDS = {"string": str, "boolean": bool, "object": dict, "array": list}
 
@@ -94,8 +101,8 @@ def _chains(single: DataFrame) -> DataFrame:
     return reach.join(single.select(F.col("call_id").alias("head")), "head", "left_anti").select("call_id", "head", "distance")
 
 
-def levels(calls: DataFrame) -> DataFrame:
-    """call_id and level of every call whose dependencies can be met. ``calls``: call_id (unique), after (array of call_id).
+def _by_rounds(calls: DataFrame) -> DataFrame:
+    """call_id and level of every call whose dependencies can be met. ``calls``: call_id (unique, of any type), after (array of call_id).
 
     Calls with one dependency are followed along their chains at once; rounds are only
     needed for calls with several.
@@ -121,37 +128,90 @@ def levels(calls: DataFrame) -> DataFrame:
     return placed.join(known, "head").select("call_id", (F.col("level") + F.col("distance")).alias("level"))
 
 
+def topological(calls: list[tuple[str, list]]) -> dict[str, int]:
+    """The level of every call of a conversation that is not in or behind a cycle: (call_id, after)."""
+    known = {c for c, _ in calls}
+    open_ = {c: {a for a in after or () if a in known} for c, after in calls}
+    behind, level = defaultdict(list), dict.fromkeys((c for c, needs in open_.items() if not needs), 0)
+    for c, needs in open_.items():
+        for a in needs:
+            behind[a].append(c)
+    ready = list(level)
+    for c in ready:  # grows while it is read
+        for d in behind[c]:
+            open_[d].discard(c)
+            if not open_[d]:
+                level[d] = level[c] + 1  # the last one met is the deepest, as calls come in order of their levels
+                ready.append(d)
+    return level
+
+
+def levels(calls: DataFrame) -> DataFrame:
+    """conv_id, call_id and level of every call whose dependencies can be met. ``calls``: conv_id, call_id (unique in it), after (array of call_id)."""
+    calls = written(calls.where("call_id IS NOT NULL").select("conv_id", "call_id", F.filter(F.coalesce("after", F.array().cast("array<string>")), lambda a: a.isNotNull()).alias("after")), "to_order")
+    weight = calls.groupBy("conv_id").agg(F.sum(F.size("after") + 1).alias("n")).where(F.col("n") > IN_TASK)
+    large = written(weight.select(F.col("conv_id").alias("_conv")), "large")
+    of_large = F.col("conv_id").eqNullSafe(F.col("_conv"))
+    kind = calls.schema["conv_id"].dataType.simpleString()
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches, 16):
+            at, ids, level = [], [], []
+            for i, own in enumerate(b.column(1).to_pylist()):
+                found = topological([(c["call_id"], c["after"]) for c in own])
+                at += [i] * len(found)
+                ids += found.keys()
+                level += found.values()
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(ids, pa.string()), pa.array(level, pa.int32())], ["conv_id", "call_id", "level"])
+
+    grouped = calls.join(large, of_large, "left_anti").groupBy("conv_id").agg(F.collect_list(F.struct("call_id", "after")).alias("own"))
+    found = grouped.select("conv_id", "own").mapInArrow(order, f"conv_id {kind}, call_id string, level int")
+    if large.isEmpty():
+        return found
+    named = lambda c: F.struct(F.col("conv_id").alias("conv"), c.alias("call"))
+    big = calls.join(large, of_large, "left_semi").select(named(F.col("call_id")).alias("call_id"), F.transform("after", named).alias("after"))
+    return found.unionByName(_by_rounds(big).select(F.col("call_id.conv").alias("conv_id"), F.col("call_id.call").alias("call_id"), F.col("level").cast("int").alias("level")))
+
+
+def _named() -> Column:
+    """What a call or result is known by; null, and so equal to nothing, without an identifier."""
+    return F.when(F.col("call_id").isNotNull(), F.struct("conv_id", "call_id"))
+
+
 def _first(rows: DataFrame, content: str) -> DataFrame:
-    """The rows with ``first``: whether each is the first with its call_id."""
-    rows = rows.distinct().withColumn("_order", F.struct("conv_id", "turn", F.xxhash64(content)))
-    least = rows.groupBy("call_id").agg(F.min("_order").alias("_least"))
-    return rows.join(least, "call_id", "left").withColumn("first", F.col("call_id").isNotNull() & F.col("_order").eqNullSafe(F.col("_least"))).drop("_order", "_least")
+    """The rows with _id, and ``first``: whether each is the first by that name."""
+    rows = rows.distinct().withColumn("_id", _named()).withColumn("_order", F.struct("turn", F.xxhash64(content), content))
+    least = rows.where("_id IS NOT NULL").groupBy("_id").agg(F.min("_order").alias("_least"))
+    return rows.join(least, "_id", "left").withColumn("first", F.col("_id").isNotNull() & F.col("_order").eqNullSafe(F.col("_least"))).drop("_order", "_least")
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """A row for each call and for each result that no call gets.
 
-    ``calls``: conv_id, turn, call_id, name, arguments (JSON text), after (array of call_id).
+    ``calls``: conv_id, turn, call_id, name, arguments (JSON text), after (array of call_id of the same conversation).
     ``results``: conv_id, turn, call_id, content. The result has conv_id, turn, call_id, status
     (linked, unanswered, orphan or duplicate), level, valid and json.
     """
     calls = written(_first(calls.select("conv_id", "turn", "call_id", "name", "arguments", "after"), "arguments"), "calls")
     results = written(_first(results.select("conv_id", "turn", "call_id", "content"), "content"), "results")
-    counted, other_calls = calls.where("first"), calls.where("not first")
-    answers = results.where("first").select("call_id", "content", F.col("conv_id").alias("r_conv"), F.col("turn").alias("r_turn"))
-    pairs = counted.join(answers.select("call_id", "content", F.lit(True).alias("answered")).hint("shuffle_hash"), "call_id", "left")
-    pairs = pairs.join(levels(counted.select("call_id", "after")), "call_id", "left")
+    # rows that differ in other columns only may be first together: one of them counts
+    counted = calls.where("first").dropDuplicates(["_id"])
+    other_calls = calls.where("NOT first")
+    answers = results.where("first").select("_id", "content", F.lit(True).alias("answered"))
+    pairs = counted.join(answers.hint("shuffle_hash"), "_id", "left")
+    placed = levels(counted.select("conv_id", "call_id", "after")).withColumn("_id", _named()).select("_id", "level")
+    pairs = pairs.join(placed, "_id", "left")
     none = lambda kind: F.lit(None).cast(kind)
     columns = ["conv_id", "turn", "call_id", "status", "level", "name", "arguments", "content"]
     rows = pairs.withColumn("status", F.when(F.col("answered"), "linked").otherwise("unanswered")).select(columns)
     rows = rows.unionByName(other_calls.withColumns({"status": F.when(F.col("call_id").isNull(), "unanswered").otherwise("duplicate"), "level": none("int"), "content": none("string")}).select(columns))
     bare = {"level": none("int"), "name": none("string"), "arguments": none("string")}
-    lost = results.where("first").join(counted, "call_id", "left_anti").withColumns({"status": F.lit("orphan"), **bare})
+    lost = results.where("first").join(counted, "_id", "left_anti").withColumns({"status": F.lit("orphan"), **bare})
     later = results.where("not first").withColumns({"status": F.when(F.col("call_id").isNull(), "orphan").otherwise("duplicate"), **bare})
     rows = rows.unionByName(lost.select(columns)).unionByName(later.select(columns))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             valid, texts = [], []
             for call, name, given, content in zip(*(b.column(i).to_pylist() for i in (2, 5, 6, 7)), strict=True):
                 out = {"id": call, "name": name, "result": content}
@@ -196,7 +256,7 @@ def turns(conversations: DataFrame) -> DataFrame:
     rest = conversations.where("NOT (role <=> 'user' OR role <=> 'assistant')").select("conv_id", "turn", "role", "text").distinct()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             rows = zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)
             texts = [canonical({k: v for k, v in {"turn": turn, "role": role, "text": text}.items() if v is not None}) for turn, role, text in rows]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], ["conv_id", "turn", "role", "text", "json"])
@@ -207,8 +267,8 @@ def turns(conversations: DataFrame) -> DataFrame:
     return replies(conversations).unionByName(rest.select("conv_id", "turn", status.alias("status"), "json"), allowMissingColumns=True)
 
 
-#: What :func:`replies` gives, in SQL.
-REPLIES_SQL = """
+#: What :func:`turns` gives, in SQL.
+TURNS_SQL = """
 WITH RECURSIVE calls AS (
   SELECT conv_id, turn, text, 'c-' || conv_id || '-' || turn AS call_id FROM conversations WHERE role = 'user'
 ), depth AS (
@@ -227,4 +287,8 @@ FROM calls c JOIN depth d ON c.conv_id = d.conv_id AND c.turn = d.turn LEFT JOIN
 UNION ALL
 SELECT r.conv_id, r.turn, r.call_id, 'orphan', NULL, NULL, '{"id":"' || r.call_id || '","result":' || to_json(r.text) || '}'
 FROM results r WHERE r.call_id NOT IN (SELECT call_id FROM calls)
+UNION ALL
+SELECT conv_id, turn, NULL, CASE WHEN role = 'system' THEN 'system' ELSE 'other' END, NULL, NULL,
+  '{' || CASE WHEN role IS NULL THEN '' ELSE '"role":' || to_json(role) || ',' END || CASE WHEN text IS NULL THEN '' ELSE '"text":' || to_json(text) || ',' END || '"turn":' || turn || '}'
+FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant'))
 """

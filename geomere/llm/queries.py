@@ -69,8 +69,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation's calls linked to their results, ordered, checked and serialised."""
-    return chat.replies(_table(spark, sf_dir, "conversations"))
+    """Every turn of every conversation: calls linked to their results, ordered, checked and serialised, and the turns of other roles."""
+    return chat.turns(_table(spark, sf_dir, "conversations"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,4 +93,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op10_chat": chat.REPLIES_SQL}
+ORACLES: dict[str, str] = {"op10_chat": chat.TURNS_SQL}

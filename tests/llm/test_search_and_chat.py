@@ -89,18 +89,45 @@ def test_linking_ordering_and_states(spark):
     state = {k: (v.status, v.level, v.valid) for k, v in out.items()}
     assert state[1, 0, "a"] == ("linked", 0, True) and state[1, 2, "b"] == ("linked", 1, False) and state[1, 4, "c"] == ("unanswered", 2, False)
     assert state[1, 6, "d"][1] is None and state[1, 7, "e"][1] is None
-    assert state[2, 0, "a"][0] == "duplicate" and state[1, 9, "a"][0] == "duplicate"
+    assert state[2, 0, "a"] == ("unanswered", 0, True) and state[1, 9, "a"][0] == "duplicate"
     assert state[1, 5, "zz"][0] == "orphan" and state[1, 5, None][0] == "orphan" and state[2, 1, None][0] == "unanswered"
     assert out[1, 0, "a"].json == '{"arguments":{"n":1},"id":"a","name":"t","result":"ok"}'
     empty = chat.linked(c.limit(0), r.limit(0), {})
     assert empty.count() == 0
 
 
-def test_levels_of_long_chains_and_branches(spark):
+def test_identifiers_are_used_anew_in_other_conversations(spark):
+    calls = [(c, 0, "call_1", "t", f'{{"n":{c}}}', None) for c in range(1, 30)] + [(c, 2, "call_2", "t", '{"n":0}', ["call_1"]) for c in range(1, 30)] + [(None, 0, "call_1", "t", '{"n":5}', None)]
+    results = [(c, k + 1, f"call_{k // 2 + 1}", f"{c}-{k}") for c in range(1, 30) for k in (0, 2)] + [(None, 1, "call_1", "none"), (99, 1, "call_1", "other")]
+    c = spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string, after array<string>")
+    r = spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string")
+    out = chat.linked(c, r, {"t": SCHEMA}).collect()
+    assert len(out) == 60 and all((x.status, x.level) == ("linked", x.turn // 2) and json.loads(x.json)["result"] == ("none" if x.conv_id is None else f"{x.conv_id}-{x.turn}") for x in out if x.conv_id != 99)
+    assert [x.status for x in out if x.conv_id == 99] == ["orphan"]
+
+
+def _calls():
     calls = [(f"a{i}", [f"a{i - 1}"] if i else []) for i in range(150)]
-    calls += [("m", ["a149", "b1", "a3"]), ("b0", []), ("b1", ["b0"]), ("n", ["m"]), ("o", ["n", "m"]), ("x", ["y"]), ("y", ["z"]), ("z", ["x"]), ("w", ["x"]), ("v", ["w", "b0"])]
-    found = {r.call_id: r.level for r in chat.levels(spark.createDataFrame(calls, "call_id string, after array<string>")).collect()}
-    assert found == {f"a{i}": i for i in range(150)} | {"m": 150, "b0": 0, "b1": 1, "n": 151, "o": 152}
+    calls += [("m", ["a149", "b1", "a3"]), ("b0", []), ("b1", ["b0"]), ("n", ["m"]), ("o", ["n", "m", None, "gone"]), ("x", ["y"]), ("y", ["z"]), ("z", ["x"]), ("w", ["x"]), ("v", ["w", "b0"]), ("s", ["s"])]
+    return calls, {f"a{i}": i for i in range(150)} | {"m": 150, "b0": 0, "b1": 1, "n": 151, "o": 152}
+
+
+def test_levels_of_long_chains_and_branches(spark, monkeypatch):
+    calls, want = _calls()
+    assert chat.topological(calls) == want
+    given = spark.createDataFrame([(c, i, a) for c in (1, 2, None) for i, a in calls] + [(3, "a1", ["a0"]), (3, None, None)], "conv_id long, call_id string, after array<string>")
+    everything = {(c, k): v for c in (1, 2, None) for k, v in want.items()} | {(3, "a1"): 0}
+    for bound in (10_000, 100):  # in a task, and by rounds
+        monkeypatch.setattr(chat, "IN_TASK", bound)
+        assert {(r.conv_id, r.call_id): r.level for r in chat.levels(given).collect()} == everything
+
+
+def test_clashing_columns_long_texts_and_nulls(spark):
+    rows = [(1, 0, "user", "q" * 300_000, 1, "x"), (1, 1, "assistant", "a" * 3_000_000, 2, "y"), (1, 2, "user", None, 3, None), (None, 0, "user", "hi", None, None), (1, 0, "user", "q" * 300_000, 1, "x"), (2, None, "user", "", 1, "z")]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, level long, json string")
+    found = {(r.conv_id, r.turn): r for r in chat.turns(given).collect()}
+    assert found[1, 0].status == "linked" and not found[1, 0].valid and len(found[1, 0].json) > 3_300_000
+    assert found[1, 2].status == "unanswered" and len(found) == 4
 
 
 def test_turns_of_every_role(spark):
