@@ -13,10 +13,13 @@ Only labels of training rows are read; lang, source and ids never enter a score.
 model is fitted on at most ``SAMPLE`` labelled documents, those with the least hash of their
 id, near copies among them mostly once.
 
+What the driver gets of the sample are counts: one for each score in the lexicon and one for each step of
+evidence. The lexicon holds every telling token of the sample.
+
 Defined results: a null text counts as an empty one; a text without tokens has no evidence
 and gets the curve's lowest score; a label given more than once counts as toxic if any says so;
-without usable labels every score is 0; repeated rows repeat; a table without rows
-gives none; other columns are not read.
+without usable labels every score is 1 / (1 + e^50); a long text is scanned whole, in time linear in its length; equal texts have
+equal scores; repeated rows repeat; a table without rows gives none; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,10 +38,11 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .arrow import fresh, least_hashed, small
+
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
-#: Tokens in the lexicon, at most; their least z-score and log-odds ratio.
-LEXICON, LEAST_Z, LEAST_RATIO = 2048, 4.0, 1.0
+#: The least z-score and log-odds ratio of the tokens in the lexicon.
+LEAST_Z, LEAST_RATIO = 4.0, 1.0
 #: The prior's weight as a share of the corpus counts.
 PRIOR = 0.05
 #: What a token outside of the lexicon costs.
@@ -48,8 +52,10 @@ SIGNIFICANT = 0.05
 
 #: Lengths of the word beginnings that are tokens too: stems that go with any ending.
 STEMS = (4, 5, 6, 7)
-#: A document counts a token so many times at most.
-OFTEN = 5
+#: In fitting, a document counts a token so many times at most, as repeats of a word say less than new documents; None: as often as it has it.
+OFTEN: int | None = 5
+#: Steps of evidence in the counts that the curve is fitted on.
+STEP = 1e-3
 
 _TOKEN = re.compile(r"[^\W_]+")
 
@@ -127,11 +133,11 @@ class Model:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.intercept + self.slope * evidence))))
 
 
-def _lexicon(rows: DataFrame) -> list:
+def _lexicon(rows: DataFrame, often: int | None) -> list:
     """The tokens that tell toxic documents, with their log-odds ratio: (token, ratio)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             toxic, clean = Counter(), Counter()
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = Counter(t.lower() for t in _TOKEN.findall(text))
@@ -139,7 +145,7 @@ def _lexicon(rows: DataFrame) -> list:
                 for w, n in words.items():
                     for f in forms(w):
                         seen[f] += n
-                (toxic if label else clean).update({f: min(n, OFTEN) for f, n in seen.items()})
+                (toxic if label else clean).update({f: min(n, often or n) for f, n in seen.items()})
             tokens = list({**toxic, **clean})
             yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array([toxic[t] for t in tokens], pa.int64()), pa.array([clean[t] for t in tokens], pa.int64())], ["token", "toxic", "clean"])
 
@@ -152,46 +158,52 @@ def _lexicon(rows: DataFrame) -> list:
     odds = lambda y, n: F.log((F.col(y) + prior) / (n + weight - F.col(y) - prior))
     rated = lambda rows: rows.withColumn("ratio", odds("y1", n1) - odds("y0", n0)).withColumn("z", F.col("ratio") / F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior)))
     telling = (F.col("z") >= LEAST_Z) & (F.col("ratio") >= LEAST_RATIO)
-    best = rated(counted.where("y1 > 0")).where(telling).orderBy(F.desc("z"), "token").limit(LEXICON)
-    return [(r["token"], r["ratio"]) for r in best.select("token", "ratio").collect()]
+    best = rated(counted.where("y1 > 0")).where(telling)
+    return [(r["token"], r["ratio"]) for r in best.select("token", "ratio").orderBy("token").collect()]  # some of the sample's words
 
 
 def _calibrate(scores: dict[str, float], rows: DataFrame) -> Model:
     """Fit the extreme-value law on clean documents and the curve on all; rows are at most SAMPLE."""
-
-    heads = heads_of(scores)
+    heads, least = heads_of(scores), min(scores.values())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts over clean documents: of words (kind 0), of segments (1), and of hits by their score (2)."""
         for b in small(batches):
-            n, found, single = [], [], []
+            seen: Counter = Counter()
             for text in b.column(0).to_pylist():
                 tokens = [t.lower() for t in _TOKEN.findall(text)]
-                n.append(len(tokens))
                 at = hits(tokens, scores, heads)
-                single.append([x[1] for x in at])
-                found.append([x[2] for x in segments(at)])
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(n, pa.int64()), *(pa.array(x, pa.list_(pa.float64())) for x in (found, single))], ["toxic", "n", "found", "single"])
-
-    seen = rows.select("text", "toxic").mapInArrow(scan, "toxic int, n long, found array<double>, single array<double>").collect()
-    clean = [r for r in seen if not r["toxic"]]
-    words = sum(r["n"] for r in clean) + 1
-    least = min(scores.values())
+                seen[0, 0.0] += len(tokens)
+                seen[1, 0.0] += sum(x[2] >= least for x in segments(at))
+                seen.update((2, x[1]) for x in at)
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in seen], pa.int32()), pa.array([v for _, v in seen], pa.float64()), pa.array(seen.values(), pa.int64())], ["kind", "value", "n"])
+
+    counted = rows.where("toxic = 0").select("text").mapInArrow(scan, "kind int, value double, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")).collect()
+    of = lambda kind: [(r["value"], r["n"]) for r in counted if r["kind"] == kind]
+    words = sum(n for _, n in of(0)) + 1
     # the decay at which the scores of clean text, and one hit more, no longer pay
-    chance = np.array([float(np.mean(list(scores.values()))), *(x for r in clean for x in r["single"])])
+    chance = np.array([(float(np.mean(list(scores.values()))), 1), *of(2)])
     low, high = 1e-6, 50.0
     for _ in range(100):
         decay = (low + high) / 2
-        gain = np.exp(np.minimum(700.0, decay * chance)).sum() / words + (1 - len(chance) / words) * math.exp(-decay * DRIFT)
+        gain = (np.exp(np.minimum(700.0, decay * chance[:, 0])) * chance[:, 1]).sum() / words + (1 - chance[:, 1].sum() / words) * math.exp(-decay * DRIFT)
         low, high = (decay, high) if gain < 1 else (low, decay)
-    rate = (sum(x >= least for r in clean for x in r["found"]) + 1) / words * math.exp(decay * least)
+    rate = (sum(n for _, n in of(1)) + 1) / words * math.exp(decay * least)
     model = Model(scores, decay, rate)
-    x = np.array([Model.evidence([(0, 0, s, c) for s in r["found"] if (c := rate * r["n"] * math.exp(-decay * s)) <= SIGNIFICANT]) for r in seen])
-    y = np.array([float(r["toxic"]) for r in seen])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            found = [round(model.evidence(model.passages(x)[1]) / STEP) for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), b.column(1)], ["step", "toxic"])
+
+    weighed = rows.select("text", "toxic").mapInArrow(weigh, "step long, toxic int").groupBy("step", "toxic").count().orderBy("step", "toxic").collect()
+    x, y, n = (np.array([float(r[c]) for r in weighed]) for c in ("step", "toxic", "count"))
+    x *= STEP
     w, design = np.zeros(2), np.stack([np.ones_like(x), x], axis=1)
     for _ in range(50):  # Newton's method with a little shrinkage
         p = 1 / (1 + np.exp(-np.clip(design @ w, -50, 50)))
-        grad = design.T @ (p - y) + 1e-2 * w
-        hess = (design * (p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
+        grad = design.T @ (n * (p - y)) + 1e-2 * w
+        hess = (design * (n * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
         w = w - np.linalg.solve(hess, grad)
     model.intercept, model.slope = map(float, w)
     return model
@@ -214,17 +226,17 @@ def held_out(key: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> Model:
-    """A model from the labelled rows that are not held out."""
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE, often: int | None = OFTEN) -> Model:
+    """A model from at most ``sample`` of the labelled rows that are not held out."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.max("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
     usable = written(usable.withColumn("_hash", F.xxhash64(key)), "usable")
-    sample = least_hashed(usable, "_hash", SAMPLE).drop("_hash")  # so at most SAMPLE pairs of numbers are broadcast
-    rows = docs.select(key, F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(sample), key)
+    chosen = least_hashed(usable, "_hash", sample).drop("_hash")  # so at most ``sample`` pairs of numbers are broadcast
+    rows = docs.select(key, F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(chosen), key)
     rows = rows.select("text", "toxic").mapInArrow(_sketched, "text string, toxic int, s0 long, s1 long")
     for mark in ("s0", "s1"):  # near copies of one document say a thing once: they mostly share a least shingle
         rows = rows.groupBy(mark, "toxic").agg(F.min_by(F.struct("text", "s1"), F.xxhash64("text")).alias("x")).select("x.*", "toxic")
     rows = written(rows.select("text", "toxic"), "labelled")
-    found = _lexicon(rows)
+    found = _lexicon(rows, often)
     return _calibrate(dict(found), rows) if found else Model()
 
 
