@@ -1,20 +1,22 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
-Candidate spans come from two regular expressions per kind, a strict one whose valid
-matches are always reported and a loose one. Six labelers then look at each candidate: the
-strict pattern, the loose pattern, the format's own checks, a gazetteer of prefixes and
-endings, cue words in front, and what it touches. Expectation-maximisation over the counts of
-label combinations estimates, for each kind, how often each labeler is right (a
-model with one hidden class). The posteriors of all combinations train a logistic span
-classifier over the labelers and their pairs, which decides on the candidates that
-the strict pattern does not give.
+Candidate spans come from two regular expressions per kind: a strict one, whose valid matches (base spans) are
+always reported, and a loose one that takes in much more: obfuscated addresses, numbers without a prefix, numbers in a run.
+Six labelers vote on each candidate by its own text and what is around it: the format's checks, a gazetteer (endings
+of names, issuers of cards, calling codes, networks in use), cue words in front, no counter-cue in front, a regular
+shape, and standing apart. Expectation-maximisation over the counts of vote combinations estimates, for each kind, how often each labeler is
+right (a model with one hidden class, in which the base spans are known cases). Its posteriors then train
+the span classifier, which doesn't see the votes: it is linear in the span's length, digits, groups, separators, borders,
+check digit and the word in front of it, with log-odds as weights, from counts over all candidates. It decides on the candidates
+that are not base spans.
 
 A regular expression's matches have no places in Spark SQL, so a text is also split by it:
 the lengths of gaps and matches, summed up, are the places, in code points.
 
 Defined results: a null text counts as an empty one and has no spans; candidates that touch
-a strict span of their kind are dropped; equal spans are reported once per kind; repeated
-rows repeat; a table without rows gives none; other columns are left alone.
+a base span of their kind are dropped; equal spans are reported once per kind; without base spans of a kind the
+votes alone tell; a long text is searched whole, in time that is linear but for the running sums of places, which take blocks; equal
+texts have equal spans; repeated rows repeat; a table without rows gives none; other columns are left alone, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,28 +41,47 @@ STRICT = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+_AT, _DOT = r"\x20?(?:@|\(at\)|\[at\])\x20?", r"\x20?(?:\.|\(dot\)|\[dot\])\x20?"
 LOOSE = {
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9])(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}(?![0-9])",
-    "card": r"(?<![0-9])[3-6][0-9]{3}(?:[0-9]{12}|(?:[\x20-][0-9]{4}){3})(?![0-9])",
-    "phone": r"(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|(?<![0-9.-])[0-9]{3}[.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+    "email": rf"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++|\x20at\x20[A-Za-z0-9-]++(?:\x20dot\x20[A-Za-z0-9-]++)++)",
+    "ip": r"(?<![0-9])[0-9]{1,3}(?:(?:\.|\[\.\])[0-9]{1,3}){3}(?![0-9])",
+    "card": r"(?<![0-9])(?:[3-6][0-9]{3}(?:[0-9]{12}|(?:[\x20.-][0-9]{4}){3})|3[47][0-9]{2}[\x20.-]?[0-9]{6}[\x20.-]?[0-9]{5}|[0-9]{13,19})(?![0-9])",
+    "phone": r"(?:\+?[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,5}\)\x20?|(?<![0-9.-])[0-9]{2,5}[\x20./-])[0-9]{3,4}(?:[\x20.-][0-9]{2,5}){0,3}(?![0-9])",
 }
 # Words and endings that labelers look for.
 CUES = {
-    "email": "mail|contact|write|address|kontakt|correo|courriel",
-    "ip": "ip|host|server|address|addr|serveur|servidor",
-    "card": "card|visa|credit|pay|karte|carte|tarjeta",
-    "phone": "phone|call|tel|fax|mobile|contact|telefon|appel|llame",
+    "email": "mail|contact|write|address|reach|kontakt|correo|courriel",
+    "ip": r"\bip\b|host|server|address|addr\b|node|serveur|servidor",
+    "card": r"card|visa|master|amex|credit|\bpay|karte|carte|tarjeta",
+    "phone": r"phone|\bcall|\btel|fax|mobile|cell|contact|reach|anruf|appel|llam",
+}
+COUNTER_CUES = {
+    "email": r"\blook(?:s|ed)? $|\barrived? $",
+    "ip": r"version|release|\bv\.? ?$|section|chapter|paragraph",
+    "card": r"order|invoice|isbn|serial|tracking|barcode|\bsku|account|reference",
+    "phone": r"order|invoice|isbn|issn|serial|version|population|pages?\b|\bsku|card|year|date|total|price|[$€£] ?$",
 }
 LISTED = {
-    "email": r"\.(?:com|org|net|edu|gov|io|de|fr|es|uk|eu|info)$",
-    "ip": r"^(?!0\.|127\.|22[4-9]\.|2[3-5][0-9]\.)",
-    "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)",
-    "phone": r"^\+(?:1|33|34|44|49)[^0-9]",
+    "email": r"(?i)(?:com|org|net|edu|gov|mil|int|info|biz|name|io|ai|app|dev|co|me|tv|eu|de|at|ch|fr|be|nl|lu|es|pt|it|uk|ie|dk|se|no|fi|is|pl|cz|sk|hu|ro|bg|gr|hr|si|ee|lv|lt|ru|ua|tr|us|ca|mx|br|ar|cl|pe|au|nz|za|in|jp|cn|kr|sg|hk|tw|il|ae)$",
+    # not the networks of no host: this one, loopback, multicast and reserved
+    "ip": r"^(?!0+\D|127\D|22[4-9]\D|2[3-5][0-9]\D)",
+    # issuers' prefixes, over the digits
+    "card": r"^(?:4(?:\d{12}|\d{15}|\d{18})$|5[1-5]\d{14}$|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}$|3[47]\d{13}$|3(?:0[0-5]|[68]\d)\d{11}$|6(?:011|5\d\d|4[4-9]\d)\d{12}$|35(?:2[89]|[3-8]\d)\d{12}$|62\d{14,17}$)",
+    # calling codes, over the digits behind + or 00; or an area and exchange of North America; or a trunk zero
+    "phone": r"^(?:(?:\+|00)(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|2[1-69]\d|3[578]\d|42\d|5[09]\d|6[789]\d|8[058]\d|9[679]\d)\d|1?[2-9]\d{2}[2-9]\d{6}$|0[1-9]\d{8,10}$)",
+}
+SHAPES = {
+    "email": r"^[A-Za-z0-9].{2,}[A-Za-z]{2}$",
+    "ip": r"^(?:[0-9]|[1-9][0-9]+)(?:(?:\.|\[\.\])(?:[0-9]|[1-9][0-9]+)){3}$",
+    "card": r"^(?:[0-9]{4}([\x20.-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([\x20.-]?)[0-9]{6}\2[0-9]{5})$",
+    "phone": r"^(?:\+?[0-9]{1,3}[\x20.-])?(?:\([0-9]{2,5}\)\x20?|[0-9]{2,5}[\x20./-])[0-9]{3,4}(?:([\x20.-])[0-9]{2,5}(?:\1[0-9]{2,5})*)?$",
 }
-#: The context that labelers see in front of and behind a span, in code points.
+#: The context that labelers and classifier see in front of and behind a span, in code points.
 CONTEXT = 32
-LABELERS = ("strict", "loose", "format", "listed", "cue", "apart")
+LABELERS = ("format", "listed", "cue", "no counter-cue", "shape", "apart")
+#: The features of the span classifier and how many values each has.
+FEATURES = {"length": 8, "digits": 21, "separators": 8, "group": 21, "first": 4, "before": 5, "behind": 5, "check": 2, "word": 32}
+_WIDTH = sum(FEATURES.values())
 _BLOCK = 64
 
 
@@ -117,7 +138,7 @@ def _digits(found: Column) -> Column:
 
 def luhn(digits: Column) -> Column:
     """Whether a string of digits has a right check digit."""
-    one = lambda d, i: let(d.cast("int") * (1 + i % 2), lambda x: F.when(x > 9, x - 9).otherwise(x))
+    one = lambda d, i: let(d.try_cast("int") * (1 + i % 2), lambda x: F.when(x > 9, x - 9).otherwise(x))
     return F.aggregate(F.transform(F.split(F.reverse(digits), ""), one), F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(0))) % 10 == 0
 
 
@@ -133,29 +154,74 @@ def valid(kind: str, found: Column) -> Column:
     return F.length(digits).between(10, 15)
 
 
-def _labelled(kind: str, spans: Column, strict: bool) -> Column:
-    """Candidates with their labels: struct(kind, start, end, base, votes)."""
-    loosely = "^(?:" + LOOSE[kind] + ")$"
-    own = "^(?:" + STRICT[kind].replace(r"(?:\G|", "(?:^|") + ")$"
+def _format(kind: str, found: Column) -> Column:
+    """Whether a candidate could be what it looks like, by the rules of its kind alone."""
+    digits = _digits(found)
+    if kind == "email":
+        return found.rlike(r"[A-Za-z]{2,}$") & ~found.rlike(r"^[.-]|\.\.")
+    if kind == "ip":
+        return F.forall(F.split(found, r"\D+"), lambda p: (F.length(p) <= 3) & (p.try_cast("int") <= 255))
+    if kind == "card":
+        return F.when(F.length(digits).between(13, 19), luhn(digits)).otherwise(False)
+    return F.length(digits).between(10, 15)
+
+
+def _listed(kind: str, found: Column) -> Column:
+    if kind == "card":
+        return _digits(found).rlike(LISTED[kind])
+    return (F.regexp_replace(found, "[^0-9+]", "") if kind == "phone" else found).rlike(LISTED[kind])
+
+
+def _side(c: Column) -> Column:
+    """What kind of thing a code point is: nothing, space, letter, digit, other."""
+    return F.when(c == "", 0).when(c.rlike(r"^\s$"), 1).when(c.rlike(r"^\p{L}$"), 2).when(c.rlike("^[0-9]$"), 3).otherwise(4)
+
+
+def _features(m: Column) -> Column:
+    """The indices of a span's features, one for each of FEATURES."""
+    digits, first = _digits(m.found), F.left(m.found, F.lit(1))
+    group = F.array_max(F.transform(F.split(m.found, "[^0-9]+"), lambda g: F.length(g)))
+    word = F.lower(F.regexp_extract(m.ahead, r"(\p{L}+)[^\p{L}]*$", 1))
+    values = {
+        "length": (F.length(m.found) / 4).cast("int"),
+        "digits": F.length(digits),
+        "separators": F.length(F.regexp_replace(m.found, "[0-9A-Za-z]", "")),
+        "group": group,
+        "first": F.when(first.rlike("[0-9]"), 0).when(first == "+", 1).when(first == "(", 2).otherwise(3),
+        "before": _side(F.right(m.ahead, F.lit(1))),
+        "behind": _side(F.left(m.behind, F.lit(1))),
+        "check": F.when(luhn(digits), 1).otherwise(0),
+        "word": F.pmod(F.xxhash64(word), F.lit(FEATURES["word"])).cast("int"),
+    }
+    out, at = [], 0
+    for name, n in FEATURES.items():
+        out.append(F.least(values[name], F.lit(n - 1)) + at)
+        at += n
+    return F.array(*out)
+
+
+def _labelled(kind: str, spans: Column, base: bool) -> Column:
+    """Candidates with their votes and features: struct(kind, start, end, base, votes, features)."""
 
     def look(m: Column) -> Column:
         votes = [
-            F.lit(True) if strict else (m.found.rlike(own) & valid(kind, m.found)),
-            m.found.rlike(loosely) if strict else F.lit(True),
-            luhn(_digits(m.found)) if kind == "card" else (~m.found.rlike("^[.-]|[.-]@") if kind == "email" else F.length(_digits(m.found)) >= (10 if kind == "phone" else 4)),
-            m.found.rlike(LISTED[kind]),
+            _format(kind, m.found),
+            _listed(kind, m.found),
             F.lower(m.ahead).rlike(CUES[kind]),
+            ~F.lower(m.ahead).rlike(COUNTER_CUES[kind]),
+            m.found.rlike(SHAPES[kind]),
             ~m.ahead.rlike(r"[0-9A-Za-z]$") & ~m.behind.rlike("^[0-9A-Za-z@]"),
         ]
-        return F.struct(F.lit(KINDS.index(kind)).alias("kind"), m.start.alias("start"), m.end.alias("end"), F.lit(strict).alias("base"), sum((F.when(v, 1 << k).otherwise(0) for k, v in enumerate(votes)), F.lit(0)).alias("votes"))
+        packed = sum((F.when(v, 1 << k).otherwise(0) for k, v in enumerate(votes)), F.lit(0))
+        return F.struct(F.lit(KINDS.index(kind)).alias("kind"), m.start.alias("start"), m.end.alias("end"), F.lit(base).alias("base"), packed.alias("votes"), _features(m).alias("features"))
 
     return F.transform(spans, look)
 
 
 def candidates(text: Column) -> Column:
     """All candidates of a text: strict ones that are valid, and loose ones that touch none of those of their kind."""
-    has_digit, has_at = text.rlike("[0-9]"), text.contains("@") | text.rlike(r"\(at\)|\[at\]")
-    empty = F.array().cast("array<struct<kind:int,start:int,end:int,base:boolean,votes:int>>")
+    has_digit, has_at = text.rlike("[0-9]"), text.rlike(r"@|\(at\)|\[at\]|\x20at\x20[A-Za-z0-9-]++\x20dot\x20")
+    empty = F.array().cast("array<struct<kind:int,start:int,end:int,base:boolean,votes:int,features:array<int>>>")
 
     def of(kind: str) -> Column:
         strict = F.filter(matches(text, STRICT[kind]), lambda m: valid(kind, m.found))
@@ -171,24 +237,20 @@ def candidates(text: Column) -> Column:
 
 @dataclass
 class Classifier:
-    """For each kind, the weights of a logistic span classifier over labels and pairs of labels."""
+    """For each kind, the bias and weights of a linear classifier over span features, and (hit rate, false alarm rate) of each labeler."""
 
+    bias: dict[int, float]
     weights: dict[int, list[float]]
     reliability: dict[int, list[tuple[float, float]]]
 
-    def accepts(self, kind: int, votes: int) -> bool:
-        w = self.weights.get(kind)
-        return w is not None and float(_features(votes) @ np.array(w)) >= 0
-
-
-def _features(votes: int) -> np.ndarray:
-    own = [votes >> k & 1 for k in range(len(LABELERS))]
-    return np.array([1.0, *own, *(own[a] * own[b] for a in range(len(own)) for b in range(a))])
 
+def expectation_maximisation(counts: dict[int, tuple[int, int]], rounds: int = 50) -> tuple[float, list[tuple[float, float]], dict[int, float]]:
+    """Prior, (hit rate, false alarm rate) of each labeler, and posterior of each vote combination, from (base, other) counts of each.
 
-def expectation_maximisation(counts: dict[int, int], rounds: int = 50) -> tuple[float, list[tuple[float, float]], dict[int, float]]:
-    """Prior, (hit rate, false alarm rate) of each labeler, and posterior of each label combination."""
-    total = sum(counts.values())
+    The base spans are cases that are known, and together weigh as much as the others at most.
+    """
+    total, known = sum(n for _, n in counts.values()), sum(n for n, _ in counts.values())
+    anchor = min(1.0, max(total, 1) / known) if known else 0.0
     prior, hit, alarm = 0.5, [0.8] * len(LABELERS), [0.2] * len(LABELERS)
     post: dict[int, float] = {}
     for _ in range(rounds):
@@ -199,40 +261,51 @@ def expectation_maximisation(counts: dict[int, int], rounds: int = 50) -> tuple[
                 yes += math.log(hit[k] if on else 1 - hit[k])
                 no += math.log(alarm[k] if on else 1 - alarm[k])
             post[v] = 1 / (1 + math.exp(max(-60.0, min(60.0, no - yes))))
-        positive = sum(post[v] * n for v, n in counts.items())
-        prior = min(0.99, max(0.01, (positive + 1) / (total + 2)))
+        sure = {v: post[v] * n + anchor * b for v, (b, n) in counts.items()}
+        positive, negative = sum(sure.values()), sum((1 - post[v]) * n for v, (_, n) in counts.items())
+        prior = min(0.99, max(0.01, (sum(post[v] * n for v, (_, n) in counts.items()) + 1) / (total + 2)))
         for k in range(len(LABELERS)):
-            p = sum(post[v] * n for v, n in counts.items() if v >> k & 1)
-            q = sum((1 - post[v]) * n for v, n in counts.items() if v >> k & 1)
+            p = sum(x for v, x in sure.items() if v >> k & 1)
+            q = sum((1 - post[v]) * n for v, (_, n) in counts.items() if v >> k & 1)
             hit[k] = (p + 2) / (positive + 2.5)  # smoothed towards labelers that are right
-            alarm[k] = (q + 0.5) / (total - positive + 2.5)
+            alarm[k] = (q + 0.5) / (negative + 2.5)
     return prior, list(zip(hit, alarm, strict=True)), post
 
 
 def train(found: DataFrame) -> Classifier:
-    """A classifier from rows with ``spans`` of candidates; only the counts of label combinations (256 at most) reach the driver."""
-    spans = found.select(F.explode("spans").alias("s")).groupBy("s.kind", "s.votes").count().collect()
-    weights, reliability = {}, {}
-    for kind in sorted({r["kind"] for r in spans}):
-        counts = {r["votes"]: r["count"] for r in spans if r["kind"] == kind}
-        _, reliability[kind], post = expectation_maximisation(counts)
-        design = np.stack([_features(v) for v in counts])
-        n, y = np.array([float(counts[v]) for v in counts]), np.array([post[v] for v in counts])
-        n = n / n.sum() * 1000
-        w = np.zeros(design.shape[1])
-        for _ in range(30):  # Newton's method with shrinkage
-            p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-            grad = design.T @ (n * (p - y)) + 0.1 * w
-            hess = (design * (n * p * (1 - p) + 1e-9)[:, None]).T @ design + 0.1 * np.eye(len(w))
-            w = w - np.linalg.solve(hess, grad)
-        weights[kind] = w.tolist()
-    return Classifier(weights, reliability)
+    """A classifier from rows with ``spans`` of candidates. Counts of vote combinations by feature reach the driver: one for each value of each, at most."""
+    spans = found.select(F.explode("spans").alias("s")).select("s.kind", "s.base", "s.votes", F.explode("s.features").alias("feature"))
+    rows = spans.groupBy("kind", "base", "votes", "feature").count().collect()
+    bias, weights, reliability = {}, {}, {}
+    for kind in sorted({r["kind"] for r in rows}):
+        own = [r for r in rows if r["kind"] == kind]
+        counts: dict[int, tuple[int, int]] = {}
+        for r in own:
+            if r["feature"] < FEATURES["length"]:  # each span once: by its first feature
+                b, n = counts.get(r["votes"], (0, 0))
+                counts[r["votes"]] = (b + r["count"], n) if r["base"] else (b, n + r["count"])
+        prior, reliability[kind], post = expectation_maximisation(counts)
+        total, known = sum(n for _, n in counts.values()), sum(b for b, _ in counts.values())
+        anchor = min(1.0, max(total, 1) / known) if known else 0.0
+        yes, no = np.full(_WIDTH, 0.5), np.full(_WIDTH, 0.5)
+        for r in own:
+            p = post[r["votes"]]
+            yes[r["feature"]] += r["count"] * (anchor if r["base"] else p)
+            no[r["feature"]] += 0 if r["base"] else r["count"] * (1 - p)
+        at = 0
+        w = np.zeros(_WIDTH)
+        for n in FEATURES.values():
+            w[at : at + n] = np.log(yes[at : at + n] / yes[at : at + n].sum()) - np.log(no[at : at + n] / no[at : at + n].sum())
+            at += n
+        bias[kind], weights[kind] = math.log(prior / (1 - prior)), w.tolist()
+    return Classifier(bias, weights, reliability)
 
 
 def _accepted(model: Classifier, s: Column) -> Column:
-    """The span classifier: all label combinations it accepts, as a table of literals (256 at most)."""
-    yes = [kind << len(LABELERS) | v for kind in range(len(KINDS)) for v in range(1 << len(LABELERS)) if model.accepts(kind, v)]
-    return s.base | F.array_contains(F.array(*(F.lit(x) for x in yes)).cast("array<int>"), s.kind * (1 << len(LABELERS)) + s.votes)
+    """The span classifier's decision, as an expression over its weights."""
+    bias = F.lit([model.bias.get(k, -math.inf) for k in range(len(KINDS))])
+    weights = F.lit([x for k in range(len(KINDS)) for x in model.weights.get(k, [0.0] * _WIDTH)])
+    return s.base | (F.aggregate(s.features, F.get(bias, s.kind), lambda t, x: t + F.get(weights, s.kind * _WIDTH + x)) >= 0)
 
 
 def detected(docs: DataFrame, text: str = "text", carry: list[str] | None = None, name: str = "spans") -> DataFrame:
