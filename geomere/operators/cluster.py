@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,24 +18,39 @@ def dbscan(points: DataFrame, eps_metres: float, min_points: int, key: str = "id
     As in the function to match, the radius is metres over the mean radius of the Earth,
     taken as degrees of the plane. A core has ``min_points`` rows in its radius, itself included; a
     border row goes to the cluster of its least core. With ``min_points`` of one or less every row is a core.
+    With no more rows that have a place than ``min_points`` there are no clusters, as in the function to match.
     Clusters are numbered from 0 by their least core. ``key`` must be unique, of type long.
+
+    A cell whose diagonal is the radius holds neighbours only. Where it has ``min_points`` rows all of them are cores of
+    one cluster: each is linked to the least of them instead of to all others, so dense places cost no pairs of their own.
     """
     if eps_metres < 0 or min_points < 0:
         raise ValueError("radius and number of points must not be negative")
-    eps = eps_metres / CLUSTER_R
-    size = max(eps, 1e-12)
+    eps, enough = eps_metres / CLUSTER_R, max(min_points, 1)
+    size = max(eps, 1e-12) / math.sqrt(2) * (1 - 1e-9)
     placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(key).cast("long").alias("a"), F.col(x).alias("ax"), F.col(y).alias("ay"))
     placed = placed.withColumn("cx", F.floor(F.col("ax") / size).cast("long")).withColumn("cy", F.floor(F.col("ay") / size).cast("long"))
-    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    copies = placed.withColumn("d", F.explode(around)).select(F.col("a").alias("b"), F.col("ax").alias("bx"), F.col("ay").alias("by"), (F.col("cx") + F.col("d.i")).alias("cx"), (F.col("cy") + F.col("d.j")).alias("cy"))
-    near = placed.join(copies, ["cx", "cy"]).where(F.pow(F.col("ax") - F.col("bx"), 2) + F.pow(F.col("ay") - F.col("by"), 2) <= eps * eps)
-    pairs = written(near.select("a", "b"), "neighbours")
-    core = written(pairs.groupBy("a").count().where(F.col("count") >= max(min_points, 1)).select("a"), "cores")
-    of_cores = pairs.join(core, "a").join(core.withColumnRenamed("a", "b"), "b")
-    roots = components(of_cores.select("a", "b"))
+    cells = placed.groupBy("cx", "cy").agg(F.count("*").alias("held"), F.min("a").alias("head"))
+    placed = written(placed.join(cells, ["cx", "cy"]).withColumn("dense", F.col("held") >= enough), "placed")
+    total = placed.count()
+    if total <= min_points:
+        return points.select(key, F.lit(None).cast("int").alias("cluster"))
+    # rows of dense cells stand for nothing but themselves as others' neighbours, so cells meet in 24 others and, if not dense, in their own
+    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3)))
+    copies = placed.withColumn("d", F.explode(around)).select(F.col("a").alias("b"), F.col("ax").alias("bx"), F.col("ay").alias("by"), F.col("dense").alias("b_dense"), F.col("head").alias("b_head"), (F.col("cx") + F.col("d.i")).alias("cx"), (F.col("cy") + F.col("d.j")).alias("cy"))
+    near = F.pow(F.col("ax") - F.col("bx"), 2) + F.pow(F.col("ay") - F.col("by"), 2) <= eps * eps
+    sparse = written(placed.where("NOT dense").join(copies, ["cx", "cy"]).where(near).select("a", "b", "b_dense", "b_head"), "neighbours")
+    counted = sparse.groupBy("a").count().where(F.col("count") >= enough).select("a")
+    core = written(counted.unionByName(placed.where("dense").select("a")), "cores")
+    within = placed.where("dense").select("a", F.col("head").alias("b"))
+    # of two dense cells one pair of neighbours links all
+    other = copies.where("b_dense").withColumnRenamed("b_head", "head_b")
+    across = placed.where("dense").join(other, ["cx", "cy"]).where(F.col("head") < F.col("head_b")).where(near).select(F.col("head").alias("a"), F.col("head_b").alias("b")).distinct()
+    of_cores = sparse.select("a", "b").join(core, "a").join(core.withColumnRenamed("a", "b"), "b").select("a", "b")
+    roots = components(of_cores.unionByName(within).unionByName(across))
     cored = core.join(roots.withColumnRenamed("node", "a"), "a", "left").select("a", F.coalesce("root", "a").alias("root"))
     cored = written(cored, "cored")
-    border = pairs.join(core, "a", "left_anti").join(cored.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min_by("root", "b").alias("root"))
+    border = sparse.select("a", "b").join(core, "a", "left_anti").join(cored.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min_by("root", "b").alias("root"))
     member = cored.unionByName(border)
     # places of the least cores in order, from the counts of partitions that are sorted by range
     named = written(cored.select("root").distinct().repartitionByRange("root").sortWithinPartitions("root").withColumn("at", F.monotonically_increasing_id()), "roots")

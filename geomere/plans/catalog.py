@@ -89,7 +89,7 @@ _add(
     None,
 )
 ORACLES["clusterdbscan"] = t.CTES.replace("WITH ", "WITH RECURSIVE ") + f""", {_NEAR},
-core AS (SELECT a FROM near GROUP BY a HAVING count(*) >= 3),
+core AS (SELECT a FROM near WHERE (SELECT count(*) FROM supplier_pt) > 3 GROUP BY a HAVING count(*) >= 3),
 link AS (SELECT n.a, n.b FROM near n JOIN core c ON n.a = c.a JOIN core d ON n.b = d.a),
 reach AS (SELECT a, a AS b FROM core UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
 root AS (SELECT a, min(b) AS root FROM reach GROUP BY a),

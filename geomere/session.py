@@ -29,10 +29,12 @@ def ship(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary one is set.
+    Only on one machine (a local master) a temporary one is set where the session names none; a cluster has to name its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="geomere-shared-")
         spark.sparkContext.setCheckpointDir(named)
     return named
@@ -43,4 +45,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/geomere/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    tables(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def tables(spark: SparkSession) -> list[str]:
+    """The folders of all tables that :func:`written` has made in this Spark context and :func:`forget` has not deleted."""
+    context = spark.sparkContext
+    if not hasattr(context, "_geomere_tables"):
+        context._geomere_tables = []
+    return context._geomere_tables
+
+
+def forget(spark: SparkSession, keep: list[str] = ()) -> None:
+    """Delete the tables of this Spark context but those named. DataFrames that still read the deleted ones are lost."""
+    context, known = spark.sparkContext, tables(spark)
+    for path in [p for p in known if p not in keep]:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        known.remove(path)

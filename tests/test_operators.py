@@ -77,3 +77,36 @@ def test_geofence_stream(spark):
     query = out.writeStream.format("memory").queryName("fenced").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", f"{folder}/state").start()
     query.awaitTermination(120)
     assert {(r.box, r["count"]) for r in spark.table("fenced").collect()} == {("a", 10), ("b", 14)}
+
+
+def _dbscan(rows, eps, least):
+    """Clusters by their definition, over all pairs; numbered by their least core."""
+    placed = [r for r in rows if r[1] is not None]
+    if len(placed) <= least:
+        return {r[0]: None for r in rows}
+    near = {p[0]: [q[0] for q in placed if (p[1] - q[1]) ** 2 + (p[2] - q[2]) ** 2 <= eps * eps] for p in placed}
+    core = {i for i, n in near.items() if len(n) >= max(least, 1)}
+    root = {}
+    for i in sorted(core):
+        todo = [i]
+        while todo:
+            j = todo.pop()
+            if j not in root:
+                root[j] = i
+                todo += [q for q in near[j] if q in core]
+    number = {r: k for k, r in enumerate(sorted(set(root.values())))}
+    border = {i: root[min(q for q in near[i] if q in core)] for i in near if i not in core and any(q in core for q in near[i])}
+    return {r[0]: number.get(root.get(r[0], border.get(r[0]))) for r in rows}
+
+
+def test_dbscan_is_brute_force(spark):
+    r = random.Random(8)
+    sets = [
+        [(i, r.uniform(0, 10), r.uniform(0, 10)) for i in range(150)] + [(900, None, 1.0)],
+        [(i, r.gauss(r.choice([0, 3]), 0.2), r.gauss(0, 0.2)) for i in range(120)] + [(200 + i, 5.0, 5.0) for i in range(6)] + [(300, 5.6, 5.0)],
+        [(i, float(i), 0.0) for i in range(3)],
+    ]
+    for rows in sets:
+        df = spark.createDataFrame(rows, "id long, lon double, lat double")
+        for eps, least in ((0.7, 4), (1.2, 3), (0.0, 2), (1.0, 0)):
+            assert {x.id: x.cluster for x in dbscan(df, eps * 6371008.8, least).collect()} == _dbscan(rows, eps, least), (eps, least)
