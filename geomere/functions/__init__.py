@@ -7,49 +7,38 @@ from pyspark.sql import functions as F
 
 from .definitions import FUNCTIONS
 from .shape import GEO
-from .wkb import decoder
 
-#: The functions that need Python: reading the bytes of doubles.
-BINARY = {"st_geogfromwkb": decoder, "st_geomfromwkb": decoder}
-
-#: Spark has a function of its own by this name that a SQL function can't replace.
-ALIASES = {"st_asbinary": "st_aswkb"}
+#: Spark has functions of its own by these names that a SQL function can't replace.
+ALIASES = {"st_asbinary": "st_aswkb", "st_geogfromwkb": "st_geogfrombinary", "st_geomfromwkb": "st_geomfrombinary"}
 
 
 def register(spark: SparkSession, *names: str) -> None:
     """Make ``st_*`` functions known to a session: those named, or all. Spark analyses each one once."""
     known = spark.__dict__.setdefault("_geomere_known", set())
-    for fn in names or (*FUNCTIONS, *BINARY):
+    for fn in names or FUNCTIONS:
         if fn in known:
             continue
-        if fn in FUNCTIONS:
-            args, returns, body = FUNCTIONS[fn]
-            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {fn}({args}) RETURNS {returns} RETURN {body}")
-        else:
-            spark.udf.register(fn, BINARY[fn]())
+        args, returns, body = FUNCTIONS[fn]
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {fn}({args}) RETURNS {returns} RETURN {body}")
         known.add(fn)
 
 
 def call(name: str, *args) -> Column:
     """A function over columns, registered if it is not yet; a text argument is a literal geography, other values are literals."""
     spark, name = SparkSession.active(), ALIASES.get(name, name)
-    register(spark, name, *(("st_geogfromtext", "st_geogfromgeojson", "st_geogfromwkb") if any(isinstance(a, str) for a in args) else ()))
+    register(spark, name)
     return F.call_function(name, *(geography(a) if isinstance(a, str) else a if isinstance(a, Column) else F.lit(a) for a in args))
 
 
 def geography(value: str | Column) -> Column:
     """A geography of hex (E)WKB, GeoJSON or (E)WKT, whichever its first letter says."""
-    register(SparkSession.active(), "st_geogfromtext", "st_geogfromgeojson", "st_geogfromwkb")
+    form = "st_geogfrom"
+    if isinstance(value, str):  # a literal needs only the one form's expression
+        form = "st_geogfrombinary" if value[:1] == "0" else "st_geogfromgeojson" if value[:1] == "{" else "st_geogfromtext"
+    register(SparkSession.active(), form)
     if isinstance(value, str):
-        lit = F.lit(value)
-        if value[:1] == "0":
-            return F.call_function("st_geogfromwkb", F.unhex(lit))
-        return F.call_function("st_geogfromgeojson" if value[:1] == "{" else "st_geogfromtext", lit)
-    first = F.substring(value, 1, 1)
-    as_json = F.call_function("st_geogfromgeojson", F.when(first == "{", value))
-    as_text = F.call_function("st_geogfromtext", F.when(~first.isin("0", "{"), value))
-    as_bytes = F.call_function("st_geogfromwkb", F.when(first == "0", F.unhex(value)))
-    return F.when(value == "", F.call_function("st_geogfromtext", F.lit(""))).when(first == "0", as_bytes).when(first == "{", as_json).otherwise(as_text)
-
-
-__all__ = ["BINARY", "FUNCTIONS", "GEO", "call", "geography", "register"]
+        return F.call_function(form, F.unhex(F.lit(value)) if form == "st_geogfrombinary" else F.lit(value))
+    return F.call_function(form, value)
+
+
+__all__ = ["FUNCTIONS", "GEO", "call", "geography", "register"]

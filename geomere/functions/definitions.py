@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from . import binary, plane, sphere, text
+from . import binary, plane, sphere, text, wkb
 from .shape import (
     GEO,
     NONE,
@@ -40,15 +40,22 @@ FUNCTIONS: dict[str, Definition] = {}
 _LONG = 800
 
 
-#: Bound to variables, the predicate gives wrong answers in Spark 4.1, though each of its parts gives right ones.
+#: Bound to variables, the predicate gives wrong answers in Spark 4.1, by whatever names, though each of its parts gives right ones.
 _UNBOUND = {"st_touches"}
 
 
-def define(fn: str, args: str, returns: str, body: str) -> None:
+def _renamed(body: str, old: str, new: str) -> str:
+    """``body`` with an argument by another name; texts in quotes and fields of that name stay."""
+    return re.sub(rf"('[^']*')|(?<![\w.]){old}(?!\w)", lambda m: m[1] or new, body)
+
+
+def define(fn: str, args: str, returns: str, body: str, short: tuple[str, str] | None = None) -> None:
+    """``short``: a condition on the arguments as they are, and the short body that serves there."""
     if len(body) > _LONG and fn not in _UNBOUND:
         for g in re.findall(rf"(\w+) (?={re.escape(GEO)}|ARRAY<{re.escape(GEO)})", args):
-            body = f"transform(array({g}), {g} -> {body})[0]"
-    FUNCTIONS[fn] = (args, returns, body)
+            v = name()
+            body = f"transform(array({g}), {v} -> {_renamed(body, g, v)})[0]"
+    FUNCTIONS[fn] = (args, returns, f"CASE WHEN {short[0]} THEN {short[1]} ELSE {body} END" if short else body)
 
 
 _NOTHING = geo("0", NONE)
@@ -103,6 +110,10 @@ def _hash(g: str, precision: str) -> str:
 define("st_geohash", f"g {GEO}, digits INT DEFAULT 0", "STRING", _hash("g", "digits"))
 _parsed = lambda t, body: f"CASE WHEN {t} IS NULL THEN NULL WHEN {t} = '' THEN {_NOTHING} ELSE {body} END"
 define("st_geogfromtext", "t STRING", GEO, _parsed("t", let("t", text.from_text)))
+_from_bytes = lambda b: f"CASE WHEN {b} IS NULL THEN NULL WHEN length({b}) = 0 THEN {_NOTHING} ELSE {let(f'hex({b})', wkb.from_hex)} END"
+define("st_geogfrombinary", "b BINARY", GEO, _from_bytes("b"))
+define("st_geomfrombinary", "b BINARY", GEO, _from_bytes("b"))
+define("st_geogfrom", "t STRING", GEO, _parsed("t", f"CASE substr(t, 1, 1) WHEN '0' THEN {let('upper(t)', wkb.from_hex)} WHEN '{{' THEN {let('t', text.from_json)} ELSE {let('t', text.from_text)} END"))
 define("st_geomfromtext", "t STRING", GEO, FUNCTIONS["st_geogfromtext"][2])
 define("st_geogfromgeojson", "t STRING", GEO, _parsed("t", let("t", text.from_json)))
 define("st_geomfromgeojson", "t STRING", GEO, FUNCTIONS["st_geogfromgeojson"][2])
@@ -150,8 +161,11 @@ def _distance(a: str, b: str, on: str) -> str:
     return f"CASE WHEN {a}.kind = 0 OR {b}.kind = 0 THEN 0D WHEN {empty(a)} OR {empty(b)} THEN {error('NULL VALUE')} WHEN {_is_point(a)} AND {_is_point(b)} THEN {_apart(_first(a), _first(b), on)} ELSE {general} END"
 
 
-define("st_distance", f"a {GEO}, b {GEO}, use_spheroid BOOLEAN DEFAULT false", "DOUBLE", _same_srid("a", "b", let(_distance("a", "b", "use_spheroid"), sphere.rounded)))
-define("st_dwithin", f"a {GEO}, b {GEO}, d DOUBLE, use_spheroid BOOLEAN DEFAULT false", "BOOLEAN", _same_srid("a", "b", f"CASE WHEN d IS NULL THEN NULL WHEN a.kind = 0 AND b.kind = 0 THEN true WHEN {empty('a')} OR {empty('b')} THEN false ELSE {_distance('a', 'b', 'use_spheroid')} <= d END"))
+#: Two points on the sphere: no variables, so that Spark compiles the formula.
+_two_points = f"{_is_point('a')} AND {_is_point('b')} AND a.srid = b.srid AND NOT use_spheroid"
+_sphere = sphere.hav(_first("a"), _first("b"))
+define("st_distance", f"a {GEO}, b {GEO}, use_spheroid BOOLEAN DEFAULT false", "DOUBLE", _same_srid("a", "b", let(_distance("a", "b", "use_spheroid"), sphere.rounded)), (_two_points, sphere.rounded(_sphere)))
+define("st_dwithin", f"a {GEO}, b {GEO}, d DOUBLE, use_spheroid BOOLEAN DEFAULT false", "BOOLEAN", _same_srid("a", "b", f"CASE WHEN d IS NULL THEN NULL WHEN a.kind = 0 AND b.kind = 0 THEN true WHEN {empty('a')} OR {empty('b')} THEN false ELSE {_distance('a', 'b', 'use_spheroid')} <= d END"), (f"{_two_points} AND d IS NOT NULL", f"{_sphere} <= d"))
 define("st_maxdistance", f"a {GEO}, b {GEO}, use_spheroid BOOLEAN DEFAULT true", "DOUBLE", _same_srid("a", "b", f"CASE WHEN a.kind = 0 OR b.kind = 0 THEN 0D WHEN {empty('a')} OR {empty('b')} THEN {error('NULL VALUE')} ELSE {let(sphere.farthest('a', 'b'), sphere.rounded)} END"))
 _lines = lambda g, on, kinds: total(keep(f"{g}.parts", lambda p: f"{p}.kind IN ({kinds})"), lambda p: total(f"{p}.rings", lambda r: sphere.line_length(r, on, f"{g}.flags")))
 define("st_length", f"g {GEO}, use_spheroid BOOLEAN DEFAULT false", "DOUBLE", f"CASE WHEN g IS NULL THEN NULL WHEN g.kind IN (2, 5) THEN {_lines('g', 'use_spheroid', '2')} WHEN g.kind = 7 THEN {_lines('g', 'use_spheroid', '2, 3')} ELSE 0D END")
@@ -184,6 +198,7 @@ def _envelope(g: str) -> str:
 
 define("st_boundingbox", f"g {GEO}", GEO, _envelope("g"))
 define("st_envelope", f"g {GEO}", GEO, _envelope("g"))
+define("st_makebox", "xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE", GEO, f"CASE WHEN xmin IS NULL OR ymin IS NULL OR xmax IS NULL OR ymax IS NULL THEN NULL ELSE {geo('3', f'array({part("3", f"array(array({point('xmin', 'ymin')}, {point('xmin', 'ymax')}, {point('xmax', 'ymax')}, {point('xmax', 'ymin')}, {point('xmin', 'ymin')}))")})')} END")
 _all = lambda gs: let(keep(gs, lambda g: f"{g} IS NOT NULL AND {g}.kind > 0"), lambda u: f"CASE WHEN size({u}) = 0 THEN {_NOTHING} ELSE {geo('7', f'flatten({each(u, lambda g: f"{g}.parts")})', f'{u}[0].srid')} END")
 define("st_extent", f"gs ARRAY<{GEO}>", GEO, f"CASE WHEN gs IS NULL THEN NULL ELSE {let(_all('gs'), _envelope)} END")
 
@@ -269,7 +284,7 @@ def _clipped() -> str:
 _convex = lambda g: let(f"{g}.parts[0].rings[0]", lambda r: let(edges(r), lambda es: f"abs({total(f'transform({es}, (e8, i8) -> signum((e8.b.x - e8.a.x) * ({es}[(i8 + 1) % size({es})].b.y - e8.b.y) - (e8.b.y - e8.a.y) * ({es}[(i8 + 1) % size({es})].b.x - e8.b.x)))')}) = size({es})"))
 _plain = lambda g: f"({g}.kind = 3 AND size({g}.parts[0].rings) = 1)"
 _open = error("this pair of areas can not be overlaid yet")
-define("st_intersection", f"a {GEO}, b {GEO}", GEO, _same_srid("a", "b", f"CASE WHEN a.kind = 0 OR b.kind = 0 THEN {_NOTHING} WHEN {empty('a')} THEN a WHEN {empty('b')} THEN b WHEN NOT {plane.solid('a')} AND (a.kind <> 7) THEN {_sifted(True)} WHEN {_plain('a')} AND {_plain('b')} AND {_convex('b')} THEN {_clipped()} WHEN {plane.covers('b', 'a')} THEN a WHEN {plane.covers('a', 'b')} THEN b ELSE {_open} END"))
+define("st_intersection", f"a {GEO}, b {GEO}", GEO, _same_srid("a", "b", f"CASE WHEN a.kind = 0 OR b.kind = 0 THEN {_NOTHING} WHEN {empty('a')} THEN a WHEN {empty('b')} THEN b WHEN NOT {plane.solid('a')} AND (a.kind <> 7) THEN {_sifted(True)} WHEN {_plain('a')} AND {_plain('b')} AND {_convex('b')} AND {_convex('a')} THEN {_clipped()} WHEN {plane.covers('b', 'a')} THEN a WHEN {plane.covers('a', 'b')} THEN b ELSE {_open} END"))
 define("st_difference", f"a {GEO}, b {GEO}", GEO, _same_srid("a", "b", f"CASE WHEN a.kind = 0 THEN b WHEN b.kind = 0 THEN a WHEN {empty('a')} OR {empty('b')} THEN a WHEN NOT {plane.solid('a')} AND (a.kind <> 7) THEN {_sifted(False)} WHEN NOT {plane.solid('b')} OR NOT {plane.intersects('a', 'b')} THEN a WHEN {plane.covers('b', 'a')} THEN {geo('3', NONE, 'a.srid')} ELSE {_open} END"))
 
 

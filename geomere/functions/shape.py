@@ -3,8 +3,8 @@
 A geography is a nested column that Catalyst sees through: its kind (1 point, 2 line, 3
 polygon, 4 to 6 their multiples, 7 collection, 0 nothing at all), SRID, dimension flags (1 for
 Z, 2 for M) and parts, each a point, a line or a polygon with its rings. Functions over it
-are plain SQL expressions, so they are compiled into the query, take part in pruning, and
-need no Python. A null is a null; an empty geography has no parts.
+are plain SQL expressions, so they take part in pruning and need no Python. Spark compiles them but for
+the functions of arrays, whose lambdas it interprets. A null is a null; an empty geography has no parts.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.shape import R
+from ..session import written
 
 #: Degrees of latitude that a distance spans.
 _DEGREES = 180 / (math.pi * R)
@@ -54,26 +55,61 @@ def dwithin_join(left: DataFrame, right: DataFrame, metres: float, left_xy: tupl
     return paired.where(F.col(distance) <= metres).drop("_band", "_cell")
 
 
-def nearest_join(left: DataFrame, right: DataFrame, k: int, key: str, right_key: str, metres: float, **names) -> DataFrame:
-    """For each ``key`` of the left side its ``k`` nearest points of the right side within ``metres``, ties to the smaller ``right_key``, with rank."""
-    pairs = dwithin_join(left, right, metres, **names)
-    order = Window.partitionBy(key).orderBy(names.get("distance", "metres"), right_key)
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+def nearest_join(left: DataFrame, right: DataFrame, k: int, key: str, right_key: str, **names) -> DataFrame:
+    """For each ``key`` (unique) of the left side its ``k`` nearest points of the right side, ties to the smaller ``right_key``, with rank.
+
+    Rounds of growing range: rows with ``k`` partners in range have their nearest, the others go on with four times
+    the range, up to half the globe. The first range holds ``k`` points if they lie evenly, so few pairs are made in a
+    round. Rows without a place have no partner; with fewer than ``k`` points all are partners.
+    """
+    distance = names.get("distance", "metres")
+    (lx, ly), (rx, ry) = names.get("left_xy", ("lon", "lat")), names.get("right_xy", ("r_lon", "r_lat"))
+    placed = right.where(F.col(rx).isNotNull() & F.col(ry).isNotNull())
+    open_, found = left.where(F.col(lx).isNotNull() & F.col(ly).isNotNull()), None
+    half, many = math.pi * R, placed.count()
+    metres = min(half, 2 * R * math.sqrt(k / max(many, 1)))
+    order = Window.partitionBy(key).orderBy(distance, right_key)
+    while True:
+        last = metres >= half or many <= k
+        pairs = dwithin_join(open_, placed, half * (1 + 1e-9) if last else metres, **names)
+        ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        if last:
+            return ranked if found is None else found.unionByName(ranked)
+        ranked = written(ranked, "nearest")
+        full = ranked.where(F.col("rank") == k).select(F.col(key).alias("_full"))
+        done = ranked.join(full, F.col(key) == F.col("_full"), "left_semi")
+        found = done if found is None else found.unionByName(done)
+        open_ = written(open_.join(full, F.col(key) == F.col("_full"), "left_anti"), "open")
+        if open_.isEmpty():
+            return found
+        metres *= 4
 
 
 def box_join(left: DataFrame, right: DataFrame, size: float, left_box: tuple[str, ...] = ("xmin", "ymin", "xmax", "ymax"), right_box: tuple[str, ...] = ("r_xmin", "r_ymin", "r_xmax", "r_ymax")) -> DataFrame:
-    """All pairs of rows whose boxes share a point, by grid cells of ``size`` degrees; an exact predicate may follow.
+    """All pairs of rows whose boxes share a point, by grid cells of ``size`` degrees and coarser ones; an exact predicate may follow.
 
-    Both sides go to every cell that their box covers; a pair counts only in the cell that
-    holds the lower left corner of what the boxes share.
+    Each box goes to the cells that it covers of the finest grid of which it covers at most four by four; grids double
+    their cells from ``size`` on, so a box of any size has 16 copies at most. To meet boxes of coarser grids it
+    also goes to the coarser cells that it covers, one level after the other. Pairs meet on the coarser box's grid, in the cell
+    that holds the lower left corner of what the boxes share, so each comes once.
     """
+    top = max(0, math.ceil(math.log2(720 / size)))  # a cell that is wider than the globe
+
+    def gridded(df: DataFrame, box: tuple[str, ...]) -> DataFrame:
+        wide = F.greatest(F.col(box[2]) - F.col(box[0]), F.col(box[3]) - F.col(box[1])) / (3 * size)
+        return df.withColumn("_own", F.least(F.lit(top), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(wide, F.lit(1.0)))))).cast("int"))
 
-    def covered(df: DataFrame, box: tuple[str, ...]) -> DataFrame:
-        x0, y0, x1, y1 = (F.floor(F.col(c) / size).cast("long") for c in box)
-        return df.withColumn("_cx", F.explode(F.sequence(x0, x1))).withColumn("_cy", F.explode(F.sequence(y0, y1)))
+    def covered(df: DataFrame, box: tuple[str, ...], other: DataFrame) -> DataFrame:
+        at = lambda c: F.floor(F.col(c) / (size * F.pow(F.lit(2.0), F.col("_grid")))).cast("long")
+        df = df.withColumn("_grid", F.explode(other))
+        return df.withColumn("_cx", F.explode(F.sequence(at(box[0]), at(box[2])))).withColumn("_cy", F.explode(F.sequence(at(box[1]), at(box[3]))))
 
     a, b = [F.col(c) for c in left_box], [F.col(c) for c in right_box]
-    pairs = covered(left, left_box).join(covered(right, right_box), ["_cx", "_cy"])
+    every = F.sequence(F.col("_own"), F.lit(top))
+    one = covered(gridded(left, left_box), left_box, every).withColumnRenamed("_own", "_own_a")
+    two = covered(gridded(right, right_box), right_box, every).withColumnRenamed("_own", "_own_b")
+    pairs = one.join(two, ["_grid", "_cx", "_cy"]).where(F.col("_grid") == F.greatest("_own_a", "_own_b"))
+    cell = size * F.pow(F.lit(2.0), F.col("_grid"))
     meet = (a[0] <= b[2]) & (b[0] <= a[2]) & (a[1] <= b[3]) & (b[1] <= a[3])
-    first = (F.floor(F.greatest(a[0], b[0]) / size) == F.col("_cx")) & (F.floor(F.greatest(a[1], b[1]) / size) == F.col("_cy"))
-    return pairs.where(meet & first).drop("_cx", "_cy")
+    first = (F.floor(F.greatest(a[0], b[0]) / cell) == F.col("_cx")) & (F.floor(F.greatest(a[1], b[1]) / cell) == F.col("_cy"))
+    return pairs.where(meet & first).drop("_grid", "_cx", "_cy", "_own_a", "_own_b")

@@ -8,9 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import register
+from ..functions import call, register
+from ..operators.aggregates import centroid, extent
 from ..operators.cluster import dbscan
 from ..operators.joins import box_join, dwithin_join, nearest_join
+from ..session import written
 from . import tables as t
 
 FLAGSHIP = "nearest_supplier"
@@ -38,18 +40,15 @@ def _sql(name: str, text: str, oracle: str | None = None) -> None:
 
 # --- joins ------------------------------------------------------------------------------
 
-RANGE = 1_500_000.0
-
-
 def nearest_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each customer the nearest supplier within RANGE."""
+    """For each customer the nearest supplier."""
     left = t.customer_pt(spark, sf_dir).select("c_custkey", "lon", "lat")
     right = t.supplier_pt(spark, sf_dir).select("s_suppkey", F.col("lon").alias("r_lon"), F.col("lat").alias("r_lat"))
-    return nearest_join(left, right, 1, "c_custkey", "s_suppkey", RANGE).select("c_custkey", "s_suppkey", F.round(F.col("metres") / 1000, 3).alias("km"))
+    return nearest_join(left, right, 1, "c_custkey", "s_suppkey").select("c_custkey", "s_suppkey", F.round(F.col("metres") / 1000, 3).alias("km"))
 
 
 _PAIRS = f"SELECT c.c_custkey, s.s_suppkey, {t.HAV.format(a='c', b='s')} AS metres FROM customer_pt c, supplier_pt s"
-_add(FLAGSHIP, nearest_supplier, f"SELECT c_custkey, s_suppkey, round(metres / 1000, 3) AS km FROM ({_PAIRS}) WHERE metres <= {RANGE} QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY metres, s_suppkey) = 1")
+_add(FLAGSHIP, nearest_supplier, f"SELECT c_custkey, s_suppkey, round(metres / 1000, 3) AS km FROM ({_PAIRS}) QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY metres, s_suppkey) = 1")
 
 
 def dwithin_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,17 +62,15 @@ _add("dwithin_join", dwithin_count, f"SELECT s_suppkey, count(*) AS n, round(max
 
 
 def events_in_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events inside of each nation's box: a grid join, then ``st_contains``."""
-    register(spark, "st_makepoint", "st_makeline_list", "st_makepolygon", "st_contains")
-    boxes = t.nation_box(spark, sf_dir)
+    """The events inside of each nation's box: a grid join, then ``st_contains``. The polygons are made before the join."""
+    register(spark, "st_makepoint", "st_makebox", "st_contains")
+    boxes = written(t.nation_box(spark, sf_dir).withColumn("g", F.expr(_BOX)), "boxes")
     events = t.event_pt(spark, sf_dir).select("event_id", *(F.col(c).alias(n) for n, c in (("r_xmin", "lon"), ("r_ymin", "lat"), ("r_xmax", "lon"), ("r_ymax", "lat"))))
     met = box_join(boxes, events, 4.0)
-    inside = F.expr(f"st_contains({_BOX}, st_makepoint(r_xmin, r_ymin))")
-    return met.where(inside).groupBy("n_nationkey").agg(F.count("*").alias("n"), F.sum("event_id").alias("total"))
+    return met.where(F.expr("st_contains(g, st_makepoint(r_xmin, r_ymin))")).groupBy("n_nationkey").agg(F.count("*").alias("n"), F.sum("event_id").alias("total"))
 
 
-_CORNERS = "array(st_makepoint(xmin, ymin), st_makepoint(xmin, ymax), st_makepoint(xmax, ymax), st_makepoint(xmax, ymin), st_makepoint(xmin, ymin))"
-_BOX = f"st_makepolygon(st_makeline_list({_CORNERS}))"
+_BOX = "st_makebox(xmin, ymin, xmax, ymax)"
 _add("contains_join", events_in_boxes, "SELECT n_nationkey, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total FROM event_pt, nation_box WHERE lon > xmin AND lon < xmax AND lat > ymin AND lat < ymax GROUP BY n_nationkey")
 
 
@@ -105,7 +102,7 @@ _sql("astext", "SELECT c_custkey, st_astext(st_makepoint(round(lon, 2), round(la
 _sql("asgeojson", "SELECT c_custkey, st_asgeojson(st_makepoint(round(lon, 2), round(lat, 2))) AS json FROM {customer_pt}", f"SELECT c_custkey, '{{\"type\":\"Point\",\"coordinates\":[' || {_XY.format(',')} || ']}}' AS json FROM customer_pt")
 _sql("fromtext", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_geogfromtext(concat('SRID=4326;POINT (', lon, '  ', lat, ')')) AS g FROM {customer_pt})", "SELECT c_custkey, lon AS x, lat AS y FROM customer_pt")
 _sql("fromgeojson", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_geogfromgeojson(concat('{{\"type\":\"Point\",\"coordinates\":[', lon, ',', lat, ']}}')) AS g FROM {customer_pt})".replace("{{", "{{").replace("}}", "}}"), "SELECT c_custkey, lon AS x, lat AS y FROM customer_pt")
-_sql("wkb", "SELECT s_suppkey, hex(st_asewkb(st_geogfromwkb(unhex(concat('0101000000', IF(s_suppkey % 2 = 1, '000000000000F03F', '0000000000000000'), '0000000000000000'))))) AS ewkb, hex(st_aswkb(st_makepoint(s_suppkey % 2, 0))) AS wkb FROM {supplier_pt}", "SELECT s_suppkey, '0101000020E6100000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS ewkb, '0101000000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS wkb FROM supplier_pt")
+_sql("wkb", "SELECT s_suppkey, hex(st_asewkb(st_geogfrombinary(unhex(concat('0101000000', IF(s_suppkey % 2 = 1, '000000000000F03F', '0000000000000000'), '0000000000000000'))))) AS ewkb, hex(st_aswkb(st_makepoint(s_suppkey % 2, 0))) AS wkb FROM {supplier_pt}", "SELECT s_suppkey, '0101000020E6100000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS ewkb, '0101000000' || CASE WHEN s_suppkey % 2 = 1 THEN '000000000000F03F' ELSE '0000000000000000' END || '0000000000000000' AS wkb FROM supplier_pt")
 _BASE = "'0123456789bcdefghjkmnpqrstuvwxyz'"
 _BIT = "((CASE WHEN {b} % 2 = 0 THEN CAST(floor((lon + 180) / 360 * 8192) AS BIGINT) >> CAST(12 - {b} // 2 AS BIGINT) ELSE CAST(floor((lat + 90) / 180 * 4096) AS BIGINT) >> CAST(11 - {b} // 2 AS BIGINT) END) & 1)"
 _LETTERS = " || ".join("substr(" + _BASE + ", CAST(" + " + ".join(f"{16 >> i} * {_BIT.format(b=5 * k + i)}" for i in range(5)) + " AS BIGINT) + 1, 1)" for k in range(5))
@@ -132,36 +129,84 @@ _sql(
     f"SELECT o_custkey, e.parts[0].rings[0][0].x AS xmin, e.parts[0].rings[0][0].y AS ymin, st_npoints(e) AS n FROM (SELECT o_custkey, st_boundingbox(g) AS e FROM ({_PATH}))",
     ", s AS (SELECT o_custkey, min(lon) AS xmin, min(lat) AS ymin, max(lon) AS xmax, max(lat) AS ymax FROM order_pt GROUP BY o_custkey) SELECT o_custkey, xmin, ymin, CASE WHEN xmin = xmax AND ymin = ymax THEN 1 WHEN xmin = xmax OR ymin = ymax THEN 2 ELSE 5 END AS n FROM s",
 )
-_sql(
-    "extent",
-    "SELECT c_nationkey, e.parts[0].rings[0][0].x AS xmin, e.parts[0].rings[0][0].y AS ymin, e.parts[0].rings[0][2].x AS xmax, e.parts[0].rings[0][2].y AS ymax FROM (SELECT c_nationkey, st_extent(collect_list(g)) AS e FROM (SELECT c_nationkey, st_makepoint(lon, lat) AS g FROM {customer_pt}) GROUP BY c_nationkey)",
-    "SELECT c_nationkey, min(lon) AS xmin, min(lat) AS ymin, max(lon) AS xmax, max(lat) AS ymax FROM customer_pt GROUP BY c_nationkey",
-)
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.customer_pt(spark, sf_dir).select("c_nationkey", call("st_makepoint", F.col("lon"), F.col("lat")).alias("g"))
+
+
+def extents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The box of each nation's customers."""
+    ring = F.col("e")["parts"][0]["rings"][0]
+    found = extent(_customers(spark, sf_dir), ["c_nationkey"], "g", "e")
+    return found.select("c_nationkey", *(ring[k][c].alias(n) for n, k, c in (("xmin", 0, "x"), ("ymin", 0, "y"), ("xmax", 2, "x"), ("ymax", 2, "y"))))
+
+
+def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The centroid of the places of each nation's customers."""
+    found = centroid(_customers(spark, sf_dir), ["c_nationkey"], "g", "p")
+    return found.select("c_nationkey", *(F.round(call(f"st_{c}", F.col("p")), 6).alias(c) for c in "xy"))
+
+
+_add("extent", extents, "SELECT c_nationkey, min(lon) AS xmin, min(lat) AS ymin, max(lon) AS xmax, max(lat) AS ymax FROM customer_pt GROUP BY c_nationkey")
 _MEAN = [f"sum({v})" for v in ("cos(radians(lat)) * cos(radians(lon))", "cos(radians(lat)) * sin(radians(lon))", "sin(radians(lat))")]
-_sql(
-    "centroid",
-    "SELECT c_nationkey, round(st_x(p), 6) AS x, round(st_y(p), 6) AS y FROM (SELECT c_nationkey, st_centroid(st_union_list(collect_list(g))) AS p FROM (SELECT DISTINCT c_nationkey, lon, lat, st_makepoint(lon, lat) AS g FROM {customer_pt}) GROUP BY c_nationkey)",
-    f"SELECT c_nationkey, round(degrees(atan2({_MEAN[1]}, {_MEAN[0]})), 6) AS x, round(degrees(atan2({_MEAN[2]}, sqrt(pow({_MEAN[0]}, 2) + pow({_MEAN[1]}, 2)))), 6) AS y FROM (SELECT DISTINCT c_nationkey, lon, lat FROM customer_pt) GROUP BY c_nationkey",
-)
+_add("centroid", centroids, f"SELECT c_nationkey, round(degrees(atan2({_MEAN[1]}, {_MEAN[0]})), 6) AS x, round(degrees(atan2({_MEAN[2]}, sqrt(pow({_MEAN[0]}, 2) + pow({_MEAN[1]}, 2)))), 6) AS y FROM (SELECT DISTINCT c_nationkey, lon, lat FROM customer_pt) GROUP BY c_nationkey")
 
 # --- measures of pairs ------------------------------------------------------------------
 
-_FROM = "SELECT a.n_nationkey AS a, b.n_nationkey AS b, {0} FROM (SELECT n_nationkey, " + _BOX + " AS g, st_makepoint(xmin, ymin) AS p FROM {{nation_box}}) a JOIN (SELECT n_nationkey, " + _BOX + " AS g, st_makepoint(xmin, ymin) AS p FROM {{nation_box}}) b ON a.n_nationkey <= b.n_nationkey"
-_FROM_SQL = "SELECT a.n_nationkey AS a, b.n_nationkey AS b, {0} FROM nation_box a JOIN nation_box b ON a.n_nationkey <= b.n_nationkey"
-_PLACE = "(SELECT n_nationkey, xmin AS lon, ymin AS lat, * EXCLUDE (n_nationkey) FROM nation_box)"
-_sql("distance", _FROM.format("round(st_distance(a.p, b.p), 3) AS metres").replace("{{", "{").replace("}}", "}"), f"SELECT a.n_nationkey AS a, b.n_nationkey AS b, round({t.HAV.format(a='a', b='b')}, 3) AS metres FROM {_PLACE} a JOIN {_PLACE} b ON a.n_nationkey <= b.n_nationkey")
-_sql("dwithin", _FROM.format("st_dwithin(a.p, b.p, 3000000) AS near").replace("{{", "{").replace("}}", "}"), f"SELECT a.n_nationkey AS a, b.n_nationkey AS b, {t.HAV.format(a='a', b='b')} <= 3000000 AS near FROM {_PLACE} a JOIN {_PLACE} b ON a.n_nationkey <= b.n_nationkey")
-_sql("spheroid_measures", "SELECT s_suppkey, round(st_distance(st_makepoint(lon, lat), st_makepoint(0, 0), true), 4) AS metres, round(st_maxdistance(st_makepoint(lon, lat), st_makepoint(0, 0)), 4) AS most, round(st_azimuth(st_makepoint(lon, lat), st_makepoint(0, 0)), 9) AS bearing FROM {supplier_pt}")
+#: Every customer's place or box with its nation's.
+_AT = "SELECT c_custkey, {0} FROM {{customer_pt}} JOIN (SELECT n_nationkey, xmin, ymin FROM {{nation_box}}) ON c_nationkey = n_nationkey"
+_AT_SQL = "SELECT c_custkey, {0} FROM customer_pt b JOIN (SELECT n_nationkey, xmin AS lon, ymin AS lat FROM nation_box) a ON c_nationkey = n_nationkey"
+_sql("distance", _AT.format("round(st_distance(st_makepoint(lon, lat), st_makepoint(xmin, ymin)), 3) AS metres"), _AT_SQL.format(f"round({t.HAV.format(a='b', b='a')}, 3) AS metres"))
+_sql("dwithin", _AT.format("st_dwithin(st_makepoint(lon, lat), st_makepoint(xmin, ymin), 3000000) AS near"), _AT_SQL.format(f"{t.HAV.format(a='b', b='a')} <= 3000000 AS near"))
+
+#: The inverse solution on the spheroid to the place (0, 0), in plain SQL: 40 steps for the difference in longitude, then the series.
+_F = "(1 / 298.257223563)"
+_SS, _CS = "sqrt(pow(sin({l}), 2) + pow(su * cos({l}), 2))", "(cu * cos({l}))"
+_SA = f"(cu * sin({{l}}) / {_SS})"
+_C = f"({_F} / 16 * (1 - pow({_SA}, 2)) * (4 + {_F} * (4 - 3 * (1 - pow({_SA}, 2)))))"
+_STEP = f"l0 + (1 - {_C}) * {_F} * {_SA} * (atan2({_SS}, {_CS}) + {_C} * {_SS} * ({_CS} + {_C} * {_CS} * (2 * pow({_CS}, 2) - 1)))".replace("{l}", "lam")
+_U2 = f"((1 - sa * sa) * (1 / pow(1 - {_F}, 2) - 1))"
+_sql(
+    "spheroid_measures",
+    "SELECT s_suppkey, round(st_distance(st_makepoint(lon, lat), st_makepoint(0, 0), true), 4) AS metres, round(st_maxdistance(st_makepoint(lon, lat), st_makepoint(0, 0)), 4) AS most, round(st_azimuth(st_makepoint(lon, lat), st_makepoint(0, 0)), 9) AS bearing FROM {supplier_pt}",
+    f""", u AS (SELECT s_suppkey, radians(-lon) AS l0, sin(atan((1 - {_F}) * tan(radians(lat)))) AS su, cos(atan((1 - {_F}) * tan(radians(lat)))) AS cu FROM supplier_pt),
+steps AS (SELECT *, list_reduce(list_prepend(l0, list_transform(range(40), lambda i: CAST(i AS DOUBLE))), lambda lam, i: {_STEP}) AS lam FROM u),
+ends AS (SELECT *, {_SS.replace("{l}", "lam")} AS ss, {_CS.replace("{l}", "lam")} AS cs, {_SA.replace("{l}", "lam")} AS sa, atan2(sin(lam), -su * cos(lam)) AS az FROM steps),
+series AS (SELECT *, 1 + {_U2} / 16384 * (4096 + {_U2} * (-768 + {_U2} * (320 - 175 * {_U2}))) AS big, {_U2} / 1024 * (256 + {_U2} * (-128 + {_U2} * (74 - 47 * {_U2}))) AS small FROM ends),
+far AS (SELECT s_suppkey, az, round(6378137 * (1 - {_F}) * big * (atan2(ss, cs) - small * ss * (cs + small / 4 * (cs * (2 * cs * cs - 1) - small / 6 * cs * (4 * ss * ss - 3) * (4 * cs * cs - 3)))), 4) AS metres FROM series)
+SELECT s_suppkey, metres, metres AS most, round(CASE WHEN az > 0 THEN az WHEN az = 0 THEN pi() ELSE 2 * pi() + az END, 9) AS bearing FROM far""",
+)
 _ANGLE = "atan2(0 - lon, 0 - lat)"
-_sql("angle", "SELECT c_custkey, round(st_angle(st_makepoint(lon, lat), st_makepoint(0, 0), st_makepoint(lon, lat), st_makepoint(lon, 85)), 9) AS angle FROM {customer_pt} WHERE lon <> 0 OR lat <> 0", f"SELECT c_custkey, round(CASE WHEN d < 0 THEN d + 2 * pi() ELSE d END, 9) AS angle FROM (SELECT c_custkey, atan2(0, 85 - lat) - {_ANGLE} AS d FROM customer_pt WHERE lon <> 0 OR lat <> 0)")
+_sql("angle", "SELECT c_custkey, round(st_angle(st_makepoint(lon, lat), st_makepoint(0, 0), st_makepoint(lon, lat), st_makepoint(lon, 85)), 9) AS angle FROM {customer_pt}", f"SELECT c_custkey, round(CASE WHEN lon = 0 AND lat = 0 THEN 0 WHEN d < 0 THEN d + 2 * pi() ELSE d END, 9) AS angle FROM (SELECT c_custkey, lon, lat, atan2(0, 85 - lat) - {_ANGLE} AS d FROM customer_pt)")
+
+
+def _box_area(x0: str, y0: str, x1: str, y1: str) -> str:
+    """Square metres of a box on the sphere, its sides great circles, in plain SQL: two triangles."""
+    u = lambda x, y: (f"cos(radians({y})) * cos(radians({x}))", f"cos(radians({y})) * sin(radians({x}))", f"sin(radians({y}))")
+    dot = lambda p, q: "(" + " + ".join(f"({i}) * ({j})" for i, j in zip(p, q, strict=True)) + ")"
+
+    def triangle(p: tuple, q: tuple, r: tuple) -> str:
+        cross = tuple(f"({q[i]}) * ({r[j]}) - ({q[j]}) * ({r[i]})" for i, j in ((1, 2), (2, 0), (0, 1)))
+        return f"2 * atan2({dot(p, cross)}, 1 + {dot(p, q)} + {dot(q, r)} + {dot(r, p)})"
+
+    a, b, c, d = u(x0, y0), u(x0, y1), u(x1, y1), u(x1, y0)
+    return f"(abs({triangle(a, b, c)} + {triangle(a, c, d)}) * pow(6371008.771415059, 2))"
+
+
+_side = lambda x0, y0, x1, y1: t.HAV.replace("{a}.lon", x0).replace("{a}.lat", y0).replace("{b}.lon", x1).replace("{b}.lat", y1)
+_AROUND = " + ".join(_side(*e) for e in (("xmin", "ymin", "xmin", "ymax"), ("xmin", "ymax", "xmax", "ymax"), ("xmax", "ymax", "xmax", "ymin"), ("xmax", "ymin", "xmin", "ymin")))
 _sql(
     "box_measures",
-    "SELECT n_nationkey, round(st_perimeter(g), 3) AS around, round(st_area(g) / 1e6, 3) AS km2, st_npoints(st_boundary(g)) AS n, st_isring(st_boundary(g)) AS ring FROM (SELECT n_nationkey, " + _BOX + " AS g FROM {nation_box})",
+    "SELECT c_custkey, round(st_perimeter(g), 3) AS around, round(st_area(g) / 1e6, 3) AS km2, st_npoints(st_boundary(g)) AS n, st_isring(st_boundary(g)) AS ring FROM (SELECT c_custkey, " + _BOX + " AS g FROM {customer_box})",
+    f"SELECT c_custkey, round({_AROUND}, 3) AS around, round({_box_area('xmin', 'ymin', 'xmax', 'ymax')} / 1e6, 3) AS km2, 5 AS n, true AS ring FROM customer_box",
 )
 _sql("snaptogrid", "SELECT c_custkey, st_x(g) AS x, st_y(g) AS y FROM (SELECT c_custkey, st_snaptogrid(st_makepoint(lon, lat), 0.25) AS g FROM {customer_pt})", "SELECT c_custkey, round_even(lon / 0.25, 0) * 0.25 AS x, round_even(lat / 0.25, 0) * 0.25 AS y FROM customer_pt")
 
 # --- predicates on boxes ----------------------------------------------------------------
 
+_BOTH = "SELECT c_custkey, {0} FROM (SELECT c_custkey, c_nationkey, " + _BOX + " AS a FROM {{customer_box}}) JOIN (SELECT n_nationkey, " + _BOX + " AS b FROM {{nation_box}}) ON c_nationkey = n_nationkey"
+_BOTH_SQL = "SELECT c_custkey, {0} FROM customer_box a JOIN nation_box b ON c_nationkey = n_nationkey"
 _MEET = "a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax"
 _INNER = "a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax"
 _HOLDS = "a.xmin <= b.xmin AND a.xmax >= b.xmax AND a.ymin <= b.ymin AND a.ymax >= b.ymax"
@@ -176,17 +221,27 @@ for _name, _truth in (
     ("touches", f"{_MEET} AND NOT ({_INNER})"),
     ("equals", f"{_HOLDS} AND {_HELD}"),
 ):
-    _sql(_name, _FROM.format(f"st_{_name}(a.g, b.g) AS holds").replace("{{", "{").replace("}}", "}"), _FROM_SQL.format(f"({_truth}) AS holds"))
+    _sql(_name, _BOTH.format(f"st_{_name}(a, b) AS holds"), _BOTH_SQL.format(f"({_truth}) AS holds"))
+_SHARED = _box_area("greatest(a.xmin, b.xmin)", "greatest(a.ymin, b.ymin)", "least(a.xmax, b.xmax)", "least(a.ymax, b.ymax)")
+_sql("intersection", _BOTH.format("round(st_area(st_intersection(a, b)) / 1e6, 3) AS km2"), _BOTH_SQL.format(f"round(CASE WHEN {_INNER} THEN {_SHARED} ELSE 0 END / 1e6, 3) AS km2"))
 _sql(
-    "intersection",
-    _FROM.format("round(st_area(st_intersection(a.g, b.g)) / 1e6, 3) AS km2, st_npoints(st_intersection(a.g, b.g)) AS n").replace("{{", "{").replace("}}", "}"),
+    "closestpoint",
+    "SELECT c_custkey, n_nationkey, round(st_x(p), 6) AS x, round(st_y(p), 6) AS y FROM (SELECT c_custkey, n_nationkey, st_closestpoint(" + _BOX + ", st_makepoint(lon, lat)) AS p FROM {customer_pt} JOIN {nation_box} ON c_nationkey = n_nationkey)",
+    "SELECT c_custkey, n_nationkey, round(least(xmax, greatest(xmin, lon)), 6) AS x, round(least(ymax, greatest(ymin, lat)), 6) AS y FROM customer_pt JOIN nation_box ON c_nationkey = n_nationkey",
 )
+#: Corners of a hull are as many as its sides: pairs of places that have all others on one side, or between them. Places are whole
+#: degrees here, as hundredths have no exact doubles and three on one line would be up to rounding.
+_WHOLE = _PATH.replace("{order_pt}", "(SELECT o_custkey, o_orderdate, o_orderkey, floor(lon) AS lon, floor(lat) AS lat FROM {order_pt})")
+_CROSS = "(q.x - p.x) * (r.y - p.y) - (q.y - p.y) * (r.x - p.x)"
 _sql(
-    "closestpoint",
-    "SELECT c_custkey, n_nationkey, round(st_x(p), 6) AS x, round(st_y(p), 6) AS y FROM (SELECT c_custkey, n_nationkey, st_closestpoint(" + _BOX + ", st_makepoint(lon, lat)) AS p FROM {customer_pt} JOIN {nation_box} ON c_nationkey = n_nationkey WHERE lon NOT BETWEEN xmin AND xmax)",
-    "SELECT c_custkey, n_nationkey, round(least(xmax, greatest(xmin, lon)), 6) AS x, round(least(ymax, greatest(ymin, lat)), 6) AS y FROM customer_pt JOIN nation_box ON c_nationkey = n_nationkey WHERE lon NOT BETWEEN xmin AND xmax",
+    "convexhull",
+    f"SELECT o_custkey, st_npoints(st_convexhull(g)) AS n, st_geometrytype(st_convexhull(g)) AS kind FROM ({_WHOLE})",
+    f""", place AS (SELECT DISTINCT o_custkey, CAST(floor(lon) AS BIGINT) AS x, CAST(floor(lat) AS BIGINT) AS y FROM order_pt),
+side AS (SELECT p.o_custkey FROM place p JOIN place q ON p.o_custkey = q.o_custkey AND (p.x <> q.x OR p.y <> q.y) JOIN place r ON p.o_custkey = r.o_custkey GROUP BY p.o_custkey, p.x, p.y, q.x, q.y
+  HAVING bool_and({_CROSS} < 0 OR ({_CROSS} = 0 AND (r.x - p.x) * (r.x - q.x) + (r.y - p.y) * (r.y - q.y) <= 0))),
+corners AS (SELECT o_custkey, count(*) AS n FROM side GROUP BY o_custkey)
+SELECT o_custkey, CAST(CASE WHEN n IS NULL THEN 1 WHEN n = 2 THEN 2 ELSE n + 1 END AS INTEGER) AS n, CASE WHEN n IS NULL THEN 'ST_Point' WHEN n = 2 THEN 'ST_LineString' ELSE 'ST_Polygon' END AS kind FROM (SELECT DISTINCT o_custkey FROM place) LEFT JOIN corners USING (o_custkey)""",
 )
-_sql("convexhull", f"SELECT o_custkey, st_npoints(st_convexhull(g)) AS n, st_geometrytype(st_convexhull(g)) AS kind FROM ({_PATH})")
 _sql("simplify", f"SELECT o_custkey, st_npoints(st_simplify(g, 5.0)) AS n, st_numpoints(g) AS before FROM ({_PATH})")
 _sql(
     "buffer",

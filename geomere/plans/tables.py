@@ -9,6 +9,14 @@ LON = "(({k} * 37) % 36000) / 100.0D - 180"
 LAT = "(({k} * 91) % 16000) / 100.0D - 80"
 _BOX = {"xmin": "(n_nationkey * 37) % 300 - 150", "ymin": "(n_nationkey * 29) % 120 - 60", "xmax": "(n_nationkey * 37) % 300 - 145 + n_nationkey % 7", "ymax": "(n_nationkey * 29) % 120 - 56 + n_nationkey % 5"}
 
+#: Boxes of customers, around that of their nation: the same, smaller, beside it, across its border, apart, larger; some of them higher.
+_W, _H = "(5 + c_nationkey % 7)", "(4 + c_nationkey % 5)"
+_X0, _Y0 = "((c_nationkey * 37) % 300 - 150)", "((c_nationkey * 29) % 120 - 60)"
+_DX = f"(CASE c_custkey % 6 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN {_W} WHEN 3 THEN 2 WHEN 4 THEN {_W} + 1 ELSE -1 END)"
+_GROW = "(CASE c_custkey % 6 WHEN 1 THEN -2 WHEN 5 THEN 2 ELSE 0 END)"
+_DY = f"(CASE c_custkey % 6 WHEN 1 THEN 1 WHEN 5 THEN -1 ELSE CASE c_custkey % 4 WHEN 1 THEN 1 WHEN 3 THEN {_H} ELSE 0 END END)"
+_CUSTOMER_BOX = {"xmin": f"{_X0} + {_DX}", "ymin": f"{_Y0} + {_DY}", "xmax": f"{_X0} + {_DX} + {_W} + {_GROW}", "ymax": f"{_Y0} + {_DY} + {_H} + {_GROW}"}
+
 #: The same tables as common table expressions of plain SQL.
 CTES = "WITH " + ", ".join(
     [
@@ -17,6 +25,7 @@ CTES = "WITH " + ", ".join(
             for name, table, key in (("customer_pt", "customer", "c_custkey"), ("supplier_pt", "supplier", "s_suppkey"), ("event_pt", "events", "event_id"), ("order_pt", "orders", "o_orderkey"))
         ),
         "nation_box AS (SELECT n_nationkey, " + ", ".join(f"CAST({v} AS DOUBLE) AS {k}" for k, v in _BOX.items()) + " FROM nation)",
+        "customer_box AS (SELECT c_custkey, c_nationkey, " + ", ".join(f"CAST({v} AS DOUBLE) AS {k}" for k, v in _CUSTOMER_BOX.items()) + " FROM customer)",
     ]
 )
 #: Distance on the sphere in plain SQL, of places a and b.
@@ -47,3 +56,8 @@ def order_pt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nation_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     return nation.select("n_nationkey", *(F.expr(v).cast("double").alias(k) for k, v in _BOX.items()))
+
+
+def customer_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return customer.select("c_custkey", "c_nationkey", *(F.expr(v).cast("double").alias(k) for k, v in _CUSTOMER_BOX.items()))

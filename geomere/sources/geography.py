@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import call, geography, register
+from ..functions import call, geography
 
 
 def read_text(spark: SparkSession, path: str, column: str, form: str = "csv", **options) -> DataFrame:
     """A CSV or JSON table whose ``column`` is text (WKT, GeoJSON or hex WKB), read as a geography."""
-    register(spark, "st_geogfromtext", "st_geogfromgeojson", "st_geogfromwkb")
     df = spark.read.options(**options).format(form).load(path)
     return df.withColumn(column, geography(F.col(column)))
 

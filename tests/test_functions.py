@@ -59,6 +59,33 @@ def test_binary(value, spark):
     assert [r.t for r in stored.select(G.call("st_astext", G.call("st_geogfromwkb", F.col("b"))).alias("t")).collect()] == ["POINT(42 42)", None, ""]
 
 
+@pytest.mark.parametrize("wkt", ["POINT(1.1 -2.5)", "POINT Z (1 2 3)", "LINESTRING(0 0,0.1 10,1e-12 0)", HOLED, "MULTIPOINT(1 2,3 4)", "MULTILINESTRING((0 0,1 1),(2 2,3 3,4 3))", "MULTIPOLYGON(((0 0,0 1,1 1,0 0)),((5 5,5 6,6 6,5 5),(5.1 5.2,5.1 5.3,5.2 5.3,5.1 5.2)))", "GEOMETRYCOLLECTION(POINT(1 2),LINESTRING(0 0,1 1),POLYGON((0 0,0 1,1 1,0 0)))", "POINT EMPTY", "LINESTRING EMPTY", "MULTIPOLYGON EMPTY"])
+def test_binary_is_read_as_it_is_written(value, spark, wkt):
+    df = spark.range(1).select(G.geography(wkt).alias("g"))
+    df = df.select("g", G.call("st_asewkb", F.col("g")).alias("e"), G.call("st_asbinary", F.col("g")).alias("n"), G.call("st_asbinary", F.col("g"), F.lit("XDR")).alias("x"))
+    text = lambda b: G.call("st_astext", G.call("st_geogfromwkb", b))
+    r = df.select(text(F.col("e")).alias("e"), text(F.col("n")).alias("n"), text(F.col("x")).alias("x"), G.call("st_astext", G.call("st_geogfrom", F.hex("e"))).alias("h"), G.call("st_astext", F.col("g")).alias("g")).first()
+    assert r.e == r.n == r.x == r.h == r.g
+
+
+@pytest.mark.parametrize("bad", [struct.pack("<BIdd", 1, 1, 500.0, 300.0), struct.pack("<BIdd", 1, 1, 1.0, 3.0)[:-1], b"\x01\x09\x00\x00\x00", struct.pack("<BII", 1, 2, 4_000_000_000), struct.pack("<BIII8d", 1, 3, 1, 4, 0, 0, 0, 1, 1, 1, 2, 2), b"\x07abcdefgh"])
+def test_bad_binary_raises(value, spark, bad):
+    with pytest.raises(Exception):  # noqa: B017
+        spark.createDataFrame([(bad,)], "b binary").select(G.call("st_geogfromwkb", F.col("b"))).collect()
+
+
+def test_a_column_of_mixed_forms(spark):
+    given = ["POINT(1 1)", '{"type":"Point","coordinates":[2,3]}', "0101000020E6100000000000000000F03F000000000000F03F", "0101000000000000000000f03f000000000000f03f", "", None, "SRID=4326;LINESTRING(0 0,1 1)"]
+    G.register(spark, "st_geogfrom", "st_astext")
+    df = spark.createDataFrame(list(enumerate(given)), "i int, t string")
+    assert [r.w for r in df.orderBy("i").selectExpr("st_astext(st_geogfrom(t)) AS w").collect()] == ["POINT(1 1)", "POINT(2 3)", "POINT(1 1)", "POINT(1 1)", "", None, "LINESTRING(0 0,1 1)"]
+
+
+def test_a_concave_subject_is_not_cut_wrongly(value):
+    with pytest.raises(Exception):  # noqa: B017
+        value("st_intersection", "POLYGON((0 0,0 10,2 10,2 2,8 2,8 10,10 10,10 0,0 0))", "POLYGON((-1 5,-1 6,11 6,11 5,-1 5))")
+
+
 def test_geojson_and_geohash(value):
     assert value("st_asgeojson", '{"type":"MultiPolygon","coordinates":[[[[0,0],[0,1],[1,1],[0,0]]]]}') == '{"type":"MultiPolygon","coordinates":[[[[0,0],[0,1],[1,1],[0,0]]]]}'
     assert value("st_geohash", "POINT(5.04 10.94)") == "s1gw4xw40eb3ur11nctj"

@@ -4,6 +4,7 @@ import math
 import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from geomere.functions import call
@@ -110,3 +111,39 @@ def test_dbscan_is_brute_force(spark):
         df = spark.createDataFrame(rows, "id long, lon double, lat double")
         for eps, least in ((0.7, 4), (1.2, 3), (0.0, 2), (1.0, 0)):
             assert {x.id: x.cluster for x in dbscan(df, eps * 6371008.8, least).collect()} == _dbscan(rows, eps, least), (eps, least)
+
+
+def test_nearest_join_is_whole(spark):
+    from geomere.operators.joins import nearest_join
+
+    r = random.Random(4)
+    place = lambda: (r.choice([r.uniform(-180, 180), r.gauss(10, 0.1), 180.0]), r.choice([r.uniform(-90, 90), r.gauss(50, 0.1), -90.0]))
+    left, right = [(i, *place()) for i in range(120)], [(i, *place()) for i in range(90)]
+    left_df = spark.createDataFrame([*left, (500, None, 1.0)], "a int, lon double, lat double")
+    for k, others in ((1, right), (5, right), (3, right[:2])):
+        found = {(x.a, x["rank"]): x.metres for x in nearest_join(left_df, spark.createDataFrame(others, "b int, r_lon double, r_lat double"), k, "a", "b").collect()}
+        want = {(i, n + 1): d for i, *p in left for n, d in enumerate(sorted(_metres(p, q) for _, *q in others)[:k])}
+        assert found == pytest.approx(want, abs=1e-4)
+
+
+def test_box_join_of_large_and_small_boxes(spark):
+    r = random.Random(6)
+    boxes = [(i, x := r.uniform(-170, 0), y := r.uniform(-80, 0), x + (w := r.choice([0, 0.01, 3, 170])), y + min(80, w)) for i in range(90)]
+    a = spark.createDataFrame(boxes, "a int, xmin double, ymin double, xmax double, ymax double")
+    b = spark.createDataFrame(boxes, "b int, r_xmin double, r_ymin double, r_xmax double, r_ymax double")
+    found = sorted((x.a, x.b) for x in box_join(a, b, 0.5).select("a", "b").collect())
+    assert found == sorted((p[0], q[0]) for p in boxes for q in boxes if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
+
+
+def test_aggregates_of_groups(spark):
+    from geomere.functions import geography
+    from geomere.operators.aggregates import centroid, extent
+
+    rows = [(1, "POINT(1 2)"), (1, "POINT(3 -4)"), (1, "POINT(3 -4)"), (2, "POINT(5 5)"), (3, None)]
+    df = spark.createDataFrame(rows, "k int, t string").select("k", geography(F.col("t")).alias("g"))
+    text = lambda d, c: {r.k: r.t for r in d.select("k", call("st_astext", F.col(c)).alias("t")).collect()}
+    assert text(extent(df, ["k"], "g"), "extent") == {1: "POLYGON((1 -4,1 2,3 2,3 -4,1 -4))", 2: "POINT(5 5)", 3: None}
+    near = {r.k: (round(r.x, 2), round(r.y, 2)) for r in centroid(df, ["k"], "g").selectExpr("k", "centroid.parts[0].rings[0][0].x AS x", "centroid.parts[0].rings[0][0].y AS y").collect()}
+    assert near == {1: (2.0, -1.0), 2: (5.0, 5.0)}
+    lines = spark.createDataFrame([(1, "LINESTRING(0 0,3 9)"), (1, "POINT(-1 2)")], "k int, t string").select("k", geography(F.col("t")).alias("g"))
+    assert text(extent(lines, ["k"], "g"), "extent") == {1: "POLYGON((-1 0,-1 9,3 9,3 0,-1 0))"}
