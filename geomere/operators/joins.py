@@ -90,7 +90,8 @@ def box_join(left: DataFrame, right: DataFrame, size: float, left_box: tuple[str
 
     Each box goes to the cells that it covers of the finest grid of which it covers at most four by four; grids double
     their cells from ``size`` on, so a box of any size has 16 copies at most. To meet boxes of coarser grids it
-    also goes to the coarser cells that it covers, one level after the other. Pairs meet on the coarser box's grid, in the cell
+    also goes to the coarser cells that it covers: the left side's, which should be the smaller one, to those of all grids, the
+    right side's to those of grids only that the left side has boxes of, so points of the right mostly go to one cell. Pairs meet on the coarser box's grid, in the cell
     that holds the lower left corner of what the boxes share, so each comes once.
     """
     top = max(0, math.ceil(math.log2(720 / size)))  # a cell that is wider than the globe
@@ -105,9 +106,11 @@ def box_join(left: DataFrame, right: DataFrame, size: float, left_box: tuple[str
         return df.withColumn("_cx", F.explode(F.sequence(at(box[0]), at(box[2])))).withColumn("_cy", F.explode(F.sequence(at(box[1]), at(box[3]))))
 
     a, b = [F.col(c) for c in left_box], [F.col(c) for c in right_box]
-    every = F.sequence(F.col("_own"), F.lit(top))
-    one = covered(gridded(left, left_box), left_box, every).withColumnRenamed("_own", "_own_a")
-    two = covered(gridded(right, right_box), right_box, every).withColumnRenamed("_own", "_own_b")
+    own, one, two = F.col("_own"), gridded(left, left_box), gridded(right, right_box)
+    used = range(top + 1) if left.isStreaming else sorted(r["_own"] for r in one.select("_own").where("_own IS NOT NULL").distinct().collect())  # top + 1 rows at most
+    one = covered(one, left_box, F.sequence(own, F.lit(top))).withColumnRenamed("_own", "_own_a")
+    coarser = F.filter(F.array(*map(F.lit, used)).cast("array<int>"), lambda g: g > own)
+    two = covered(two, right_box, F.concat(F.array(own), coarser)).withColumnRenamed("_own", "_own_b")
     pairs = one.join(two, ["_grid", "_cx", "_cy"]).where(F.col("_grid") == F.greatest("_own_a", "_own_b"))
     cell = size * F.pow(F.lit(2.0), F.col("_grid"))
     meet = (a[0] <= b[2]) & (b[0] <= a[2]) & (a[1] <= b[3]) & (b[1] <= a[3])
