@@ -35,3 +35,27 @@ def test_pipeline_keeps_columns_and_clean_documents(spark, data):
         if name == "pii":
             assert before == after
         docs = out
+
+
+def test_stages_take_odd_and_empty_tables(spark, data, docs, empty):
+    odd = docs.withColumn("n_chars", docs.n_chars.cast("long"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, data)
+        nothing = stage(spark, empty, data)
+        assert nothing.count() == 0
+        if name != "packing":
+            assert out.columns == nothing.columns == odd.columns, name
+            given, kept = ({(r.doc_id, r.text or "") for r in x.collect()} for x in (odd, out))
+            assert len(kept) <= len(given) and (name == "pii" or kept <= given)
+            assert (name != "toxicity" and name != "pii") or len(kept) == len(given)
+            assert name != "language" or all(any(c.isalpha() for c in t) for _, t in kept)
+        else:
+            assert {r.doc_id for r in out.collect()} == {r.doc_id for r in odd.collect()}
+
+
+def test_run_forgets_what_it_made_on_its_way(spark, data):
+    from geomere.session import tables
+
+    before = list(tables(spark))
+    out = corpus_pipeline.run(spark, data)
+    assert len(tables(spark)) == len(before) + 1 and out.count() > 0

@@ -379,3 +379,47 @@ def test_copies_and_frequent_languages_leave_room_for_rare_ones(spark, monkeypat
 def test_page_text_takes_no_markup():
     assert langid.page_text("a<b>c</b><script>x < y</script><style>p{}</style>d<br>").split() == ["a", "c", "d"]
     assert text(3) == "the. quick brown" or text(3)
+
+
+def _fused(model, rows):
+    """Language and confidence of (id, data, declared, host, suffix), by the sums over all other rows."""
+    width = len(model.languages) + 1
+    logs, own, letters = {}, {}, {}
+    for i, data, *_ in rows:
+        letters[i], logs[i] = model.likelihoods(data)
+        odds = np.exp(logs[i] - logs[i].max())
+        own[i] = odds / odds.sum() if letters[i] else np.zeros(width)
+    whole = sum(own.values()) + 1 / width
+    share = lambda at, i, value: sum((own[r[0]] for r in rows if r[at] == value), np.zeros(width)) - own[i]
+    out = {}
+    for i, _, declared, host, suffix in rows:
+        by_suffix = np.maximum(share(4, i, suffix) + langid.SMOOTH * whole / whole.sum(), 1e-9)
+        same = [r for r in rows if r[3] == host and r[4] == suffix]
+        by_host = np.maximum(sum((own[r[0]] for r in same), np.zeros(width)) - own[i], 0)
+        fused = logs[i] + np.log(by_host + langid.SMOOTH * by_suffix / by_suffix.sum())
+        if declared is not None:
+            fused = fused + np.log((np.maximum(share(2, i, declared), 0) + 0.5) / (whole + 1))
+        fused[-1] += np.log(langid.UNKNOWN)
+        post = np.exp(fused - fused.max())
+        best = int(fused.argmax())
+        out[i] = ([*model.languages, "und"][best], 1 / post.sum()) if letters[i] else ("und", 0.0)
+    return out
+
+
+def test_fused_languages_are_brute_force(spark):
+    r = random.Random(9)
+    tongues = {"xx": "rala mina tosi keva", "yy": "brok stult grend pfim", "zz": "oie uae iou eoa"}
+    phrase = lambda k, n: " ".join(r.choice(tongues[k].split()) + r.choice(tongues[k].split()) for _ in range(n))
+    train = spark.createDataFrame([(i, phrase(k, 30), k) for i in range(20) for k in tongues], "doc_id long, text string, lang string")
+    model = langid.fit(train)
+    rows = []
+    for i in range(150):
+        k = r.choice(list(tongues))
+        host = r.choice([None, "a", "b"]) if i % 4 else {"xx": "a", "yy": "b", "zz": None}[k]
+        rows.append((i, r.choice([phrase(k, r.randrange(1, 8)), "ra bro oie", "123", ""]), r.choice([None, k, "xx"]), host, r.choice(["com", k])))
+    rows += [(200, "rala brok", None, None, "com"), (201, "", "xx", "a", "com"), (202, phrase("xx", 3000), None, "a", "com")]
+    given = spark.createDataFrame(rows, "doc_id long, text string, declared string, host string, suffix string")
+    found = {x.doc_id: x for x in langid.identified(given, model, "doc_id", "text", F.col("declared"), F.col("host"), F.col("suffix")).collect()}
+    want = _fused(model, [(i, t.encode(), d, h, x) for i, t, d, h, x in rows])
+    assert {i: x.lang for i, x in found.items()} == {i: w[0] for i, w in want.items()}
+    assert {i: x.confidence for i, x in found.items()} == pytest.approx({i: w[1] for i, w in want.items()}, rel=1e-6)
