@@ -12,7 +12,7 @@ every count of declarations, suffixes and hosts covers all rows.
 
 Defined results: a null text counts as an empty one; a row without letters has lang 'und'
 and is rejected; a missing declaration, host or suffix is no evidence; ties go to the
-first language in alphabetical order; repeated rows repeat; a table without rows gives none;
+first language in alphabetical order; a long text is counted in slices of a megabyte; repeated rows repeat; a table without rows gives none;
 other columns are left alone.
 """
 

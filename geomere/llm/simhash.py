@@ -9,7 +9,7 @@ reduced to a spanning forest, which connects the same rows; components of the li
 give the classes.
 
 Defined results: a null text counts as an empty one; a text without words has
-fingerprint zero and is linked like any other; repeated rows repeat; a null
+fingerprint zero and is linked like any other; a long text is hashed in slices of a megabyte; repeated rows repeat; a null
 doc_id is never a component's id unless no other is there; a table without rows
 gives none; other columns are not read.
 """
