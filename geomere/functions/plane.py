@@ -15,7 +15,7 @@ def on_edge(p: str, e: str) -> str:
     return f"({cross(f'{e}.a', f'{e}.b', p)} = 0 AND {p}.x BETWEEN least({e}.a.x, {e}.b.x) AND greatest({e}.a.x, {e}.b.x) AND {p}.y BETWEEN least({e}.a.y, {e}.b.y) AND greatest({e}.a.y, {e}.b.y))"
 
 
-def _near_edge(p: str, e: str) -> str:
+def near_edge(p: str, e: str) -> str:
     """On an edge but for rounding: for places that were computed."""
     size = f"(abs({e}.b.x - {e}.a.x) + abs({e}.b.y - {e}.a.y))"
     return f"(abs({cross(f'{e}.a', f'{e}.b', p)}) <= 1e-12D * {size} * ({size} + 1) AND {p}.x BETWEEN least({e}.a.x, {e}.b.x) - 1e-12D AND greatest({e}.a.x, {e}.b.x) + 1e-12D AND {p}.y BETWEEN least({e}.a.y, {e}.b.y) - 1e-12D AND greatest({e}.a.y, {e}.b.y) + 1e-12D)"
@@ -23,7 +23,7 @@ def _near_edge(p: str, e: str) -> str:
 
 def where(p: str, g: str, exact: bool = True) -> str:
     """2 if a point is inside of a geography, 1 on its border, 0 outside. A computed place (not ``exact``) is on no point."""
-    on = on_edge if exact else _near_edge
+    on = on_edge if exact else near_edge
     ray = lambda e: f"(({e}.a.y > {p}.y) <> ({e}.b.y > {p}.y) AND {p}.x < ({e}.b.x - {e}.a.x) * ({p}.y - {e}.a.y) / ({e}.b.y - {e}.a.y) + {e}.a.x)"
 
     inside = lambda es: f"size({keep(es, ray)}) % 2 = 1"
@@ -49,7 +49,7 @@ def edges_meet(e: str, f: str) -> str:
     return let(sides, lambda s: f"(({s}.a * {s}.b < 0 AND {s}.c * {s}.d < 0) OR {touch})")
 
 
-def _cuts(e: str, g: str) -> str:
+def cuts(e: str, g: str) -> str:
     """Where along an edge (0 to 1) the edges and points of a geography meet it."""
 
     def by(f: str) -> str:
@@ -75,8 +75,8 @@ def pieces(a: str, b: str) -> str:
     """The edges of ``a``, cut where they meet ``b``: (p, q, w), w being where the middle lies in b."""
 
     def cut(e: str) -> str:
-        at = lambda t: f"named_struct('x', {e}.a.x + ({e}.b.x - {e}.a.x) * {t}, 'y', {e}.a.y + ({e}.b.y - {e}.a.y) * {t}, 'z', CAST(NULL AS DOUBLE), 'm', CAST(NULL AS DOUBLE))"
-        ts = f"array_sort(array_distinct(concat(array(0D, 1D), {_cuts(e, b)})))"
+        at = lambda t: f"named_struct('x', IF({t} = 1, {e}.b.x, {e}.a.x + ({e}.b.x - {e}.a.x) * {t}), 'y', IF({t} = 1, {e}.b.y, {e}.a.y + ({e}.b.y - {e}.a.y) * {t}), 'z', CAST(NULL AS DOUBLE), 'm', CAST(NULL AS DOUBLE))"
+        ts = f"array_sort(array_distinct(concat(array(0D, 1D), {cuts(e, b)})))"
 
         def spans(v: str) -> str:
             t, i = name(), name()
@@ -108,7 +108,7 @@ def intersects(a: str, b: str) -> str:
     return f"(NOT {empty(a)} AND NOT {empty(b)} AND {boxes_meet(a, b)} AND {met})"
 
 
-def _beside(s: str) -> str:
+def beside(s: str) -> str:
     """Two places beside the middle of a piece, one on either side."""
     place = lambda k: f"named_struct('x', ({s}.p.x + {s}.q.x) / 2 + {k} * ({s}.q.y - {s}.p.y), 'y', ({s}.p.y + {s}.q.y) / 2 - {k} * ({s}.q.x - {s}.p.x))"
     return f"array({place('1e-6D')}, {place('-1e-6D')})"
@@ -116,7 +116,7 @@ def _beside(s: str) -> str:
 
 def covers(a: str, b: str) -> str:
     """Whether no point of b is outside of a. Where an area's border runs along that of a, its inside has to be on the same side."""
-    along = lambda s: f"({s}.w = 2 OR NOT {some(_beside(s), lambda m: f'{where(m, b)} = 2 AND {where(m, a)} = 0')})"
+    along = lambda s: f"({s}.w = 2 OR NOT {some(beside(s), lambda m: f'{where(m, b)} = 2 AND {where(m, a)} = 0')})"
     all_in = f"({every(points(b), lambda p: f'{where(p, a)} > 0')} AND {every(pieces(b, a), lambda s: f'{s}.w > 0 AND {along(s)}')})"
     area = f"(NOT {solid(b)} OR ({solid(a)} AND NOT {some(pieces(a, b), lambda s: f'{s}.w = 2')}))"
     return f"(NOT {empty(a)} AND NOT {empty(b)} AND {boxes_meet(a, b)} AND {all_in} AND {area})"
@@ -134,7 +134,7 @@ def insides_meet(a: str, b: str) -> str:
         at_cut = f"(NOT {solid(a)} AND NOT {solid(b)} AND {some(ps, lambda s: some(f'array({s}.p, {s}.q)', both))})"
         # borders that run together have the insides on one side of them or on both: a place beside a piece tells
         both_at = lambda m: f"({where(m, a)} = 2 AND {where(m, b)} = 2)"
-        same = f"({solid(a)} AND {solid(b)} AND {some(ps, lambda s: f'{s}.w = 1 AND {some(_beside(s), both_at)}')})"
+        same = f"({solid(a)} AND {solid(b)} AND {some(ps, lambda s: f'{s}.w = 1 AND {some(beside(s), both_at)}')})"
         return f"({runs} OR {at_cut} OR {same})"
 
     met = let(pieces(a, b), lambda ps: let(pieces(b, a), lambda qs: by_pieces(ps, qs)))

@@ -81,11 +81,6 @@ def test_a_column_of_mixed_forms(spark):
     assert [r.w for r in df.orderBy("i").selectExpr("st_astext(st_geogfrom(t)) AS w").collect()] == ["POINT(1 1)", "POINT(2 3)", "POINT(1 1)", "POINT(1 1)", "", None, "LINESTRING(0 0,1 1)"]
 
 
-def test_a_concave_subject_is_not_cut_wrongly(value):
-    with pytest.raises(Exception):  # noqa: B017
-        value("st_intersection", "POLYGON((0 0,0 10,2 10,2 2,8 2,8 10,10 10,10 0,0 0))", "POLYGON((-1 5,-1 6,11 6,11 5,-1 5))")
-
-
 def test_geojson_and_geohash(value):
     assert value("st_asgeojson", '{"type":"MultiPolygon","coordinates":[[[[0,0],[0,1],[1,1],[0,0]]]]}') == '{"type":"MultiPolygon","coordinates":[[[[0,0],[0,1],[1,1],[0,0]]]]}'
     assert value("st_geohash", "POINT(5.04 10.94)") == "s1gw4xw40eb3ur11nctj"
