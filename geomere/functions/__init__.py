@@ -14,19 +14,19 @@ ALIASES = {"st_asbinary": "st_aswkb", "st_geogfromwkb": "st_geogfrombinary", "st
 
 #: Overlays nest deeper than Spark's analyser follows by default; a session that uses them is set to this many rounds.
 ROUNDS = 1000
-_DEEP = {"st_intersection", "st_difference", "st_union", "st_union_list"}
+_DEEP = {"st_intersection_any", "st_difference_any", "st_union_any"}
 
 
 def register(spark: SparkSession, *names: str) -> None:
-    """Make ``st_*`` functions known to a session: those named, or all. Spark analyses each one once.
+    """Make ``st_*`` functions known to a session: those named, or all but the overlays of any pair. Spark analyses each one once.
 
-    For overlays ``spark.sql.analyzer.maxIterations`` is raised in the session.
+    For overlays of any pair ``spark.sql.analyzer.maxIterations`` is raised in the session.
     """
     limit = "spark.sql.analyzer.maxIterations"
-    if _DEEP & set(names or FUNCTIONS) and int(spark.conf.get(limit, "100")) < ROUNDS:
+    if _DEEP & set(names) and int(spark.conf.get(limit, "100")) < ROUNDS:
         spark.conf.set(limit, ROUNDS)
     known = spark.__dict__.setdefault("_geomere_known", set())
-    for fn in names or FUNCTIONS:
+    for fn in names or [n for n in FUNCTIONS if n not in _DEEP]:
         if fn in known:
             continue
         args, returns, body = FUNCTIONS[fn]

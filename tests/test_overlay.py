@@ -48,7 +48,7 @@ KNOWN = [
 def _run(spark, op, pairs):
     G.register(spark, "st_geogfromtext")
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string").selectExpr("i", "st_geogfromtext(a) AS a", "st_geogfromtext(b) AS b")
-    return {r.i: r.r for r in df.select("i", G.call("st_astext", G.call(f"st_{op}", F.col("a"), F.col("b"))).alias("r")).collect()}
+    return {r.i: r.r for r in df.select("i", G.call("st_astext", G.call(f"st_{op}_any", F.col("a"), F.col("b"))).alias("r")).collect()}
 
 
 def _rings(wkt):
@@ -101,9 +101,3 @@ def test_overlays(spark, op):
         for _ in range(150):
             x, y = r.uniform(-8, 8), r.uniform(-8, 8)
             assert _inside(x, y, s) == TRUTH[op](_inside(x, y, p), _inside(x, y, q)), (op, a, b, found[i], x, y)
-
-
-def test_union_of_a_list(spark):
-    gs = F.array(*(G.geography(w) for w in ("POLYGON((0 0,0 1,1 1,1 0,0 0))", "POLYGON((1 0,1 1,2 1,2 0,1 0))", "LINESTRING(0 0,0 -1)")))
-    assert spark.range(1).select(G.call("st_astext", G.call("st_union_list", gs)).alias("r")).first().r == "GEOMETRYCOLLECTION(LINESTRING(0 0,0 -1),POLYGON((0 0,0 1,1 1,2 1,2 0,1 0,0 0)))"
-
