@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, knn, langid, packing, pii, simhash, tokens, toxicity
+from . import bpe, chat, fingerprint, knn, langid, merkle, packing, pii, quality, simhash, spelling, tokens, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -73,6 +73,21 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.turns(_table(spark, sf_dir, "conversations"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of all frequent words of the documents."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and roots of every document, checked against texts of which half are tampered with."""
+    return merkle.proved_digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, score and verdict of every document."""
+    return quality.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -91,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_token_counts": op9_token_counts,
     "op10_chat": op10_chat,
+    "op11_spelling": op11_spelling,
+    "op12_merkle": op12_merkle,
+    "op13_quality": op13_quality,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op10_chat": chat.TURNS_SQL}

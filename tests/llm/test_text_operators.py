@@ -322,11 +322,30 @@ def test_expectation_maximisation_finds_who_is_right():
     for t in truth:
         v = sum((r.random() < (h if t else a)) << k for k, (h, a) in enumerate(rates))
         counts[v] = counts.get(v, 0) + 1
-    prior, found, _ = pii.expectation_maximisation(counts)
+    prior, found, _ = pii.expectation_maximisation({v: (0, n) for v, n in counts.items()})
     assert prior == pytest.approx(0.6, abs=0.05)
     assert all(abs(h - fh) < 0.06 and abs(a - fa) < 0.06 for (h, a), (fh, fa) in zip(rates, found, strict=True))
 
 
+def test_base_spans_anchor_expectation_maximisation():
+    """With more false candidates than true ones, cases that are known keep the labelers from trading places."""
+    r = random.Random(10)
+    rates = [(0.95, 0.3), (0.9, 0.2), (0.8, 0.2), (0.85, 0.3), (0.7, 0.4), (0.9, 0.25)]
+    counts = {}
+    for k in range(6000):
+        base = k % 3 == 0
+        t = base or r.random() < 0.2
+        v = sum((r.random() < (h if t else a)) << j for j, (h, a) in enumerate(rates))
+        b, n = counts.get(v, (0, 0))
+        counts[v] = (b + base, n + (not base))
+    prior, found, post = pii.expectation_maximisation(counts)
+    assert prior == pytest.approx(0.2, abs=0.06)
+    assert all(abs(h - fh) < 0.08 and abs(a - fa) < 0.08 for (h, a), (fh, fa) in zip(rates, found, strict=True))
+    assert post[63] > 0.95 and post[0] < 0.05
+    everything_known = {63: (10, 0), 0: (0, 5)}
+    assert pii.expectation_maximisation(everything_known)[2][63] > 0.9
+
+
 LANGS = {"en": "the and of is that with which was from this are", "de": "der und nicht mit eine ist von auch über für", "fr": "le les une avec dans être où très déjà est"}
 
 
