@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import call, register
+from ..operators import arrangement
 from ..operators.aggregates import centroid, extent
 from ..operators.cluster import dbscan
 from ..operators.joins import box_join, dwithin_join, nearest_join
@@ -253,3 +254,73 @@ _sql(
     "SELECT s_suppkey, st_numgeometries(st_union(a, b)) AS both, st_isempty(st_intersection(a, b)) AS apart, st_iscollection(st_union(a, b)) AS multi, size(st_dump(st_union(a, b))) AS n, st_equals(st_difference(a, b), a) AS kept FROM (SELECT s_suppkey, st_makepoint(lon, lat) AS a, st_makepoint(lon, IF(s_suppkey % 3 = 0, lat, 85)) AS b FROM {supplier_pt})",
     "SELECT s_suppkey, CASE WHEN same THEN 1 ELSE 2 END AS both, NOT same AS apart, NOT same AS multi, CASE WHEN same THEN 1 ELSE 2 END AS n, NOT same AS kept FROM (SELECT s_suppkey, s_suppkey % 3 = 0 OR lat = 85 AS same FROM supplier_pt)",
 )
+
+# --- overlays of shapes as Spark jobs ---------------------------------------------------
+
+#: Of a geography of areas on whole degrees: square degrees, length of all borders, parts.
+_NET = "aggregate(g.parts, 0D, (s, p) -> s + aggregate(p.rings, 0D, (t, r) -> t + aggregate(arrays_zip(r, slice(r, 2, size(r))), 0D, (u, e) -> u + coalesce((e['1'].x - e.r.x) * (e['1'].y + e.r.y) / 2, 0D))))"
+_ROUND = "aggregate(g.parts, 0D, (s, p) -> s + aggregate(p.rings, 0D, (t, r) -> t + aggregate(arrays_zip(r, slice(r, 2, size(r))), 0D, (u, e) -> u + coalesce(abs(e['1'].x - e.r.x) + abs(e['1'].y - e.r.y), 0D))))"
+_MEASURED = [f"round({_NET}, 6) AS area", f"round({_ROUND}, 6) AS around", "size(g.parts) AS parts"]
+
+
+def _measured(df: DataFrame, *by: str) -> DataFrame:
+    return df.select(*by, "g").selectExpr(*by, *_MEASURED)
+
+
+def _shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's shape with its nation's."""
+    return t.customer_shape(spark, sf_dir).join(t.nation_shape(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def overlaid(op: str) -> Callable[[SparkSession, str], DataFrame]:
+    """An overlay of each customer's shape with its nation's."""
+    return lambda spark, sf_dir: _measured(arrangement.overlay(_shapes(spark, sf_dir), "a", "b", op, "g"), "c_custkey")
+
+
+#: Cells (k, x, y) measured: their number, the sides that no neighbour has, and the parts that share sides.
+_CELLS = """, own AS ({0}),
+side AS (SELECT o.k, count(*) AS n FROM own o, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) d(i, j) WHERE NOT EXISTS (SELECT 1 FROM own p WHERE p.k = o.k AND p.x = o.x + d.i AND p.y = o.y + d.j) GROUP BY o.k),
+reach AS (SELECT k, x, y, x AS u, y AS v FROM own UNION SELECT r.k, r.x, r.y, o.x, o.y FROM reach r JOIN own o ON r.k = o.k AND abs(r.u - o.x) + abs(r.v - o.y) = 1),
+part AS (SELECT k, count(DISTINCT first) AS n FROM (SELECT k, x, y, min(u * 1000 + v) AS first FROM reach GROUP BY k, x, y) GROUP BY k)
+SELECT {1}, CAST(coalesce(m.n, 0) AS DOUBLE) AS area, CAST(coalesce(s.n, 0) AS DOUBLE) AS around, CAST(coalesce(p.n, 0) AS INTEGER) AS parts FROM {2} LEFT JOIN (SELECT k, count(*) AS n FROM own GROUP BY k) m ON m.k = {3} LEFT JOIN side s ON s.k = {3} LEFT JOIN part p ON p.k = {3}"""
+_A = "SELECT c_custkey AS k, x, y FROM customer_cell"
+_B = "SELECT c_custkey AS k, x, y FROM customer JOIN nation_cell ON c_nationkey = n_nationkey"
+for _name, _set in (("intersection", f"{_A} INTERSECT {_B}"), ("union", f"{_A} UNION {_B}"), ("difference", f"{_A} EXCEPT {_B}")):
+    QUERIES[f"overlay_{_name}"] = overlaid(_name)
+    ORACLES[f"overlay_{_name}"] = t.CTES.replace("WITH ", "WITH RECURSIVE ") + _CELLS.format(_set, "c_custkey", "customer", "c_custkey")
+
+
+def dissolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shapes of each nation's customers as one."""
+    return _measured(arrangement.dissolve(t.customer_shape(spark, sf_dir), ["c_nationkey"], "a", "g"), "c_nationkey")
+
+
+QUERIES["dissolve"] = dissolved
+ORACLES["dissolve"] = t.CTES.replace("WITH ", "WITH RECURSIVE ") + _CELLS.format("SELECT DISTINCT c_nationkey AS k, x, y FROM customer_cell", "c_nationkey", "(SELECT DISTINCT c_nationkey FROM customer)", "c_nationkey")
+
+
+def related(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each customer's shape lies to its nation's: all predicates from one arrangement."""
+    return arrangement.relate(_shapes(spark, sf_dir), "a", "b").select("c_custkey", *arrangement.RELATIONS)
+
+
+_add(
+    "relate",
+    related,
+    f""", a AS ({_A}), b AS ({_B}),
+n AS (SELECT c_custkey AS k, (SELECT count(*) FROM a WHERE a.k = c_custkey) AS a, (SELECT count(*) FROM b WHERE b.k = c_custkey) AS b, (SELECT count(*) FROM a JOIN b USING (k, x, y) WHERE k = c_custkey) AS shared,
+  EXISTS (SELECT 1 FROM a JOIN b USING (k) WHERE k = c_custkey AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1) AS met FROM customer)
+SELECT k AS c_custkey, met AS intersects, NOT met AS disjoint, b = shared AS covers, a = shared AS coveredby, b = shared AS contains, a = shared AS within, met AND shared = 0 AS touches, a = shared AND b = shared AS equals, shared > 0 AND a > shared AND b > shared AS overlaps FROM n""",
+)
+
+
+def located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events inside and on the borders of each nation's shape."""
+    events = t.event_pt(spark, sf_dir).select("event_id", "lon", "lat")
+    found = arrangement.locate(events, "event_id", t.nation_shape(spark, sf_dir), "n_nationkey", "b")
+    return found.groupBy("n_nationkey").agg(*(F.count(F.when(F.col("place") == k, 1)).alias(n) for k, n in ((2, "inside"), (1, "border"))), F.sum("event_id").alias("total"))
+
+
+_CLOSED = "lon BETWEEN xmin AND xmax AND lat BETWEEN ymin AND ymax AND NOT (lon > xmin + 1 AND lon < xmin + 2 AND lat > ymin + 1 AND lat < ymin + 3) AND NOT (lon > xmax - 1 AND lat > ymin + 1 AND lat < ymin + 2)"
+_OPEN = "lon > xmin AND lon < xmax AND lat > ymin AND lat < ymax AND NOT (lon BETWEEN xmin + 1 AND xmin + 2 AND lat BETWEEN ymin + 1 AND ymin + 3) AND NOT (lon >= xmax - 1 AND lat BETWEEN ymin + 1 AND ymin + 2)"
+_add("locate", located, f"SELECT n_nationkey, count(*) FILTER ({_OPEN}) AS inside, count(*) FILTER (NOT ({_OPEN})) AS border, CAST(sum(event_id) AS BIGINT) AS total FROM event_pt, nation_box WHERE {_CLOSED} GROUP BY n_nationkey")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import geography
+
 LON = "(({k} * 37) % 36000) / 100.0D - 180"
 LAT = "(({k} * 91) % 16000) / 100.0D - 80"
 _BOX = {"xmin": "(n_nationkey * 37) % 300 - 150", "ymin": "(n_nationkey * 29) % 120 - 60", "xmax": "(n_nationkey * 37) % 300 - 145 + n_nationkey % 7", "ymax": "(n_nationkey * 29) % 120 - 56 + n_nationkey % 5"}
@@ -17,6 +19,10 @@ _GROW = "(CASE c_custkey % 6 WHEN 1 THEN -2 WHEN 5 THEN 2 ELSE 0 END)"
 _DY = f"(CASE c_custkey % 6 WHEN 1 THEN 1 WHEN 5 THEN -1 ELSE CASE c_custkey % 4 WHEN 1 THEN 1 WHEN 3 THEN {_H} ELSE 0 END END)"
 _CUSTOMER_BOX = {"xmin": f"{_X0} + {_DX}", "ymin": f"{_Y0} + {_DY}", "xmax": f"{_X0} + {_DX} + {_W} + {_GROW}", "ymax": f"{_Y0} + {_DY} + {_H} + {_GROW}"}
 
+#: Concave shapes with holes on whole degrees. A nation's: its box with a bite from the right and a hole; a customer's: its box without its upper right corner, and a hole if it is high enough.
+NATION_SHAPE = "concat('POLYGON((', xmin, ' ', ymin, ',', xmin, ' ', ymax, ',', xmax, ' ', ymax, ',', xmax, ' ', ymin + 2, ',', xmax - 1, ' ', ymin + 2, ',', xmax - 1, ' ', ymin + 1, ',', xmax, ' ', ymin + 1, ',', xmax, ' ', ymin, ',', xmin, ' ', ymin, '),(', xmin + 1, ' ', ymin + 1, ',', xmin + 2, ' ', ymin + 1, ',', xmin + 2, ' ', ymin + 3, ',', xmin + 1, ' ', ymin + 3, ',', xmin + 1, ' ', ymin + 1, '))')"
+CUSTOMER_SHAPE = "concat('POLYGON((', xmin, ' ', ymin, ',', xmin, ' ', ymax, ',', xmax - 1, ' ', ymax, ',', xmax - 1, ' ', ymax - 1, ',', xmax, ' ', ymax - 1, ',', xmax, ' ', ymin, ',', xmin, ' ', ymin, ')', IF(ymax - ymin >= 4, concat(',(', xmin + 1, ' ', ymin + 1, ',', xmin + 1, ' ', ymin + 2, ',', xmin + 2, ' ', ymin + 2, ',', xmin + 2, ' ', ymin + 1, ',', xmin + 1, ' ', ymin + 1, ')'), ''), ')')"
+
 #: The same tables as common table expressions of plain SQL.
 CTES = "WITH " + ", ".join(
     [
@@ -26,6 +32,9 @@ CTES = "WITH " + ", ".join(
         ),
         "nation_box AS (SELECT n_nationkey, " + ", ".join(f"CAST({v} AS DOUBLE) AS {k}" for k, v in _BOX.items()) + " FROM nation)",
         "customer_box AS (SELECT c_custkey, c_nationkey, " + ", ".join(f"CAST({v} AS DOUBLE) AS {k}" for k, v in _CUSTOMER_BOX.items()) + " FROM customer)",
+        # the shapes as sets of cells of a degree
+        "nation_cell AS (SELECT n_nationkey, x, y FROM (SELECT *, unnest(range(CAST(xmin AS BIGINT), CAST(xmax AS BIGINT))) AS x FROM nation_box), LATERAL (SELECT unnest(range(CAST(ymin AS BIGINT), CAST(ymax AS BIGINT))) AS y) WHERE NOT (x = xmax - 1 AND y = ymin + 1) AND NOT (x = xmin + 1 AND y IN (ymin + 1, ymin + 2)))",
+        "customer_cell AS (SELECT c_custkey, c_nationkey, x, y FROM (SELECT *, unnest(range(CAST(xmin AS BIGINT), CAST(xmax AS BIGINT))) AS x FROM customer_box), LATERAL (SELECT unnest(range(CAST(ymin AS BIGINT), CAST(ymax AS BIGINT))) AS y) WHERE NOT (x = xmax - 1 AND y = ymax - 1) AND NOT (ymax - ymin >= 4 AND x = xmin + 1 AND y = ymin + 1))",
     ]
 )
 #: Distance on the sphere in plain SQL, of places a and b.
@@ -61,3 +70,13 @@ def nation_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     return customer.select("c_custkey", "c_nationkey", *(F.expr(v).cast("double").alias(k) for k, v in _CUSTOMER_BOX.items()))
+
+
+def nation_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nation's polygon, concave and with a hole."""
+    return nation_box(spark, sf_dir).select("n_nationkey", geography(F.expr(NATION_SHAPE)).alias("b"))
+
+
+def customer_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's polygon, concave, most with a hole."""
+    return customer_box(spark, sf_dir).select("c_custkey", "c_nationkey", geography(F.expr(CUSTOMER_SHAPE)).alias("a"))
