@@ -40,10 +40,6 @@ FUNCTIONS: dict[str, Definition] = {}
 _LONG = 800
 
 
-#: Bound to variables, the predicate gives wrong answers in Spark 4.1, by whatever names, though each of its parts gives right ones.
-_UNBOUND = {"st_touches"}
-
-
 def _renamed(body: str, old: str, new: str) -> str:
     """``body`` with an argument by another name; texts in quotes and fields of that name stay."""
     return re.sub(rf"('[^']*')|(?<![\w.]){old}(?!\w)", lambda m: m[1] or new, body)
@@ -51,7 +47,7 @@ def _renamed(body: str, old: str, new: str) -> str:
 
 def define(fn: str, args: str, returns: str, body: str, short: tuple[str, str] | None = None) -> None:
     """``short``: a condition on the arguments as they are, and the short body that serves there."""
-    if len(body) > _LONG and fn not in _UNBOUND:
+    if len(body) > _LONG:
         for g in re.findall(rf"(\w+) (?={re.escape(GEO)}|ARRAY<{re.escape(GEO)})", args):
             v = name()
             body = f"transform(array({g}), {v} -> {_renamed(body, g, v)})[0]"
@@ -315,18 +311,20 @@ def predicate(fn: str, body: str, when_empty: str = "false") -> None:
     define(fn, f"a {GEO}, b {GEO}", "BOOLEAN", _same_srid("a", "b", f"CASE WHEN a.kind = 0 AND b.kind = 0 THEN true WHEN a.kind = 0 OR b.kind = 0 THEN false WHEN {empty('a')} OR {empty('b')} THEN {when_empty} ELSE {body} END"))
 
 
-def _by_points(a: str, b: str, of_point: str, general: str) -> str:
-    """A predicate with a short way for a single point ``b``: ``of_point`` over where it lies in ``a``."""
-    return f"(CASE WHEN {_is_point(b)} THEN {plane.where(_first(b), a)} {of_point} ELSE {general} END)"
+def _by_points(of_point: str, general: str, ways: tuple[tuple[str, str], ...]) -> str:
+    """A predicate with a short way where one of ``ways`` (point, other) has a single point first: ``of_point`` over where it lies in the other."""
+    cases = " ".join(f"WHEN {_is_point(p)} THEN named_struct('p', {_first(p)}, 'g', {g})" for p, g in ways)
+    return let(f"CASE {cases} END", lambda k: f"CASE WHEN {k} IS NULL THEN {general} ELSE {plane.where(f'{k}.p', f'{k}.g')} {of_point} END")
 
 
-predicate("st_intersects", _by_points("a", "b", "> 0", _by_points("b", "a", "> 0", plane.intersects("a", "b"))))
-predicate("st_disjoint", f"NOT {_by_points('a', 'b', '> 0', _by_points('b', 'a', '> 0', plane.intersects('a', 'b')))}", "true")
-predicate("st_covers", _by_points("a", "b", "> 0", plane.covers("a", "b")))
-predicate("st_coveredby", _by_points("b", "a", "> 0", plane.covers("b", "a")))
-predicate("st_contains", _by_points("a", "b", "= 2", plane.contains("a", "b")))
-predicate("st_within", _by_points("b", "a", "= 2", plane.contains("b", "a")))
-predicate("st_touches", _by_points("a", "b", "= 1", _by_points("b", "a", "= 1", plane.touches("a", "b"))))
-predicate("st_equals", f"(a.parts = b.parts OR {plane.equals('a', 'b')})", f"({empty('a')} AND {empty('b')})")
+_EITHER = (("b", "a"), ("a", "b"))
+predicate("st_intersects", _by_points("> 0", plane.intersects("a", "b"), _EITHER))
+predicate("st_disjoint", f"NOT {_by_points('> 0', plane.intersects('a', 'b'), _EITHER)}", "true")
+predicate("st_covers", _by_points("> 0", plane.covers("a", "b"), _EITHER[:1]))
+predicate("st_coveredby", _by_points("> 0", plane.covers("b", "a"), _EITHER[1:]))
+predicate("st_contains", _by_points("= 2", plane.contains("a", "b"), _EITHER[:1]))
+predicate("st_within", _by_points("= 2", plane.contains("b", "a"), _EITHER[1:]))
+predicate("st_touches", _by_points("= 1", plane.touches("a", "b"), _EITHER))
+predicate("st_equals", f"IF(a.parts = b.parts, true, {plane.equals('a', 'b')})", f"({empty('a')} AND {empty('b')})")
 
 __all__ = ["FUNCTIONS", "PARTS", "R", "all_edges"]

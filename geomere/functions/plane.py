@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .shape import all_edges, each, edges, empty, every, keep, let, name, points, rings, some
+from .shape import all_edges, box, each, edges, every, keep, let, name, points, rings, some
 
 INSIDE, BORDER, OUTSIDE = 2, 1, 0
 
@@ -21,24 +21,27 @@ def near_edge(p: str, e: str) -> str:
     return f"(abs({cross(f'{e}.a', f'{e}.b', p)}) <= 1e-12D * {size} * ({size} + 1) AND {p}.x BETWEEN least({e}.a.x, {e}.b.x) - 1e-12D AND greatest({e}.a.x, {e}.b.x) + 1e-12D AND {p}.y BETWEEN least({e}.a.y, {e}.b.y) - 1e-12D AND greatest({e}.a.y, {e}.b.y) + 1e-12D)"
 
 
-def where(p: str, g: str, exact: bool = True) -> str:
+def where(place: str, g: str, exact: bool = True) -> str:
     """2 if a point is inside of a geography, 1 on its border, 0 outside. A computed place (not ``exact``) is on no point."""
+    return let(f"named_struct('x', {place}.x, 'y', {place}.y)", lambda p: _where(p, g, exact))
+
+
+def _where(p: str, g: str, exact: bool) -> str:
     on = on_edge if exact else near_edge
     ray = lambda e: f"(({e}.a.y > {p}.y) <> ({e}.b.y > {p}.y) AND {p}.x < ({e}.b.x - {e}.a.x) * ({p}.y - {e}.a.y) / ({e}.b.y - {e}.a.y) + {e}.a.x)"
 
-    inside = lambda es: f"size({keep(es, ray)}) % 2 = 1"
-    touched = lambda es: some(es, lambda e: on(p, e))
+    # of a ring or line: 1 on it, 2 inside, 0 outside
+    ringed = lambda r: let(edges(r), lambda es: f"CASE WHEN {some(es, lambda e: on(p, e))} THEN {BORDER} WHEN size({keep(es, ray)}) % 2 = 1 THEN {INSIDE} ELSE {OUTSIDE} END")
 
-    def solid(q: str) -> str:
-        holes = f"slice({q}.rings, 2, greatest(size({q}.rings) - 1, 0))"
-        in_hole = each(holes, lambda r: let(edges(r), lambda es: f"CASE WHEN {touched(es)} THEN {BORDER} WHEN {inside(es)} THEN {OUTSIDE} ELSE {INSIDE} END"))
-        return let(edges(f"{q}.rings[0]"), lambda es: f"CASE WHEN {touched(es)} THEN {BORDER} WHEN NOT {inside(es)} THEN {OUTSIDE} WHEN size({q}.rings) = 1 THEN {INSIDE} ELSE array_min({in_hole}) END")
+    def drawn(q: str) -> str:
+        holes = lambda w: f"slice({w}, 2, greatest(size({w}) - 1, 0))"
+        solid = lambda w: f"CASE WHEN {w}[0] < {INSIDE} THEN {w}[0] WHEN array_contains({holes(w)}, {BORDER}) THEN {BORDER} WHEN array_contains({holes(w)}, {INSIDE}) THEN {OUTSIDE} ELSE {INSIDE} END"
+        return let(each(f"{q}.rings", ringed), lambda w: f"IF({q}.kind = 2, IF({w}[0] = {BORDER}, {INSIDE}, {OUTSIDE}), {solid(w)})")
 
     close = (lambda a: f"({a}.x = {p}.x AND {a}.y = {p}.y)") if exact else (lambda a: f"(abs({a}.x - {p}.x) <= 1e-12D AND abs({a}.y - {p}.y) <= 1e-12D)")
     dot = (lambda q: f"IF({close(f'{q}.rings[0][0]')}, {INSIDE}, {OUTSIDE})") if exact else (lambda q: str(OUTSIDE))
-    line = lambda q: f"IF({let(edges(f'{q}.rings[0]'), lambda es: some(es, lambda e: on(p, e)))}, {INSIDE}, {OUTSIDE})"
     ends = keep(f"flatten({each(keep(f'{g}.parts', lambda q: f'{q}.kind = 2'), lambda q: f'array({q}.rings[0][0], {q}.rings[0][size({q}.rings[0]) - 1])')})", close)
-    raw = f"coalesce(array_max({each(f'{g}.parts', lambda q: f'CASE {q}.kind WHEN 1 THEN {dot(q)} WHEN 2 THEN {line(q)} ELSE {solid(q)} END')}), {OUTSIDE})"
+    raw = f"coalesce(array_max({each(f'{g}.parts', lambda q: f'IF({q}.kind = 1, {dot(q)}, {drawn(q)})')}), {OUTSIDE})"
     return let(raw, lambda w: f"CASE WHEN {w} = {INSIDE} AND {some(f'{g}.parts', lambda q: f'{q}.kind = 2')} AND size({ends}) % 2 = 1 THEN {BORDER} ELSE {w} END")
 
 
@@ -98,14 +101,23 @@ def only_points(g: str) -> str:
 
 
 def boxes_meet(a: str, b: str) -> str:
-    x = lambda g: each(points(g), lambda p: f"{p}.x")
-    y = lambda g: each(points(g), lambda p: f"{p}.y")
-    return f"(array_min({x(a)}) <= array_max({x(b)}) AND array_min({x(b)}) <= array_max({x(a)}) AND array_min({y(a)}) <= array_max({y(b)}) AND array_min({y(b)}) <= array_max({y(a)}))"
+    return let(each(f"array({a}, {b})", box), lambda k: f"({k}[0].xmin <= {k}[1].xmax AND {k}[1].xmin <= {k}[0].xmax AND {k}[0].ymin <= {k}[1].ymax AND {k}[1].ymin <= {k}[0].ymax)")
+
+
+def mirrored(a: str, b: str, use) -> str:
+    """``use(k)`` with ``a`` as k.g and ``b`` as k.h, and the other way round: written once, so that no two like terms read unlike variables."""
+    return each(f"array(named_struct('g', {a}, 'h', {b}), named_struct('g', {b}, 'h', {a}))", use)
+
+
+def crossing(a: str, b: str) -> str:
+    """Whether two of their edges meet."""
+    return some(all_edges(a), lambda e: some(all_edges(b), lambda f: edges_meet(e, f)))
 
 
 def intersects(a: str, b: str) -> str:
-    met = f"({some(points(a), lambda p: f'{where(p, b)} > 0')} OR {some(points(b), lambda p: f'{where(p, a)} > 0')} OR {some(all_edges(a), lambda e: some(all_edges(b), lambda f: edges_meet(e, f)))})"
-    return f"(NOT {empty(a)} AND NOT {empty(b)} AND {boxes_meet(a, b)} AND {met})"
+    on = mirrored(a, b, lambda k: some(points(f"{k}.g"), lambda p: f"{where(p, f'{k}.h')} > 0"))
+    # the dearer test only where the other fails
+    return f"CASE WHEN NOT {boxes_meet(a, b)} THEN false WHEN array_contains({on}, true) THEN true ELSE {crossing(a, b)} END"
 
 
 def beside(s: str) -> str:
@@ -114,46 +126,63 @@ def beside(s: str) -> str:
     return f"array({place('1e-6D')}, {place('-1e-6D')})"
 
 
-def covers(a: str, b: str) -> str:
-    """Whether no point of b is outside of a. Where an area's border runs along that of a, its inside has to be on the same side."""
-    along = lambda s: f"({s}.w = 2 OR NOT {some(beside(s), lambda m: f'{where(m, b)} = 2 AND {where(m, a)} = 0')})"
-    all_in = f"({every(points(b), lambda p: f'{where(p, a)} > 0')} AND {every(pieces(b, a), lambda s: f'{s}.w > 0 AND {along(s)}')})"
-    area = f"(NOT {solid(b)} OR ({solid(a)} AND NOT {some(pieces(a, b), lambda s: f'{s}.w = 2')}))"
-    return f"(NOT {empty(a)} AND NOT {empty(b)} AND {boxes_meet(a, b)} AND {all_in} AND {area})"
+def _side(k: str) -> str:
+    """What there is to know of k.g as to k.h, as flags.
 
+    ``meets``: a corner of it is on the other; ``out``: part of it is outside of the other; ``run``: an edge of it has a piece in the other's inside;
+    ``dot``: so has one of its points; ``both``: beside a border that they share, or where lines cross, is the inside of both.
+    """
+    g, h = f"{k}.g", f"{k}.h"
+    placed = each(f"{g}.parts", lambda q: f"named_struct('kind', {q}.kind, 'w', {each(f'flatten({q}.rings)', lambda p: where(p, h))})")
+    xy = lambda p: f"named_struct('x', {p}.x, 'y', {p}.y)"
+    nowhere = "CAST(array() AS ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>)"
 
-def insides_meet(a: str, b: str) -> str:
-    """Whether the insides of two geographies share a point."""
-    dots = lambda g, h: some(keep(f"{g}.parts", lambda p: f"{p}.kind = 1"), lambda p: f"{where(f'{p}.rings[0][0]', h)} = 2")
+    def told(s: str) -> str:
+        asked = f"CASE WHEN {s}.w = 1 AND {solid(g)} THEN {beside(s)} WHEN NOT ({solid(g)} OR {solid(h)}) THEN array({xy(f'{s}.p')}, {xy(f'{s}.q')}) ELSE {nowhere} END"
+        lie = each(asked, lambda m: each(f"array({g}, {h})", lambda x: where(m, x, exact=False)))
+        return f"named_struct('w', {s}.w, 'lie', {lie})"
 
-    def by_pieces(ps: str, qs: str) -> str:
-        # a line's piece inside of an area or along the inside of a line, or an area's border inside of an area
-        runs = f"(((NOT {solid(a)} OR {solid(b)}) AND {some(ps, lambda s: f'{s}.w = 2')}) OR ((NOT {solid(b)} OR {solid(a)}) AND {some(qs, lambda s: f'{s}.w = 2')}))"
-        # lines that cross have no piece in common; areas that do leave pieces inside of each other
-        both = lambda m: f"{where(m, a, exact=False)} = 2 AND {where(m, b, exact=False)} = 2"
-        at_cut = f"(NOT {solid(a)} AND NOT {solid(b)} AND {some(ps, lambda s: some(f'array({s}.p, {s}.q)', both))})"
-        # borders that run together have the insides on one side of them or on both: a place beside a piece tells
-        both_at = lambda m: f"({where(m, a)} = 2 AND {where(m, b)} = 2)"
-        same = f"({solid(a)} AND {solid(b)} AND {some(ps, lambda s: f'{s}.w = 1 AND {some(beside(s), both_at)}')})"
-        return f"({runs} OR {at_cut} OR {same})"
+    def flags(at: str, ps: str) -> str:
+        all_at = f"flatten({each(at, lambda q: f'{q}.w')})"
+        gone = some(ps, lambda s: f"{s}.w = 1 AND array_contains({s}.lie, array(2, 0))")
+        out = f"array_contains(array(array_contains({all_at}, 0), array_contains({each(ps, lambda s: f'{s}.w')}, 0), {gone}), true)"
+        return (
+            f"named_struct('solid', {solid(g)}, 'meets', coalesce(array_max({all_at}), 0) > 0, 'out', {out}, 'run', array_contains({each(ps, lambda s: f'{s}.w')}, 2), "
+            f"'dot', {some(at, lambda q: f'{q}.kind = 1 AND {q}.w[0] = 2')}, 'both', {some(ps, lambda s: f'array_contains({s}.lie, array(2, 2))')})"
+        )
 
-    met = let(pieces(a, b), lambda ps: let(pieces(b, a), lambda qs: by_pieces(ps, qs)))
-    return f"({dots(a, b)} OR {dots(b, a)} OR {met})"
+    return let(placed, lambda at: let(each(pieces(g, h), told), lambda ps: flags(at, ps)))
+
+
+def related(a: str, b: str, use) -> str:
+    """``use(x, y)`` with the flags of ``a`` as to ``b`` and of ``b`` as to ``a``; false where their boxes are apart."""
+    return f"CASE WHEN NOT {boxes_meet(a, b)} THEN false ELSE {let(mirrored(a, b, _side), lambda k: use(f'{k}[0]', f'{k}[1]'))} END"
+
+
+def _covers(x: str, y: str) -> str:
+    """No point of the second is outside of the first. Where an area's border runs along that of the other, its inside has to be on the same side."""
+    return f"(NOT {y}.out AND (NOT {y}.solid OR ({x}.solid AND NOT {x}.run)))"
+
+
+def covers(a: str, b: str) -> str:
+    return related(a, b, _covers)
 
 
 def contains(a: str, b: str) -> str:
     """Covers, and some point of b's inside is inside of a."""
-    inner = f"({some(keep(f'{b}.parts', lambda p: f'{p}.kind = 1'), lambda p: f'{where(f'{p}.rings[0][0]', a)} = 2')} OR {some(pieces(b, a), lambda s: f'{s}.w = 2')} OR {solid(b)})"
-    return f"({covers(a, b)} AND {inner})"
+    return related(a, b, lambda x, y: f"({_covers(x, y)} AND ({y}.dot OR {y}.run OR {y}.solid))")
 
 
 def touches(a: str, b: str) -> str:
     """They meet, but their insides do not; a line's piece along an area's border is no meeting of insides."""
-    return f"({intersects(a, b)} AND NOT {insides_meet(a, b)})"
+    # a line's piece inside of an area or along the inside of a line, or an area's border inside of an area
+    runs = lambda x, y: f"((NOT {x}.solid OR {y}.solid) AND {x}.run)"
+    inner = lambda x, y: f"({x}.dot OR {y}.dot OR {runs(x, y)} OR {runs(y, x)} OR ({x}.solid = {y}.solid AND {x}.both))"
+    return related(a, b, lambda x, y: f"IF({inner(x, y)}, false, IF({x}.meets OR {y}.meets, true, {crossing(a, b)}))")
 
 
 def equals(a: str, b: str) -> str:
-    return f"(({empty(a)} AND {empty(b)}) OR ({covers(a, b)} AND {covers(b, a)}))"
+    return related(a, b, lambda x, y: f"({_covers(x, y)} AND {_covers(y, x)})")
 
 
 def nearest_on_edge(p: str, e: str) -> str:
