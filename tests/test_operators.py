@@ -113,6 +113,44 @@ def test_dbscan_is_brute_force(spark):
             assert {x.id: x.cluster for x in dbscan(df, eps * 6371008.8, least).collect()} == _dbscan(rows, eps, least), (eps, least)
 
 
+def test_dense_cells_are_linked_by_sub_cells(spark, monkeypatch):
+    from geomere.operators import cluster
+
+    r = random.Random(12)
+    blob = lambda k, n, x, y, s: [(k + i, r.gauss(x, s), r.gauss(y, s)) for i in range(n)]
+    sets = [
+        blob(0, 90, 0.0, 0.0, 0.15) + blob(100, 90, 1.4, 0.0, 0.15) + blob(200, 40, 0.7, 1.5, 0.3) + [(900, None, 1.0)],
+        # two columns whose places are the radius apart, or a little more
+        [(i, 0.0, 0.01 * i) for i in range(60)] + [(100 + i, 1.0, 0.01 * i) for i in range(60)],
+        [(i, 0.0, 0.01 * i) for i in range(60)] + [(100 + i, 1.0000001, 0.01 * i) for i in range(60)],
+        # one place that holds a third of all rows
+        [(i, 0.25, 0.25) for i in range(60)] + blob(100, 120, 0.6, 0.6, 0.8),
+    ]
+    rows = [(1000 * k + i, x, y if y is None else y + 20.0 * k) for k, own in enumerate(sets) for i, x, y in own]
+    monkeypatch.setattr(cluster, "FEW", 0)
+    df = spark.createDataFrame(rows, "id long, lon double, lat double")
+    assert {x.id: x.cluster for x in dbscan(df, 6371008.8, 4).collect()} == _dbscan(rows, 1.0, 4)
+
+
+def test_dense_cells_make_no_quadratic_pairs(spark, monkeypatch):
+    from geomere.operators import cluster
+
+    made = {}
+    keep = cluster.written
+
+    def counted(df, name):
+        out = keep(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(cluster, "written", counted)
+    # two crowds in cells side by side, too far apart to be neighbours, and a crowd that joins the second
+    n = 20_000
+    df = spark.range(3 * n).selectExpr("id", f"CASE WHEN id < {n} THEN 0 WHEN id < {2 * n} THEN 1.3 ELSE 1.9 END + (id * 7919 % 1000) / 10000 AS lon", "(id * 104729 % 997) / 10000 AS lat")
+    found = {(r.cluster, r["count"]) for r in dbscan(df, 6371008.8, 5).groupBy("cluster").count().collect()}
+    assert found == {(0, n), (1, 2 * n)} and max(made.values()) <= 3 * n
+
+
 def test_nearest_join_is_whole(spark):
     from geomere.operators.joins import nearest_join
 
