@@ -251,7 +251,9 @@ def _sifted(inside: bool) -> str:
     runs = each(keep(plane.pieces("a", "b"), lambda s: f"{s}.w {sign} 0"), lambda s: part("2", f"array(array({s}.p, {s}.q))"))
     point_kind = lambda ps: geo(f"CASE size({ps}) WHEN 1 THEN 1 WHEN 0 THEN IF(a.kind = 1, 1, 7) ELSE 4 END", ps, "a.srid")
     line_kind = lambda ps: geo(f"CASE size({ps}) WHEN 1 THEN 2 WHEN 0 THEN 2 ELSE 5 END", ps, "a.srid")
-    return f"CASE WHEN {plane.only_points('a')} THEN {let(f'array_distinct({dots})', point_kind)} ELSE {let(runs, line_kind)} END"
+    # common points without a common piece would be lost
+    lost = lambda ps: f"CASE WHEN size({ps}) = 0 AND {plane.intersects('a', 'b')} THEN {error('a line that meets the other in points only can not be overlaid yet: use st_intersection_any')} ELSE {line_kind(ps)} END"
+    return f"CASE WHEN {plane.only_points('a')} THEN {let(f'array_distinct({dots})', point_kind)} ELSE {let(runs, lost if inside else line_kind)} END"
 
 
 def _clipped() -> str:

@@ -86,6 +86,13 @@ def test_a_concave_subject_is_not_cut_wrongly(value):
         value("st_intersection", "POLYGON((0 0,0 10,2 10,2 2,8 2,8 10,10 10,10 0,0 0))", "POLYGON((-1 5,-1 6,11 6,11 5,-1 5))")
 
 
+def test_a_line_loses_no_common_point(value):
+    with pytest.raises(Exception):  # noqa: B017
+        value("st_intersection", "LINESTRING(0 0,10 10)", "LINESTRING(0 10,10 0)")
+    assert value.text("st_intersection", "LINESTRING(-5 5,5 5)", SQUARE) == "LINESTRING(0 5,5 5)"
+    assert value.text("st_intersection", "LINESTRING(20 0,20 9)", SQUARE) == "LINESTRING EMPTY"
+
+
 def test_geojson_and_geohash(value):
     assert value("st_asgeojson", '{"type":"MultiPolygon","coordinates":[[[[0,0],[0,1],[1,1],[0,0]]]]}') == '{"type":"MultiPolygon","coordinates":[[[[0,0],[0,1],[1,1],[0,0]]]]}'
     assert value("st_geohash", "POINT(5.04 10.94)") == "s1gw4xw40eb3ur11nctj"
