@@ -251,9 +251,23 @@ def _sifted(inside: bool) -> str:
     runs = each(keep(plane.pieces("a", "b"), lambda s: f"{s}.w {sign} 0"), lambda s: part("2", f"array(array({s}.p, {s}.q))"))
     point_kind = lambda ps: geo(f"CASE size({ps}) WHEN 1 THEN 1 WHEN 0 THEN IF(a.kind = 1, 1, 7) ELSE 4 END", ps, "a.srid")
     line_kind = lambda ps: geo(f"CASE size({ps}) WHEN 1 THEN 2 WHEN 0 THEN 2 ELSE 5 END", ps, "a.srid")
-    # common points without a common piece would be lost
-    lost = lambda ps: f"CASE WHEN size({ps}) = 0 AND {plane.intersects('a', 'b')} THEN {error('a line that meets the other in points only can not be overlaid yet: use st_intersection_any')} ELSE {line_kind(ps)} END"
-    return f"CASE WHEN {plane.only_points('a')} THEN {let(f'array_distinct({dots})', point_kind)} ELSE {let(runs, lost if inside else line_kind)} END"
+    close = lambda p, q: f"(abs({p}.x - {q}.x) <= 1e-9D AND abs({p}.y - {q}.y) <= 1e-9D)"
+
+    def touched(k: str) -> str:
+        """The places in common that no piece in common has: ends of pieces outside of ``b`` that were cut there or lie on it, and points of ``b``."""
+        ends = keep(f"array_distinct(flatten({each(f'{k}.out', lambda s: f'array({_xy(f"{s}.p")}, {_xy(f"{s}.q")})')}))", lambda e: f"(NOT {some(points('a'), lambda v: f'{v}.x = {e}.x AND {v}.y = {e}.y')} OR {plane.where(e, 'b')} > 0)")
+        spots = keep(each(keep("b.parts", lambda p: f"{p}.kind = 1"), lambda p: _xy(f"{p}.rings[0][0]")), lambda p: f"{plane.where(p, 'a')} > 0")
+        alone = keep(f"concat({spots}, {ends})", lambda e: f"NOT {some(f'{k}.held', lambda s: f'({close(f"{s}.p", e)} OR {close(f"{s}.q", e)})')}")
+        p, i = name(), name()
+        return let(alone, lambda d: f"filter({d}, ({p}, {i}) -> NOT {some(f'slice({d}, 1, {i})', lambda q: close(p, q))})")
+
+    def common(k: str) -> str:
+        lines = each(f"{k}.held", lambda s: part("2", f"array(array({s}.p, {s}.q))"))
+        both = lambda m: f"CASE WHEN size({m}.dots) = 0 THEN {line_kind(f'{m}.lines')} WHEN size({m}.lines) = 0 THEN {point_kind(f'{m}.dots')} ELSE {geo('7', f'concat({m}.dots, {m}.lines)', 'a.srid')} END"
+        return let(f"named_struct('lines', CAST({lines} AS {PARTS}), 'dots', CAST({each(touched(k), lambda p: part('1', f'array(array({p}))'))} AS {PARTS}))", both)
+
+    held = let(plane.pieces("a", "b"), lambda s: let(f"named_struct('held', {keep(s, lambda v: f'{v}.w > 0')}, 'out', {keep(s, lambda v: f'{v}.w = 0')})", common))
+    return f"CASE WHEN {plane.only_points('a')} THEN {let(f'array_distinct({dots})', point_kind)} ELSE {held if inside else let(runs, line_kind)} END"
 
 
 def _clipped() -> str:
@@ -276,7 +290,15 @@ def _clipped() -> str:
     cutters = let("b.parts[0].rings[0]", lambda r: let(turn(r), lambda s: each(edges(r), lambda q: f"named_struct('a', {q}.a, 'b', {q}.b, 's', {s})")))
     run = let("a.parts[0].rings[0]", lambda r: f"aggregate({cutters}, {each(r, _xy)}, ({ring}, {e}) -> {clip(ring, e)})")
     tidy = lambda r: f"filter({r}, (p9, i9) -> i9 = 0 OR p9.x <> {r}[i9 - 1].x OR p9.y <> {r}[i9 - 1].y)"
-    return let(run, lambda r: let(tidy(r), lambda t: f"IF(size({t}) < 4, {geo('3', NONE, 'a.srid')}, {geo('3', f'array({part("3", f"array({t})")})', 'a.srid')})"))
+
+    def made(t: str) -> str:
+        """What is left: an area, the line or point of two borders that merely meet, or nothing."""
+        low, high = f"array_min({t})", f"array_max({t})"
+        flat = lambda k: every(t, lambda p: f"{plane.cross(f'{k}.p', f'{k}.q', p)} = 0")
+        kinds = lambda k: f"CASE WHEN {k}.p.x = {k}.q.x AND {k}.p.y = {k}.q.y THEN {_dot(_xy(f'{k}.p'), 'a.srid')} WHEN {flat(k)} THEN {_one_line(f'array({_xy(f"{k}.p")}, {_xy(f"{k}.q")})', 'a.srid')} ELSE {geo('3', f'array({part("3", f"array({t})")})', 'a.srid')} END"
+        return f"IF(size({t}) = 0, {geo('3', NONE, 'a.srid')}, {let(f"named_struct('p', {low}, 'q', {high})", kinds)})"
+
+    return let(run, lambda r: let(tidy(r), made))
 
 
 _convex = lambda g: let(f"{g}.parts[0].rings[0]", lambda r: let(edges(r), lambda es: f"abs({total(f'transform({es}, (e8, i8) -> signum((e8.b.x - e8.a.x) * ({es}[(i8 + 1) % size({es})].b.y - e8.b.y) - (e8.b.y - e8.a.y) * ({es}[(i8 + 1) % size({es})].b.x - e8.b.x)))')}) = size({es})"))

@@ -87,8 +87,26 @@ def test_a_concave_subject_is_not_cut_wrongly(value):
 
 
 def test_a_line_loses_no_common_point(value):
-    with pytest.raises(Exception):  # noqa: B017
-        value("st_intersection", "LINESTRING(0 0,10 10)", "LINESTRING(0 10,10 0)")
+    known = [
+        ("LINESTRING(0 0,10 10)", "LINESTRING(0 10,10 0)", "POINT(5 5)"),
+        ("LINESTRING(0 0,10 10)", "POINT(2 2)", "POINT(2 2)"),
+        ("LINESTRING(0 0,10 10)", "MULTIPOINT(2 2,3 3,4 5)", "MULTIPOINT(2 2,3 3)"),
+        ("LINESTRING(0 0,10 0)", "LINESTRING(0 0,2 0,2 5,6 -5)", "GEOMETRYCOLLECTION(POINT(4 0),LINESTRING(0 0,2 0))"),
+        ("LINESTRING(-5 5,0 10,-5 15)", SQUARE, "POINT(0 10)"),
+        ("LINESTRING(-5 5,0 10,5 5)", SQUARE, "LINESTRING(0 10,5 5)"),
+        ("LINESTRING(3 3,7 7)", "LINESTRING(7 7,9 0)", "POINT(7 7)"),
+    ]
+    for a, b, both in known:
+        assert value.text("st_intersection", a, b) == both, (a, b)
+
+
+def test_areas_that_merely_meet_have_a_line_or_a_point_in_common(value):
+    assert value.text("st_intersection", SQUARE, "POLYGON((10 2,10 5,12 5,12 2,10 2))") == "LINESTRING(10 2,10 5)"
+    assert value.text("st_intersection", SQUARE, "POLYGON((10 10,10 12,12 12,12 10,10 10))") == "POINT(10 10)"
+    assert value.text("st_intersection", SQUARE, "POLYGON((11 10,11 12,12 12,12 10,11 10))") == "POLYGON EMPTY"
+
+
+def test_lines_cut_by_areas(value):
     assert value.text("st_intersection", "LINESTRING(-5 5,5 5)", SQUARE) == "LINESTRING(0 5,5 5)"
     assert value.text("st_intersection", "LINESTRING(20 0,20 9)", SQUARE) == "LINESTRING EMPTY"
 
