@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import call, register
+from ..functions import call, geography, register
 from ..operators import arrangement
 from ..operators.aggregates import centroid, extent
+from ..operators.buffer import buffer
 from ..operators.cluster import dbscan
 from ..operators.joins import box_join, dwithin_join, nearest_join
 from ..session import written
@@ -299,6 +300,29 @@ QUERIES["dissolve"] = dissolved
 ORACLES["dissolve"] = t.CTES.replace("WITH ", "WITH RECURSIVE ") + _CELLS.format("SELECT DISTINCT c_nationkey AS k, x, y FROM customer_cell", "c_nationkey", "(SELECT DISTINCT c_nationkey FROM customer)", "c_nationkey")
 
 
+def buffered_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's shape, grown by a degree or, every third, shrunk by one, with mitres."""
+    radius = F.when(F.col("c_custkey") % 3 == 0, -1.0).otherwise(1.0)
+    return _measured(buffer(t.customer_shape(spark, sf_dir), "a", radius, "join=mitre", "g"), "c_custkey")
+
+
+#: A cell is in the grown shape if any of the nine around it is in the shape, in the shrunk one if all are.
+_NINE = f"SELECT k, x, y FROM (SELECT a.k, a.x + d.i AS x, a.y + e.j AS y FROM ({_A}) a, (VALUES (-1), (0), (1)) d(i), (VALUES (-1), (0), (1)) e(j)) GROUP BY k, x, y HAVING k % 3 <> 0 OR count(*) = 9"
+QUERIES["buffer_areas"] = buffered_areas
+ORACLES["buffer_areas"] = t.CTES.replace("WITH ", "WITH RECURSIVE ") + _CELLS.format(_NINE, "c_custkey", "customer", "c_custkey")
+
+
+def buffered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower and right side of each customer's box as a line of half a degree to either side, with round ends."""
+    line = geography(F.expr("concat('LINESTRING(', xmin, ' ', ymin, ',', xmax, ' ', ymin, ',', xmax, ' ', ymax, ')')"))
+    made = buffer(t.customer_box(spark, sf_dir).select("c_custkey", line.alias("a")), "a", 0.5, "", "g")
+    return made.select("c_custkey", "g").selectExpr("c_custkey", f"round({_NET}, 4) AS area", "size(g.parts) AS parts")
+
+
+#: Two strips, less the inner corner that both cover; a quarter of a disc of 32 corners at the turn, half of one at each end.
+_add("buffer_lines", buffered_lines, "SELECT c_custkey, round(xmax - xmin + ymax - ymin - 0.25 + 1.25 * 0.25 * 16 * sin(pi() / 16), 4) AS area, 1 AS parts FROM customer_box")
+
+
 def related(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How each customer's shape lies to its nation's: all predicates from one arrangement."""
     return arrangement.relate(_shapes(spark, sf_dir), "a", "b").select("c_custkey", *arrangement.RELATIONS)
