@@ -240,8 +240,14 @@ def _snapped(g: str, size: str) -> str:
 
 
 define("st_snaptogrid", f"g {GEO}, size DOUBLE", GEO, _snapped("g", "size"))
-_circle = lambda p: each("sequence(0, 4 * quad_segs)", lambda k: point(f"{p}.x + radius * cos(-pi() * ({k} % (4 * quad_segs)) / (2 * quad_segs))", f"{p}.y + radius * sin(-pi() * ({k} % (4 * quad_segs)) / (2 * quad_segs))"))
-define("st_buffer", f"g {GEO}, radius DOUBLE, quad_segs INT DEFAULT 8", GEO, f"CASE WHEN g IS NULL OR radius IS NULL THEN NULL WHEN g.kind = 0 THEN {_NOTHING} WHEN {empty('g')} OR (g.kind = 1 AND radius <= 0) THEN {geo('3', NONE, 'g.srid')} WHEN {_is_point('g')} THEN {geo('3', f'array({part("3", f"array({_circle(_first('g'))})")})', 'g.srid')} ELSE {error('st_buffer: only points can be buffered yet')} END")
+_circle = lambda p, n: each(f"sequence(0, 4 * {n})", lambda k: point(f"{p}.x + radius * cos(-pi() * ({k} % (4 * {n})) / (2 * {n}))", f"{p}.y + radius * sin(-pi() * ({k} % (4 * {n})) / (2 * {n}))"))
+_corner = lambda p, i, j: point(f"{p}.x {i} radius", f"{p}.y {j} radius")
+_square = lambda p: f"array({', '.join(_corner(p, i, j) for i, j in ('++', '+-', '--', '-+', '++'))})"
+#: The parameters of a buffer, or a number of segments alone.
+_STYLE = "^ *([0-9]+|((quad_segs=[0-9]+|join=(round|mitre|miter|bevel)|endcap=(round|flat|butt|square)|mit(re|er)_limit=[0-9.]+|side=(both|left|right))( +|$))*)$"
+_segs = "coalesce(try_cast(style AS INT), try_cast(regexp_extract(style, 'quad_segs=([0-9]+)', 1) AS INT), 8)"
+_around = lambda p: f"IF(contains(style, 'endcap=square'), {_square(p)}, {let(_segs, lambda n: _circle(p, n))})"
+define("st_buffer", f"g {GEO}, radius DOUBLE, style STRING DEFAULT ''", GEO, f"CASE WHEN g IS NULL OR radius IS NULL OR style IS NULL THEN NULL WHEN NOT style RLIKE '{_STYLE}' THEN {error('parameters of a buffer that are not known')} WHEN g.kind = 0 THEN {_NOTHING} WHEN {empty('g')} OR (g.kind = 1 AND (radius <= 0 OR style RLIKE 'endcap=(flat|butt)')) THEN {geo('3', NONE, 'g.srid')} WHEN {_is_point('g')} THEN {geo('3', f'array({part("3", f"array({_around(_first('g'))})")})', 'g.srid')} ELSE {error('st_buffer takes points: use operators.buffer for lines, areas and more points than one')} END")
 
 
 def _sifted(inside: bool) -> str:

@@ -106,6 +106,13 @@ def test_areas_that_merely_meet_have_a_line_or_a_point_in_common(value):
     assert value.text("st_intersection", SQUARE, "POLYGON((11 10,11 12,12 12,12 10,11 10))") == "POLYGON EMPTY"
 
 
+def test_buffers_of_points_read_their_parameters(value):
+    around = lambda *a: value("st_npoints", G.call("st_buffer", G.geography("POINT(100 90)"), *a))
+    assert (around(F.lit(50.0)), around(F.lit(50.0), F.lit(2)), around(F.lit(50.0), F.lit("quad_segs=2 join=bevel")), around(F.lit(1.0), F.lit("endcap=flat")), around(F.lit(1.0), F.lit("endcap=square"))) == (33, 9, 9, 0, 5)
+    with pytest.raises(Exception):  # noqa: B017
+        around(F.lit(1.0), F.lit("join=soft"))
+
+
 def test_lines_cut_by_areas(value):
     assert value.text("st_intersection", "LINESTRING(-5 5,5 5)", SQUARE) == "LINESTRING(0 5,5 5)"
     assert value.text("st_intersection", "LINESTRING(20 0,20 9)", SQUARE) == "LINESTRING EMPTY"
