@@ -55,34 +55,77 @@ def dwithin_join(left: DataFrame, right: DataFrame, metres: float, left_xy: tupl
     return paired.where(F.col(distance) <= metres).drop("_band", "_cell")
 
 
+#: Candidates for each row of a nearest join that are compared outright, or 16 for each partner asked for; where cells leave more, finer ones thin them out first.
+FEW = 64
+#: Halvings of the cube around the globe, at most: beyond them places differ by rounding alone.
+LAST = 48
+#: How much nearer a cell may be by rounding than its rows, as a chord of the unit sphere.
+SLACK = 1e-12
+
+
+def _vector(lon: Column, lat: Column) -> dict[str, Column]:
+    u, v = F.radians(lon), F.radians(lat)
+    return {"_x": F.cos(v) * F.cos(u), "_y": F.cos(v) * F.sin(u), "_z": F.sin(v)}
+
+
+def _cube(level: int) -> list[Column]:
+    """The cell of a place of the unit sphere, the cube around it being halved ``level`` times along each axis."""
+    return [F.floor((F.col(c) + 1) * 0.4999999 * float(1 << level)).cast("long").alias(n) for c, n in zip(("_x", "_y", "_z"), "ijl", strict=True)]
+
+
+def _candidates(asked: DataFrame, placed: DataFrame, k: int) -> tuple[DataFrame, int, int]:
+    """For each row (_row, _x, _y, _z) the cells (i, j, l, with n rows) of ``placed`` that may hold one of its ``k`` nearest, their level, and how many pairs that makes.
+
+    Cells are known by their number of rows and a tight box. The least range by which boxes with ``k`` rows in all
+    lie as a whole bounds the distance of the last partner; cells that begin beyond it are dropped, the others cut in 64.
+    So no pair of rows is made until few are left, wherever the rows lie.
+    """
+    rows, many, level = asked.count(), placed.count(), 0
+    open_, work = asked.select("*", *(F.lit(0).cast("long").alias(c) for c in "ijl"), F.lit(many).alias("n")), rows * many
+    by = Window.partitionBy("_row").orderBy("far").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    while work > max(FEW, 16 * k) * rows and level < LAST:
+        level += 2
+        ends = [f(c).alias(f"{c}{e}") for c in ("_x", "_y", "_z") for e, f in (("0", F.min), ("1", F.max))]
+        box = placed.groupBy(*_cube(level)).agg(F.count("*").alias("n"), *ends)
+        box = box.select(*(F.floor(F.col(c) / 4).cast("long").alias(f"up_{c}") for c in "ijl"), F.struct("*").alias("c"))
+        box = F.broadcast(box) if level <= 4 else written(box, "boxes")  # 16^3 boxes at most
+        met = open_.drop("n").join(box, [F.col(c) == F.col(f"up_{c}") for c in "ijl"])
+        gap = lambda c: F.greatest(F.lit(0.0), F.col(f"c.{c}0") - F.col(c), F.col(c) - F.col(f"c.{c}1"))
+        reach = lambda c: F.greatest(F.abs(F.col(c) - F.col(f"c.{c}0")), F.abs(F.col(c) - F.col(f"c.{c}1")))
+        size = lambda of: F.sqrt(sum((F.pow(of(c), 2) for c in ("_y", "_z")), F.pow(of("_x"), 2)))
+        met = met.select("_row", "_x", "_y", "_z", "c.i", "c.j", "c.l", "c.n", size(gap).alias("near"), size(reach).alias("far"))
+        met = met.withColumn("held", F.sum("n").over(by))
+        met = met.withColumn("bound", F.min(F.when(F.col("held") >= k, F.col("far"))).over(Window.partitionBy("_row")))
+        open_ = written(met.where(F.col("bound").isNull() | (F.col("near") <= F.col("bound") + SLACK)).drop("near", "far", "held", "bound"), "open")
+        total, most = open_.agg(F.sum("n"), F.max("n")).first()
+        work = total or 0
+        if (most or 0) <= 1:
+            break
+    return open_, level, work
+
+
 def nearest_join(left: DataFrame, right: DataFrame, k: int, key: str, right_key: str, **names) -> DataFrame:
-    """For each ``key`` (unique) of the left side its ``k`` nearest points of the right side, ties to the smaller ``right_key``, with rank.
+    """For each ``key`` (unique) of the left side its ``k`` nearest points of the right side, ties to the smaller ``right_key`` (unique), with rank.
 
-    Rounds of growing range: rows with ``k`` partners in range have their nearest, the others go on with four times
-    the range, up to half the globe. The first range holds ``k`` points if they lie evenly, so few pairs are made in a
-    round. Rows without a place have no partner; with fewer than ``k`` points all are partners.
+    Cells around the globe, finer from round to round, say by their numbers of rows how far the last partner of a row can be, before any pair of rows is
+    made (:func:`_candidates`); so neither a dense place nor rows far off from all others make a pair of everything. Of the right rows of
+    one place only the ``k`` least take part. Rows without a place have no partner; with fewer than ``k`` points all are partners.
     """
     distance = names.get("distance", "metres")
     (lx, ly), (rx, ry) = names.get("left_xy", ("lon", "lat")), names.get("right_xy", ("r_lon", "r_lat"))
     placed = right.where(F.col(rx).isNotNull() & F.col(ry).isNotNull())
-    open_, found = left.where(F.col(lx).isNotNull() & F.col(ly).isNotNull()), None
-    half, many = math.pi * R, placed.count()
-    metres = min(half, 2 * R * math.sqrt(k / max(many, 1)))
-    order = Window.partitionBy(key).orderBy(distance, right_key)
-    while True:
-        last = metres >= half or many <= k
-        pairs = dwithin_join(open_, placed, half * (1 + 1e-9) if last else metres, **names)
-        ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        if last:
-            return ranked if found is None else found.unionByName(ranked)
-        ranked = written(ranked, "nearest")
-        full = ranked.where(F.col("rank") == k).select(F.col(key).alias("_full"))
-        done = ranked.join(full, F.col(key) == F.col("_full"), "left_semi")
-        found = done if found is None else found.unionByName(done)
-        open_ = written(open_.join(full, F.col(key) == F.col("_full"), "left_anti"), "open")
-        if open_.isEmpty():
-            return found
-        metres *= 4
+    for salt in (F.pmod(F.xxhash64(right_key), F.lit(64)), F.lit(0)):  # a busy place is thinned in 64 shares first
+        least = Window.partitionBy(rx, ry, "_salt").orderBy(right_key)
+        placed = placed.withColumn("_salt", salt).withColumn("_at", F.row_number().over(least)).where(F.col("_at") <= k).drop("_salt", "_at")
+    placed = written(placed.withColumns(_vector(F.col(rx), F.col(ry))), "placed")
+    asked = left.where(F.col(lx).isNotNull() & F.col(ly).isNotNull())
+    asked = written(asked.select(F.col(key).alias("_row"), F.col(lx).alias("_lon"), F.col(ly).alias("_lat")).withColumns(_vector(F.col("_lon"), F.col("_lat"))), "asked")
+    open_, level, _ = _candidates(asked, placed, k)
+    cells = placed.withColumns({f"_{c}": v for c, v in zip("ijl", _cube(level), strict=True)}).drop("_x", "_y", "_z")
+    pairs = open_.select("_row", *(F.col(c).alias(f"_{c}") for c in "ijl")).join(cells, ["_i", "_j", "_l"]).drop("_i", "_j", "_l")
+    pairs = pairs.join(asked.select("_row", "_lon", "_lat"), "_row").withColumn(distance, sphere_distance(F.col("_lon"), F.col("_lat"), F.col(rx), F.col(ry)))
+    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("_row").orderBy(distance, right_key))).where(F.col("rank") <= k)
+    return left.join(ranked.drop("_lon", "_lat"), F.col(key) == F.col("_row")).drop("_row")
 
 
 def box_join(left: DataFrame, right: DataFrame, size: float, left_box: tuple[str, ...] = ("xmin", "ymin", "xmax", "ymax"), right_box: tuple[str, ...] = ("r_xmin", "r_ymin", "r_xmax", "r_ymax")) -> DataFrame:

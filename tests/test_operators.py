@@ -164,6 +164,28 @@ def test_nearest_join_is_whole(spark):
         assert found == pytest.approx(want, abs=1e-4)
 
 
+def test_nearest_join_under_skew_makes_few_pairs(spark):
+    from geomere.operators.joins import FEW, _candidates, _vector, nearest_join
+
+    r = random.Random(8)
+    # left rows far from a dense cluster, a third of all on one place, and right rows on one place
+    left = [(i, r.gauss(-100, 0.5), r.gauss(40, 0.5)) for i in range(1200)] + [(i, 30.0, 10.0) for i in range(1200, 1800)]
+    right = [(i, r.gauss(80, 0.01), r.gauss(-30, 0.01)) for i in range(2000)] + [(i, 30.0, 10.0) for i in range(2000, 3000)]
+    a, b = spark.createDataFrame(left, "a int, lon double, lat double"), spark.createDataFrame(right, "b int, r_lon double, r_lat double")
+    found = {(x.a, x["rank"]): (x.b, x.metres) for x in nearest_join(a, b, 3, "a", "b").collect()}
+    assert len(found) == 3 * 1800
+    for i, *p in r.sample(left, 60):
+        want = sorted((_metres(p, q), j) for j, *q in right)[:3]
+        if p == [30.0, 10.0]:
+            assert [found[i, n][0] for n in (1, 2, 3)] == [2000, 2001, 2002]
+        assert [found[i, n][1] for n in (1, 2, 3)] == pytest.approx([d for d, _ in want], abs=1e-4)
+    asked = a.select(F.col("a").alias("_row"), *(v.alias(n) for n, v in _vector(F.col("lon"), F.col("lat")).items()))
+    placed = b.where("b < 2003").withColumns(_vector(F.col("r_lon"), F.col("r_lat")))
+    assert _candidates(asked, placed, 3)[2] <= FEW * len(left)
+    none = b.where("b < 0")
+    assert nearest_join(a, none, 3, "a", "b").count() == 0 == nearest_join(a.where("a < 0"), b, 3, "a", "b").count()
+
+
 def test_box_join_of_large_and_small_boxes(spark):
     r = random.Random(6)
     boxes = [(i, x := r.uniform(-170, 0), y := r.uniform(-80, 0), x + (w := r.choice([0, 0.01, 3, 170])), y + min(80, w)) for i in range(90)]
