@@ -13,6 +13,7 @@ from ..operators import arrangement
 from ..operators.aggregates import centroid, extent
 from ..operators.buffer import buffer
 from ..operators.cluster import dbscan
+from ..operators.hull import hull
 from ..operators.joins import box_join, dwithin_join, nearest_join
 from ..session import written
 from . import tables as t
@@ -244,6 +245,21 @@ side AS (SELECT p.o_custkey FROM place p JOIN place q ON p.o_custkey = q.o_custk
 corners AS (SELECT o_custkey, count(*) AS n FROM side GROUP BY o_custkey)
 SELECT o_custkey, CAST(CASE WHEN n IS NULL THEN 1 WHEN n = 2 THEN 2 ELSE n + 1 END AS INTEGER) AS n, CASE WHEN n IS NULL THEN 'ST_Point' WHEN n = 2 THEN 'ST_LineString' ELSE 'ST_Polygon' END AS kind FROM (SELECT DISTINCT o_custkey FROM place) LEFT JOIN corners USING (o_custkey)""",
 )
+def hull_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corners of the hull of each nation's customers, in whole degrees."""
+    placed = t.customer_pt(spark, sf_dir).select("c_nationkey", call("st_makepoint", F.floor("lon").cast("double"), F.floor("lat").cast("double")).alias("g"))
+    ring = F.col("hull.parts")[0]["rings"][0]
+    return hull(placed, ["c_nationkey"], "g").select("c_nationkey", F.explode(F.array_distinct(ring)).alias("p")).select("c_nationkey", "p.x", "p.y")
+
+
+_add(
+    "hull_of_groups",
+    hull_corners,
+    f""", place AS (SELECT DISTINCT c_nationkey, floor(lon) AS x, floor(lat) AS y FROM customer_pt),
+side AS (SELECT p.c_nationkey, p.x, p.y FROM place p JOIN place q ON p.c_nationkey = q.c_nationkey AND (p.x <> q.x OR p.y <> q.y) JOIN place r ON p.c_nationkey = r.c_nationkey GROUP BY p.c_nationkey, p.x, p.y, q.x, q.y
+  HAVING bool_and({_CROSS} < 0 OR ({_CROSS} = 0 AND (r.x - p.x) * (r.x - q.x) + (r.y - p.y) * (r.y - q.y) <= 0)))
+SELECT DISTINCT c_nationkey, x, y FROM side UNION SELECT c_nationkey, min(x), min(y) FROM place GROUP BY c_nationkey HAVING count(*) = 1""",
+)
 _sql("simplify", f"SELECT o_custkey, st_npoints(st_simplify(g, 5.0)) AS n, st_numpoints(g) AS before FROM ({_PATH})")
 _sql(
     "buffer",

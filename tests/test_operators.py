@@ -186,6 +186,25 @@ def test_nearest_join_under_skew_makes_few_pairs(spark):
     assert nearest_join(a, none, 3, "a", "b").count() == 0 == nearest_join(a.where("a < 0"), b, 3, "a", "b").count()
 
 
+def test_hulls_of_groups(spark):
+    from geomere.functions import geography
+    from geomere.operators.hull import hull
+
+    r = random.Random(3)
+    rows = [("a", f"POINT({r.randint(0, 40)} {r.randint(0, 40)})") for _ in range(3000)] + [("a", "LINESTRING(-5 0,50 60)")]
+    rows += [(None, f"POINT({k} {k})") for k in range(9)] + [("b", "POINT(1 2)")] * 5 + [("c", None), ("d", "POINT EMPTY"), ("e", "MULTIPOINT(0 0,4 0,4 4,0 4,2 2,2 0)")]
+    df = spark.createDataFrame(rows, "k string, t string").select("k", geography(F.col("t")).alias("g")).repartition(5)
+    text = {x.k: x.t for x in hull(df, ["k"], "g").select("k", call("st_astext", F.col("hull")).alias("t")).collect()}
+    assert text.pop("a").startswith("POLYGON((")
+    assert text == {None: "LINESTRING(0 0,8 8)", "b": "POINT(1 2)", "c": None, "d": None, "e": "POLYGON((0 0,0 4,4 4,4 0,0 0))"}
+    (a,) = hull(df.where("k = 'a'"), ["k"], "g").collect()
+    ring = [(p.x, p.y) for p in a.hull.parts[0].rings[0]]
+    turn = lambda p, q, s: (q[0] - p[0]) * (s[1] - p[1]) - (q[1] - p[1]) * (s[0] - p[0])
+    places = [tuple(map(float, w[6:-1].split())) for k, w in rows[:3000]] + [(-5.0, 0.0), (50.0, 60.0)]
+    assert all(turn(p, q, s) <= 0 for p, q in zip(ring, ring[1:]) for s in places) and all(turn(*ring[i : i + 3]) < 0 for i in range(len(ring) - 2)) and set(ring) <= set(places)
+    assert hull(df.where("k = 'z'"), ["k"], "g").collect() == []
+
+
 def test_box_join_of_large_and_small_boxes(spark):
     r = random.Random(6)
     boxes = [(i, x := r.uniform(-170, 0), y := r.uniform(-80, 0), x + (w := r.choice([0, 0.01, 3, 170])), y + min(80, w)) for i in range(90)]
