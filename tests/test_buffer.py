@@ -118,9 +118,9 @@ KNOWN = [
         "MULTIPOINT(100 10, 50 74)", 50.0, "quad_segs=2", 1e-9,
         "POLYGON((57 26.899494936611667,50 24,14.64466094067263 38.64466094067262,0 74,14.644660940672615 109.35533905932738,49.99999999999999 124,85.35533905932738 109.35533905932738,100 74,93 57.10050506338834,99.99999999999999 60,135.35533905932738 45.355339059327385,150 10,135.35533905932738 -25.35533905932737,100 -40,64.64466094067262 -25.355339059327378,50 9.999999999999995,57 26.899494936611667))",
     ),
-    # edges far shorter than the radius: the form to match leaves out a notch at the inner corner
+    # edges far shorter than the radius
     (
-        "LINESTRING(-72.1260 42.45, -72.1240 42.45666, -72.123 42.1546)", 50.0, "quad_segs=2", 0.05,
+        "LINESTRING(-72.1260 42.45, -72.1240 42.45666, -72.123 42.1546)", 50.0, "quad_segs=2", 1e-9,
         "POLYGON((-120.0113544840855 56.8372469322339,-98.99718594659981 84.62100366949721,-64.93842448326687 91.93764124020305,-34.36763455185338 75.23556889193843,-22.124273999646576 42.62218912004199,-22.123273999646585 42.32012912004199,-27.558809101318367 29.07371979011488,-24.236645515914496 28.076073067766096,-24.238645515914506 28.0694130677661,-31.746093077091306 18.86930081641101,-36.65080792441523 6.916501450946292,-44.0108344266051 3.839292783737402,-48.43313744844437 -1.580083626006122,-59.70390195223073 -2.721939487719954,-71.95747087995802 -7.845126000353417,-79.54419920471322 -4.731985896575468,-86.50658693223392 -5.437354484085496,-95.28775850969842 1.728230385142692,-107.36109854905372 6.682407924415237,-110.46934001411238 14.116658257132194,-116.15608362600614 18.75713744844437,-117.35427342430654 30.583949833690607,-122.12272600035342 41.989070879958014,-122.12372600035341 42.29113087995801,-118.54154468365384 42.30299005136987,-120.01335448408551 56.830586932233906,-120.0113544840855 56.8372469322339))",
     ),
 ]
