@@ -33,3 +33,19 @@ def test_query_matches_sql(spark, data, name):
     names = [d[0] for d in got.description]
     assert sorted(names) == sorted(found.columns)
     assert sorted(str([_norm(r[n]) for n in names]) for r in rows) == sorted(str([_norm(v) for v in r]) for r in got.fetchall())
+
+
+#: Orders of one customer that follow on each other at one place: places repeat every 144,000 keys.
+_AGAIN = [(7, 1, 0), (144_007, 1, 1), (9, 1, 2), (288_009, 1, 3), (11, 2, 0), (144_011, 2, 0)]
+
+
+@pytest.mark.parametrize("name", ["makeline_length"])
+def test_places_that_repeat_match_sql(spark, tmp_path, name):
+    rows = spark.createDataFrame(_AGAIN, "o_orderkey long, o_custkey long, day int")
+    rows.selectExpr("o_orderkey", "o_custkey", "CAST(date_add(DATE'2020-01-01', day) AS TIMESTAMP) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    db = duckdb.connect()
+    for table, key in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("events", "event_id"), ("nation", "n_nationkey")):
+        db.execute(f"CREATE TABLE {table} ({key} BIGINT, c_nationkey INTEGER)")
+    db.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    got = [tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).orderBy("o_custkey").collect()]
+    assert got == db.execute(f"SELECT * FROM ({catalog.ORACLES[name]}) ORDER BY o_custkey").fetchall()
