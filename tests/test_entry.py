@@ -39,7 +39,7 @@ def test_query_matches_sql(spark, data, name):
 _AGAIN = [(7, 1, 0), (144_007, 1, 1), (9, 1, 2), (288_009, 1, 3), (11, 2, 0), (144_011, 2, 0)]
 
 
-@pytest.mark.parametrize("name", ["makeline_length"])
+@pytest.mark.parametrize("name", ["makeline_length", "line_ends"])
 def test_places_that_repeat_match_sql(spark, tmp_path, name):
     rows = spark.createDataFrame(_AGAIN, "o_orderkey long, o_custkey long, day int")
     rows.selectExpr("o_orderkey", "o_custkey", "CAST(date_add(DATE'2020-01-01', day) AS TIMESTAMP) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
