@@ -194,3 +194,21 @@ def test_locate(spark):
     assert {p for p in found if p[0] < 1000} == want and all(found[p] == 2 for p in want)
     assert all(found[1000 + k, k] == 1 for k in range(25))
     assert arrangement.locate(points, "id", areas_.where("false"), "region", "g").count() == 0
+
+
+def test_copies_are_one_problem(spark, monkeypatch):
+    from geomere.operators.buffer import buffer
+
+    seen, whole = [], arrangement.pieces
+    monkeypatch.setattr(arrangement, "pieces", lambda rows: (seen.append(rows.count()), whole(rows))[1])
+    text = lambda x: F.lit(f"POLYGON(({x} {x},{x} {x + 2},{x + 2} {x + 2},{x + 2} {x},{x} {x}))")
+    pairs = spark.range(50).select("id", (F.col("id") % 2).alias("k"), geography(text(0)).alias("a"), F.when(F.col("id") != 49, geography(text(1))).alias("b"))
+    over = arrangement.overlay(pairs, "a", "b", "union", "g").select("id", "g").collect()
+    assert sorted(r.id for r in over) == list(range(50)) and {_area(r.g) for r in over if r.id != 49} == {7.0} and [r.g for r in over if r.id == 49] == [None]
+    told = arrangement.relate(pairs, "a", "b").groupBy("overlaps").count().collect()
+    assert sorted((r["overlaps"] is None, r["count"]) for r in told) == [(False, 49), (True, 1)]
+    assert [_area(r.g) for r in arrangement.dissolve(pairs, ["k"], "a", "g").collect()] == [4.0, 4.0]
+    grown = buffer(pairs, "a", 1.0, "join=mitre", "g").select("id", "g").collect()
+    assert len(grown) == 50 and {round(_area(r.g), 6) for r in grown} == {16.0}
+    # edges: of one pair and of the one whose b is null, twice; of one area in two groups; of one area with its four strips
+    assert seen[:3] == [12, 12, 8] and seen[3] <= 40
