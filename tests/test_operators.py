@@ -226,3 +226,49 @@ def test_aggregates_of_groups(spark):
     assert near == {1: (2.0, -1.0), 2: (5.0, 5.0)}
     lines = spark.createDataFrame([(1, "LINESTRING(0 0,3 9)"), (1, "POINT(-1 2)")], "k int, t string").select("k", geography(F.col("t")).alias("g"))
     assert text(extent(lines, ["k"], "g"), "extent") == {1: "POLYGON((-1 0,-1 9,3 9,3 0,-1 0))"}
+
+
+def test_rows_of_one_place_ask_once(spark, monkeypatch):
+    from geomere.operators import joins
+
+    asked, whole = [], joins._candidates
+    monkeypatch.setattr(joins, "_candidates", lambda a, p, k: (asked.append(a.count()), whole(a, p, k))[1])
+    left = spark.range(300).selectExpr("id AS a", "CAST(id % 3 AS DOUBLE) AS lon", "0D AS lat")
+    right = spark.createDataFrame([(0, 0.1, 0.0), (1, 1.1, 0.0), (2, 2.1, 0.0)], "b int, r_lon double, r_lat double")
+    found = joins.nearest_join(left, right, 1, "a", "b")
+    assert sorted((r.a, r.b, r["rank"]) for r in found.collect()) == [(i, i % 3, 1) for i in range(300)] and asked == [3]
+    assert found.columns == ["a", "lon", "lat", "b", "r_lon", "r_lat", "metres", "rank"]
+
+
+def test_places_are_paired_once_and_customers_spread(spark, tmp_path, monkeypatch):
+    from geomere.plans import catalog, tables
+
+    spark.range(40).selectExpr("id % 4 + 144000 * (id DIV 4) AS c_custkey", "CAST(id % 3 AS INT) AS c_nationkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(20).selectExpr("id % 2 + 144000 * (id DIV 2) AS s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    sides, whole = [], catalog.dwithin_join
+    monkeypatch.setattr(catalog, "dwithin_join", lambda a, b, m: (sides.append((a.count(), b.count())), whole(a, b, m))[1])
+    found = catalog.dwithin_count(spark, str(tmp_path)).collect()
+    assert len(found) == 20 and {r.n for r in found} == {40} and sides == [(4, 2)]
+    assert tables.customer_box(spark, str(tmp_path)).rdd.getNumPartitions() >= 32
+
+
+def test_boxes_have_their_predicates_by_comparison(spark):
+    r = random.Random(5)
+    box = lambda: (x := r.randint(0, 3), y := r.randint(0, 3), x + r.randint(1, 3), y + r.randint(1, 3))
+    ways = ((0, 1, 2, 3), (0, 3, 2, 1), (2, 3, 0, 1), (1, 2, 3, 0))
+
+    def text(b):
+        corners = [(b[0], b[1]), (b[0], b[3]), (b[2], b[3]), (b[2], b[1])]
+        way = r.choice(ways)
+        return "POLYGON((" + ",".join(f"{corners[k][0]} {corners[k][1]}" for k in (*way, way[0])) + "))"
+
+    pairs = [(box(), box()) for _ in range(60)]
+    df = spark.createDataFrame([(i, text(a), text(b)) for i, (a, b) in enumerate(pairs)], "i int, ta string, tb string")
+    shaped = df.select("i", call("st_geogfromtext", F.col("ta")).alias("a"), call("st_geogfromtext", F.col("tb")).alias("b"))
+    names = ("intersects", "disjoint", "covers", "coveredby", "contains", "within", "touches", "equals")
+    for row in shaped.select("i", *(call(f"st_{n}", F.col("a"), F.col("b")).alias(n) for n in names)).collect():
+        a, b = pairs[row.i]
+        meet = all(a[k] <= b[k + 2] and b[k] <= a[k + 2] for k in (0, 1))
+        inner = all(a[k] < b[k + 2] and b[k] < a[k + 2] for k in (0, 1))
+        holds, held = (all(p[k] <= q[k] and p[k + 2] >= q[k + 2] for k in (0, 1)) for p, q in ((a, b), (b, a)))
+        assert [row[n] for n in names] == [meet, not meet, holds, held, holds, held, meet and not inner, a == b]
