@@ -49,3 +49,9 @@ def test_places_that_repeat_match_sql(spark, tmp_path, name):
     db.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
     got = [tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).orderBy("o_custkey").collect()]
     assert got == db.execute(f"SELECT * FROM ({catalog.ORACLES[name]}) ORDER BY o_custkey").fetchall()
+
+
+@pytest.mark.parametrize("name", ["fromgeohash", "intersection"])
+def test_customers_are_dealt_to_many_tasks(spark, data, name):
+    """A small file of many customers is one task or two otherwise, however many cores there are."""
+    assert catalog.QUERIES[name](spark, data).rdd.getNumPartitions() >= 32

@@ -125,6 +125,41 @@ def test_geojson_and_geohash(value):
     assert value("st_npoints", G.call("st_geomfromgeohash", F.lit("s1gw4"))) == 5
 
 
+def _halved(x, y, letters):
+    """The geohash of a place and its cell, by halving."""
+    lo, hi, bits = [-180.0, -90.0], [180.0, 90.0], ""
+    for i in range(5 * letters):
+        v, k = (x, y)[i % 2], i % 2
+        mid = (lo[k] + hi[k]) / 2
+        bits += "1" if v >= mid else "0"
+        lo[k], hi[k] = (mid, hi[k]) if v >= mid else (lo[k], mid)
+    return "".join("0123456789bcdefghjkmnpqrstuvwxyz"[int(bits[i : i + 5], 2)] for i in range(0, len(bits), 5)), (lo[0], hi[0], lo[1], hi[1])
+
+
+def test_geohash_by_arithmetic_is_that_of_halving(spark):
+    beside = lambda v: (v, math.nextafter(v, -math.inf), math.nextafter(v, math.inf))
+    xs = [-180.0, 180.0, 5e-324, -1e-300, 5.04, -122.4194, 179.99999999999997, *beside(0.0), *beside(45.0), *beside(-180 + 360 * 12345 / 2**25), *beside(-180 + 360 * 987654321 / 2**30)]
+    ys = [-90.0, 90.0, -5e-324, 10.94, 37.7749, *beside(0.0), *beside(-90 + 180 * 54321 / 2**22), *beside(-90 + 180 * 123456789 / 2**30)]
+    cases = [(x, ys[(i + n) % len(ys)], n) for n in range(1, 15) for i, x in enumerate(xs)] + [(x, y, 12) for x in xs for y in ys]
+    G.register(spark, "st_makepoint", "st_geohash", "st_geogpointfromgeohash", "st_geomfromgeohash", "st_npoints", "st_x", "st_y")
+    hashed = spark.createDataFrame(cases, "x double, y double, n int").selectExpr("x", "y", "n", "st_geohash(st_makepoint(x, y), n) AS h").localCheckpoint()
+    read = hashed.selectExpr("*", "st_geogpointfromgeohash(upper(h)) AS p", "st_geomfromgeohash(h).parts[0].rings[0] AS r", "st_geomfromgeohash(concat(h, h), n).parts[0].rings[0] AS first").collect()
+    assert len(read) == len(cases)
+    for row in read:
+        letters, (a, b, c, d) = _halved(row.x, row.y, row.n)
+        corners = [(a, c), (a, d), (b, d), (b, c), (a, c)]
+        assert row.h == letters
+        assert [(v.x, v.y) for v in row.r] == [(v.x, v.y) for v in row["first"]] == corners
+        at = row.p.parts[0].rings[0][0]
+        assert (at.x, at.y) == ((a + b) / 2, (c + d) / 2)
+
+
+@pytest.mark.parametrize("bad", ["a", "s1gwi", "s1gw4xw40eb3ur11ncto", "s 1"])
+def test_bad_geohash_raises(value, bad):
+    with pytest.raises(Exception):  # noqa: B017
+        value("st_geomfromgeohash", F.lit(bad))
+
+
 def test_accessors(value):
     line = "LINESTRING(0 0,0 10,5 5)"
     assert value.text("st_pointn", line, 2) == "POINT(0 10)" and value.text("st_pointn", line, -1) == "POINT(5 5)" and value("st_pointn", line, 0) is None
