@@ -118,6 +118,44 @@ def test_lines_cut_by_areas(value):
     assert value.text("st_intersection", "LINESTRING(20 0,20 9)", SQUARE) == "LINESTRING EMPTY"
 
 
+def test_shared_boxes_have_the_corners_of_their_boxes(spark):
+    """Whatever corner a ring begins at and whichever way it goes; corners were computed along sides before, and missed by a rounding."""
+    import random
+
+    rnd, rows = random.Random(7), []
+    for i in range(200):
+        boxes = []
+        for _ in "ab":
+            (x0, x1), (y0, y1) = (sorted(rnd.sample(range(m), 2)) for m in ((6, 6) if i % 2 else (900, 900)))
+            step = 1.0 if i % 2 else 0.1
+            ring = [(x0 * step, y0 * step), (x0 * step, y1 * step), (x1 * step, y1 * step), (x1 * step, y0 * step)][:: rnd.choice((1, -1))]
+            k = rnd.randrange(4)
+            ring = ring[k:] + ring[:k]
+            boxes.append([*ring, ring[0]])
+        rows.append((i, *boxes))
+    ring = "array<struct<x: double, y: double>>"
+    made = lambda c: f"named_struct('kind', 3, 'srid', 4326, 'flags', 0, 'parts', array(named_struct('kind', 3, 'rings', array(transform({c}, p -> named_struct('x', p.x, 'y', p.y, 'z', CAST(NULL AS DOUBLE), 'm', CAST(NULL AS DOUBLE)))))))"
+    df = spark.createDataFrame(rows, f"i int, a {ring}, b {ring}").selectExpr("i", f"{made('a')} AS a", f"{made('b')} AS b")
+    G.register(spark, "st_intersection")
+    found = {r.i: r.g for r in df.selectExpr("i", "st_intersection(a, b) AS g").collect()}
+    for i, a, b in rows:
+        low = [max(min(p[c] for p in a), min(p[c] for p in b)) for c in (0, 1)]
+        high = [min(max(p[c] for p in a), max(p[c] for p in b)) for c in (0, 1)]
+        g = found[i]
+        places = [(p.x, p.y) for q in g.parts for p in q.rings[0]]
+        if low[0] > high[0] or low[1] > high[1]:
+            assert (g.kind, places) == (3, [])
+        elif low == high:
+            assert (g.kind, places) == (1, [tuple(low)])
+        elif low[0] == high[0] or low[1] == high[1]:
+            assert (g.kind, places) == (2, [tuple(low), tuple(high)])
+        else:
+            assert g.kind == 3 and len(places) == 5 and places[0] == places[4]
+            assert set(places) == {(x, y) for x in (low[0], high[0]) for y in (low[1], high[1])}
+            turn = lambda r: sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(r, r[1:], strict=False)) > 0
+            assert turn(places) == turn(a)
+
+
 def test_geojson_and_geohash(value):
     assert value("st_asgeojson", '{"type":"MultiPolygon","coordinates":[[[[0,0],[0,1],[1,1],[0,0]]]]}') == '{"type":"MultiPolygon","coordinates":[[[[0,0],[0,1],[1,1],[0,0]]]]}'
     assert value("st_geohash", "POINT(5.04 10.94)") == "s1gw4xw40eb3ur11nctj"
