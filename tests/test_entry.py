@@ -51,6 +51,25 @@ def test_places_that_repeat_match_sql(spark, tmp_path, name):
     assert got == db.execute(f"SELECT * FROM ({catalog.ORACLES[name]}) ORDER BY o_custkey").fetchall()
 
 
+#: Orders without a date, without a key, without either or a customer; one customer's only order has no place.
+_LACKING = [(7, 1, None), (8, 1, 3), (9, 1, 1), (None, 1, 1), (10, 1, 1), (None, 2, 0), (11, 2, 1), (12, 2, 2), (13, 3, 0), (14, 3, 1), (None, 3, None), (15, 3, None), (16, 4, 0), (None, 4, 1), (17, 4, 2), (None, 5, 0), (18, None, None), (19, None, 0)]
+#: Keys of 32 bits whose places need 64.
+_LARGE = [(30_000_000, 1, 0), (60_000_001, 1, 1), (2_000_000_000, 1, 2), (2_000_000_001, 2, 0)]
+
+
+@pytest.mark.parametrize(("rows", "key"), [(_LACKING, "long"), (_LARGE, "int")])
+@pytest.mark.parametrize("name", ["line_ends", "makeline_length"])
+def test_odd_orders_match_sql(spark, tmp_path, name, rows, key):
+    orders = spark.createDataFrame(rows, f"o_orderkey {key}, o_custkey long, day int")
+    orders.selectExpr("o_orderkey", "o_custkey", "CAST(date_add(DATE'2020-01-01', day) AS TIMESTAMP) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    db = duckdb.connect()
+    for table, column in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("events", "event_id"), ("nation", "n_nationkey")):
+        db.execute(f"CREATE TABLE {table} ({column} BIGINT, c_nationkey INTEGER)")
+    db.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    got = [tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).orderBy("o_custkey").collect()]
+    assert got == db.execute(f"SELECT * FROM ({catalog.ORACLES[name]}) ORDER BY o_custkey NULLS FIRST").fetchall()
+
+
 @pytest.mark.parametrize("name", ["fromgeohash", "intersection"])
 def test_customers_are_dealt_to_many_tasks(spark, data, name):
     """A small file of many customers is one task or two otherwise, however many cores there are."""
